@@ -27,14 +27,14 @@ def _best_in_memory(asked: DataFrame, entries: DataFrame) -> DataFrame:
 
     The base is one array computed once, so the questions are neither shuffled nor joined.
     """
-    base = entries.agg(F.collect_list(F.struct("item_id", "intent", "faq_words")).alias("base")).scalar()
+    base = entries.agg(F.collect_list(F.struct("item_id", "intent", "faq_words"))).scalar()
 
     def scored(entry: Column) -> Column:
         overlap = F.size(F.array_intersect(F.col("words"), entry["faq_words"]))
         return F.struct(overlap.alias("score"), (-entry["item_id"]).alias("earlier"), entry["intent"].alias("intent"))
 
-    best = F.array_max(F.transform(base, scored))
-    return asked.withColumn("best", best).select(
+    best = F.array_max(F.transform("base", scored))
+    return asked.withColumn("base", base).withColumn("best", best).select(
         "question_id",
         F.when(F.col("best.score") > 0, F.col("best.score")).alias("score"),
         F.when(F.col("best.score") > 0, -F.col("best.earlier")).alias("item_id"),
