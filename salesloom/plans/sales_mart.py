@@ -27,17 +27,24 @@ def _decimal(value: Column, scale: int = 4) -> Column:
     return value.cast(f"decimal(18,{scale})")
 
 
+def _gross() -> Column:
+    return _decimal(F.col("quantity") * _decimal(F.col("unit_price")))
+
+
+def _discount() -> Column:
+    return F.col("discount_pct").cast("decimal(9,6)")
+
+
 def price_items(items: DataFrame, products: DataFrame) -> DataFrame:
     """Items with product columns and money per line, kept as exact decimals.
 
     The discount is rounded first and then taken off the gross amount.
     """
     priced = lookup_join(items, products, ["product_id"])
-    gross = _decimal(F.col("quantity") * F.col("unit_price"))
-    priced = priced.withColumn("gross_revenue", gross)
-    priced = priced.withColumn("discount_amount", F.round(F.col("gross_revenue") * F.col("discount_pct"), 2))
+    priced = priced.withColumn("gross_revenue", _gross())
+    priced = priced.withColumn("discount_amount", F.round(F.col("gross_revenue") * _discount(), 2))
     priced = priced.withColumn("net_revenue", F.round(F.col("gross_revenue") - F.col("discount_amount"), 2))
-    priced = priced.withColumn("cost", _decimal(F.col("quantity") * F.col("unit_cost")))
+    priced = priced.withColumn("cost", _decimal(F.col("quantity") * _decimal(F.col("unit_cost"))))
     return priced.withColumn("margin", F.round(F.col("net_revenue") - F.col("cost"), 2))
 
 
@@ -160,10 +167,9 @@ def daily_kpi_by_items(items: DataFrame, orders: DataFrame, products: DataFrame,
         ["order_id"],
     )
     lines = _order_flags(lookup_join(lines, products.select("product_id", "unit_cost"), ["product_id"]))
-    left_after_discount = F.lit(1).cast("decimal(4,2)") - F.col("discount_pct")
-    net = F.round(_decimal(F.col("quantity") * F.col("unit_price")) * left_after_discount, 2)
-    lines = lines.withColumn("net", net)
-    lines = lines.withColumn("margin", F.round(F.col("net") - F.col("quantity") * F.col("unit_cost"), 2))
+    lines = lines.withColumn("net", F.round(_gross() * (F.lit(1) - _discount()), 2))
+    cost = F.col("quantity") * _decimal(F.col("unit_cost"))
+    lines = lines.withColumn("margin", F.round(F.col("net") - cost, 2))
     paid = F.col("is_paid") == 1
     daily = lines.groupBy("order_date").agg(
         sum_if("net", paid).alias("revenue"),

@@ -18,6 +18,7 @@ def spark():
         **{"spark.sql.shuffle.partitions": "4", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="checkpoint-")},
     )
     session.sparkContext.setLogLevel("ERROR")
+    session.conf.set("spark.sql.maxMetadataStringLength", "10000")
     yield session
     session.stop()
 
