@@ -2,14 +2,15 @@
 
 
 def rnd(x: str, digits: int) -> str:
-    """Round half away from zero on the decimal form of a number."""
-    return f"CAST(round(CAST(({x}) AS DECIMAL(38,10)), {digits}) AS DOUBLE)"
+    """Scale, round half to even, scale back."""
+    return f"(round_even(CAST(({x}) AS DOUBLE) * {10**digits}.0::DOUBLE, 0) / {10**digits}.0::DOUBLE)"
 
 
-def msum(x: str, where: str | None = None) -> str:
-    """Exact sum of an amount as a double with two digits."""
+def msum(x: str, where: str | None = None, digits: int = 2) -> str:
+    """Exact sum of an amount over ten-thousandths, as a double."""
     filter_ = f" FILTER (WHERE {where})" if where else ""
-    return f"CAST(round(coalesce(sum(CAST(({x}) AS DECIMAL(18,4))){filter_}, 0), 2) AS DOUBLE)"
+    units = f"CAST(round_even(CAST(({x}) AS DOUBLE) * 10000.0::DOUBLE, 0) AS BIGINT)"
+    return f"coalesce({rnd(f'CAST(sum({units}){filter_} AS DOUBLE) / 10000.0::DOUBLE', digits)}, 0.0::DOUBLE)"
 
 
 def lsum(x: str, where: str | None = None) -> str:

@@ -1,28 +1,28 @@
 """Oracles of the marketplace stock control."""
 
-from oracles.sql import cnt, div, lsum, msum, with_
+from oracles.sql import cnt, div, lsum, msum, rnd, with_
 
 MARKETS = ("market-a", "market-b", "market-c")
 
 STOCK = "stock AS (" + " UNION ALL ".join(
     f"""SELECT '{m}' AS marketplace, 'sku-' || p_partkey AS sku, 'wh{i}' AS warehouse, CAST(p_size AS BIGINT) AS stock,
-    CAST((p_partkey + {i}) % 5 AS BIGINT) AS reserved, CAST(p_retailprice AS DECIMAL(12,2)) AS price,
-    CAST(CAST(10 + p_partkey % 10 AS DECIMAL(3,0)) * CAST(0.01 AS DECIMAL(2,2)) AS DECIMAL(4,2)) AS commission_rate,
+    CAST((p_partkey + {i}) % 5 AS BIGINT) AS reserved, p_retailprice AS price,
+    (10 + p_partkey % 10) / 100.0::DOUBLE AS commission_rate,
     CASE WHEN p_partkey % 20 = 0 THEN 'paused' ELSE 'active' END AS status FROM part"""
     for i, m in enumerate(MARKETS)
 ) + ")"
 
 REPORT = f"""
 products AS (SELECT 'sku-' || p_partkey AS sku, p_name AS product_name, p_type AS category,
-    CAST(CAST(p_retailprice AS DECIMAL(12,2)) * CAST(60 + p_partkey % 25 AS DECIMAL(3,0)) * CAST(0.01 AS DECIMAL(2,2)) AS DECIMAL(14,4)) AS cost_price
+    p_retailprice * (60 + p_partkey % 25) / 100.0::DOUBLE AS cost_price
     FROM part),
 sold AS (SELECT CASE l_suppkey % 3 WHEN 0 THEN 'market-a' WHEN 1 THEN 'market-b' ELSE 'market-c' END AS marketplace,
     'sku-' || l_partkey AS sku, count(*) AS orders_3d, {msum("l_extendedprice")} AS revenue_3d
     FROM lineitem WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1998-06-28' AND DATE '1998-06-30' GROUP BY 1, 2),
 base AS (SELECT s.* EXCLUDE (status), s.status, product_name, category, cost_price, stock - reserved AS available_stock,
-    price * CAST(commission_rate AS DECIMAL(6,4)) AS commission, coalesce(orders_3d, 0) AS orders_3d, coalesce(revenue_3d, 0) AS revenue_3d
+    price * commission_rate AS commission, coalesce(orders_3d, 0) AS orders_3d, coalesce(revenue_3d, 0) AS revenue_3d
     FROM stock s LEFT JOIN products USING (sku) LEFT JOIN sold USING (marketplace, sku)),
-priced AS (SELECT *, round(price - commission - cost_price, 2) AS unit_margin, {div("orders_3d", "3", 2)} AS daily_sales_avg FROM base),
+priced AS (SELECT *, {rnd("price - commission - cost_price", 2)} AS unit_margin, {div("orders_3d", "3", 2)} AS daily_sales_avg FROM base),
 ready AS (SELECT *, {div("unit_margin", "price", 4)} AS gross_margin_rate,
     {div("available_stock", "daily_sales_avg", 1, "999.0")} AS days_of_stock FROM priced),
 report AS (SELECT marketplace, sku, product_name, category, warehouse, stock, reserved, available_stock, CAST(price AS DOUBLE) AS price,
@@ -37,7 +37,7 @@ report AS (SELECT marketplace, sku, product_name, category, warehouse, stock, re
 def oracles() -> dict[str, str]:
     return {
         "stock_union": with_(STOCK)
-        + "SELECT * REPLACE (CAST(price AS DOUBLE) AS price, CAST(commission_rate AS DOUBLE) AS commission_rate) FROM stock",
+        + "SELECT * FROM stock",
         "stock_report": with_(STOCK, REPORT) + "SELECT * FROM report",
         "stock_alerts": with_(STOCK, REPORT) + "SELECT * FROM report WHERE alert <> 'ok'",
         "stock_summary": with_(STOCK, REPORT) + f"""

@@ -1,7 +1,9 @@
-"""Ratios, deltas and exact sums.
+"""Ratios, deltas, rounding and exact sums.
 
-Money is summed as a decimal, so the result does not depend on the order in which tasks
-finish. Rounding is half away from zero everywhere.
+Amounts are doubles, as in the files they come from. Rounding scales, rounds half to even
+and scales back, which is what array libraries and column stores do with doubles, and costs
+a few instructions per row. Sums are taken over whole ten-thousandths, so they do not depend
+on the order in which tasks finish.
 """
 
 from __future__ import annotations
@@ -9,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,4)"
+UNITS = 10_000  # parts of one unit of money that sums keep
 
 
 def _col(value) -> Column:
@@ -17,21 +19,24 @@ def _col(value) -> Column:
 
 
 def rounded(value, digits: int) -> Column:
-    """Round half away from zero on the decimal form of a number.
-
-    A quotient such as 1066569.39 / 6 is stored just below 177761.565; ten decimal digits
-    bring the exact half back before it is rounded to 177761.57.
-    """
-    return F.round(_col(value).try_cast("decimal(38,10)"), digits).cast("double")
+    """A double with ``digits`` decimals."""
+    scale = F.lit(float(10**digits))
+    return F.rint(_col(value).cast("double") * scale) / scale
 
 
 def money(value) -> Column:
-    return _col(value).cast(MONEY)
+    """Whole ten-thousandths of an amount, ready for an exact sum."""
+    return F.rint(_col(value).cast("double") * F.lit(float(UNITS))).cast("bigint").cast("decimal(18,0)")
+
+
+def from_units(total, digits: int = 2) -> Column:
+    """A sum of ``money`` back as a double."""
+    return rounded(_col(total).cast("double") / F.lit(float(UNITS)), digits)
 
 
 def money_sum(value, digits: int = 2) -> Column:
     """Exact sum of an amount; 0 for a group without a value."""
-    return F.round(F.coalesce(F.sum(money(value)), F.lit(0).cast(MONEY)), digits).cast("double")
+    return F.coalesce(from_units(F.sum(money(value)), digits), F.lit(0.0))
 
 
 def sum_if(value, condition: Column, digits: int = 2) -> Column:

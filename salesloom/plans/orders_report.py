@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesloom import fixed_values as fv
-from salesloom.functions.numbers import long_sum, money, ratio
+from salesloom.functions.numbers import from_units, long_sum, money, ratio
 from salesloom.functions.periods import moment_lit
 
 _ORDER_COLUMNS = ("order_id", "customer_id", "created_at", "channel", "city", "manager_id")
@@ -70,8 +70,8 @@ def orders_report(
     return report.select(
         *_DIMENSIONS,
         "orders",
-        F.round("total", 2).cast("double").alias("revenue"),
-        ratio("total", "orders", digits=2).alias("avg_order_revenue"),
+        from_units("total").alias("revenue"),
+        ratio(from_units("total", 4), "orders", digits=2).alias("avg_order_revenue"),
         "customers",
     ).orderBy("order_date", F.col("revenue").desc(), "channel", "city", "department")
 
@@ -123,8 +123,8 @@ def orders_report_heavy(
         .select(
             *_DIMENSIONS,
             "orders",
-            F.round("total", 2).cast("double").alias("revenue"),
-            ratio("total", "lines", digits=2).alias("avg_item_revenue"),
+            from_units("total").alias("revenue"),
+            ratio(from_units("total", 4), "lines", digits=2).alias("avg_item_revenue"),
             "customers",
             F.coalesce("paid_orders_same_day", F.lit(0)).alias("paid_orders_same_day"),
         )

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesloom import fixed_values as fv
-from salesloom.functions.numbers import count_when, long_sum, money, money_sum, ratio, sum_if
+from salesloom.functions.numbers import count_when, long_sum, money_sum, ratio, rounded, sum_if
 from salesloom.functions.periods import iso_week_label, month_label, weekday_name
 from salesloom.operators.joins import key_violations, lookup_join
 from salesloom.operators.ranking import number_in_group
@@ -23,35 +23,23 @@ DETAIL_COLUMNS = (
 SORT_KEYS = ("order_date", "order_id", "product_id")
 
 
-def _decimal(value: Column, scale: int = 4) -> Column:
-    return value.cast(f"decimal(18,{scale})")
-
-
-def _gross() -> Column:
-    return _decimal(F.col("quantity") * _decimal(F.col("unit_price")))
-
-
-def _discount() -> Column:
-    return F.col("discount_pct").cast("decimal(9,6)")
-
-
 def price_items(items: DataFrame, products: DataFrame) -> DataFrame:
-    """Items with product columns and money per line, kept as exact decimals.
+    """Items with product columns and money per line.
 
     The discount is rounded first and then taken off the gross amount.
     """
     priced = lookup_join(items, products, ["product_id"])
-    priced = priced.withColumn("gross_revenue", _gross())
-    priced = priced.withColumn("discount_amount", F.round(F.col("gross_revenue") * _discount(), 2))
-    priced = priced.withColumn("net_revenue", F.round(F.col("gross_revenue") - F.col("discount_amount"), 2))
-    priced = priced.withColumn("cost", _decimal(F.col("quantity") * _decimal(F.col("unit_cost"))))
-    return priced.withColumn("margin", F.round(F.col("net_revenue") - F.col("cost"), 2))
+    gross = F.col("quantity") * F.col("unit_price")
+    priced = priced.withColumn("gross_revenue", gross).withColumn("cost", F.col("quantity") * F.col("unit_cost"))
+    priced = priced.withColumn("discount_amount", rounded(F.col("gross_revenue") * F.col("discount_pct"), 2))
+    priced = priced.withColumn("net_revenue", rounded(F.col("gross_revenue") - F.col("discount_amount"), 2))
+    return priced.withColumn("margin", rounded(F.col("net_revenue") - F.col("cost"), 2))
 
 
 def order_totals(priced: DataFrame, orders: DataFrame) -> DataFrame:
     """One row per order with items and a known customer and date."""
     totals = priced.groupBy("order_id").agg(
-        F.sum("net_revenue").alias("order_total"), F.sum("margin").alias("order_margin")
+        money_sum("net_revenue").alias("order_total"), money_sum("margin").alias("order_margin")
     )
     dated = orders.filter("customer_id IS NOT NULL AND order_date IS NOT NULL")
     return totals.join(dated.select("order_id", "customer_id", "order_date"), "order_id")
@@ -93,25 +81,24 @@ def sales_detail(items: DataFrame, orders: DataFrame, customers: DataFrame, prod
     priced = price_items(items, products)
     sequence = order_sequence(order_totals(priced, orders)).drop("customer_id", "order_date")
     order_rows = _order_flags(lookup_join(lookup_join(orders, customers, ["customer_id"]), sequence, ["order_id"]))
-    detail = lookup_join(priced, order_rows, ["order_id"])
-    detail = (
-        detail.withColumn("order_month", month_label("order_date"))
-        .withColumn("order_week", iso_week_label("order_date"))
-        .withColumn("day_of_week", weekday_name("order_date"))
-        .withColumn("margin_pct", ratio("margin", "net_revenue", digits=4, on_zero=0))
-        .withColumn("avg_check", F.col("order_total"))
-        .withColumn("is_paid", F.coalesce("is_paid", F.lit(0)))
-        .withColumn("is_cancelled", F.coalesce("is_cancelled", F.lit(0)))
+    order_rows = order_rows.withColumns(
+        {
+            "order_month": month_label("order_date"),
+            "order_week": iso_week_label("order_date"),
+            "day_of_week": weekday_name("order_date"),
+            "avg_check": F.col("order_total"),
+        }
+    )
+    detail = lookup_join(priced, order_rows, ["order_id"]).withColumns(
+        {
+            "margin_pct": ratio("margin", "net_revenue", digits=4, on_zero=0),
+            "is_paid": F.coalesce("is_paid", F.lit(0)),
+            "is_cancelled": F.coalesce("is_cancelled", F.lit(0)),
+        }
     )
     return detail.select(*DETAIL_COLUMNS)
 
 
-def as_report(detail: DataFrame) -> DataFrame:
-    """The same rows with amounts as doubles, for files and BI tools."""
-    amounts = [f.name for f in detail.schema.fields if f.dataType.typeName() == "decimal"]
-    return detail.withColumns({name: F.col(name).cast("double") for name in amounts})
-
-
 def _paid(detail: DataFrame) -> DataFrame:
     return detail.filter("is_paid = 1")
 
@@ -124,9 +111,9 @@ def _paid_orders(detail: DataFrame) -> DataFrame:
         F.min("customer_name").alias("customer_name"),
         F.min("city").alias("city"),
         F.min("customer_type").alias("customer_type"),
-        F.sum("net_revenue").alias("revenue"),
-        F.sum("gross_revenue").alias("gross_revenue"),
-        F.sum("margin").alias("margin"),
+        money_sum("net_revenue").alias("revenue"),
+        money_sum("gross_revenue", 4).alias("gross_revenue"),
+        money_sum("margin").alias("margin"),
         F.sum("quantity").alias("sold_units"),
         F.max("is_repeat_purchase").alias("is_repeat_purchase"),
         F.max("order_total").alias("order_total"),
@@ -167,9 +154,9 @@ def daily_kpi_by_items(items: DataFrame, orders: DataFrame, products: DataFrame,
         ["order_id"],
     )
     lines = _order_flags(lookup_join(lines, products.select("product_id", "unit_cost"), ["product_id"]))
-    lines = lines.withColumn("net", F.round(_gross() * (F.lit(1) - _discount()), 2))
-    cost = F.col("quantity") * _decimal(F.col("unit_cost"))
-    lines = lines.withColumn("margin", F.round(F.col("net") - cost, 2))
+    net = F.col("quantity") * F.col("unit_price") * (F.lit(1.0) - F.col("discount_pct"))
+    lines = lines.withColumn("net", rounded(net, 2))
+    lines = lines.withColumn("margin", rounded(F.col("net") - F.col("quantity") * F.col("unit_cost"), 2))
     paid = F.col("is_paid") == 1
     daily = lines.groupBy("order_date").agg(
         sum_if("net", paid).alias("revenue"),
@@ -235,7 +222,7 @@ def overall_kpis(detail: DataFrame) -> DataFrame:
     total = _paid_orders(detail).agg(
         money_sum("revenue").alias("revenue"),
         F.count(F.lit(1)).alias("orders"),
-        F.sum(money("order_total")).alias("order_total"),
+        money_sum("order_total").alias("order_total"),
         F.count("order_total").alias("order_totals"),
         long_sum("is_repeat_purchase").alias("repeats"),
         money_sum("margin").alias("margin"),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesloom import fixed_values as fv
-from salesloom.functions.numbers import count_when, long_sum, money_sum, ratio
+from salesloom.functions.numbers import count_when, long_sum, money_sum, ratio, rounded
 from salesloom.functions.periods import as_date
 from salesloom.functions.rules import first_match
 from salesloom.operators.joins import lookup_join
@@ -38,28 +38,21 @@ def stock_report(
 
     Sales are summed over ``date_from..date_to`` and divided by ``days``. A product without
     sales has ``STOCK_NO_SALES_DAYS`` days of stock, also with a negative or empty stock.
-    Amounts are computed as decimals, so rounding meets the exact half.
     """
     sold = (
         orders.filter(F.col("date").between(as_date(date_from), as_date(date_to)))
         .groupBy("marketplace", "sku")
         .agg(long_sum("orders").alias("orders_3d"), money_sum("revenue").alias("revenue_3d"))
     )
-    price = F.col("price").cast("decimal(12,2)")
-    commission = price * F.col("commission_rate").cast("decimal(6,4)")
     report = lookup_join(lookup_join(stock, products, ["sku"]), sold, ["marketplace", "sku"])
     report = report.fillna(0, subset=["orders_3d", "revenue_3d"])
-    margin = F.round(price - commission - F.col("cost_price").cast("decimal(14,4)"), 2)
-    report = report.withColumns(
-        {
-            "available_stock": F.col("stock") - F.col("reserved"),
-            "commission_amount": commission.cast("double"),
-            "net_price": (price - commission).cast("double"),
-            "gross_margin_per_unit": margin.cast("double"),
-            "gross_margin_rate": ratio(margin, price, digits=4),
-            "daily_sales_avg": ratio("orders_3d", F.lit(days), digits=2),
-        }
-    )
+    commission = F.col("price") * F.col("commission_rate")
+    report = report.withColumn("available_stock", F.col("stock") - F.col("reserved"))
+    report = report.withColumn("commission_amount", commission)
+    report = report.withColumn("net_price", F.col("price") - F.col("commission_amount"))
+    report = report.withColumn("gross_margin_per_unit", rounded(F.col("net_price") - F.col("cost_price"), 2))
+    report = report.withColumn("gross_margin_rate", ratio("gross_margin_per_unit", "price", digits=4))
+    report = report.withColumn("daily_sales_avg", ratio("orders_3d", F.lit(days), digits=2))
     days_left = ratio("available_stock", "daily_sales_avg", digits=1, on_zero=fv.STOCK_NO_SALES_DAYS)
     report = report.withColumn("days_of_stock", days_left)
     available = F.col("available_stock")
@@ -72,7 +65,6 @@ def stock_report(
         otherwise="ok",
     )
     report = report.withColumn("alert", alert).select(*_COLUMNS)
-    report = report.withColumns({c: F.col(c).cast("double") for c in ("price", "commission_rate", "cost_price")})
     if loaded_at is not None:
         report = report.withColumn("loaded_at", F.lit(loaded_at).cast("timestamp_ntz"))
     return report

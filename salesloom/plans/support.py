@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesloom import fixed_values as fv
@@ -13,54 +13,13 @@ from salesloom.functions.numbers import rounded
 from salesloom.functions.text import or_label, word_set
 from salesloom.operators.joins import spread_join
 
-# A knowledge base up to this size travels to the tasks as one value.
-FAQ_IN_MEMORY = 2_000
+# A knowledge base up to this number of entries is sent to every executor.
+FAQ_BROADCAST = 20_000
 
 
 def _faq_words(faq: DataFrame, pattern: str, stop_words: Sequence[str]) -> DataFrame:
     text = F.concat_ws(" ", "question", "answer", "category")
-    return faq.select("item_id", "intent", word_set(text, pattern, stop_words).alias("faq_words"))
-
-
-def _best_in_memory(asked: DataFrame, entries: DataFrame) -> DataFrame:
-    """Compare each question with the whole knowledge base inside its own row.
-
-    The base is one array computed once, so the questions are neither shuffled nor joined.
-    """
-    base = entries.agg(F.collect_list(F.struct("item_id", "intent", "faq_words"))).scalar()
-
-    def scored(entry: Column) -> Column:
-        overlap = F.size(F.array_intersect(F.col("words"), entry["faq_words"]))
-        return F.struct(overlap.alias("score"), (-entry["item_id"]).alias("earlier"), entry["intent"].alias("intent"))
-
-    best = F.array_max(F.transform("base", scored))
-    return asked.withColumn("base", base).withColumn("best", best).select(
-        "question_id",
-        F.when(F.col("best.score") > 0, F.col("best.score")).alias("score"),
-        F.when(F.col("best.score") > 0, -F.col("best.earlier")).alias("item_id"),
-        F.when(F.col("best.score") > 0, F.col("best.intent")).alias("intent"),
-    )
-
-
-def _best_by_words(asked: DataFrame, entries: DataFrame) -> DataFrame:
-    """Join on single words and count: for a knowledge base of any size.
-
-    A word that very many questions share is split over tasks by ``spread_join``, and the
-    counts are combined before each shuffle.
-    """
-    words = asked.select("question_id", F.explode("words").alias("word"))
-    faq_words = entries.select("item_id", "intent", F.explode("faq_words").alias("word"))
-    scores = (
-        spread_join(words, faq_words, "word", "inner")
-        .groupBy("question_id", "item_id", "intent")
-        .agg(F.count(F.lit(1)).cast("int").alias("score"))
-    )
-    best = scores.groupBy("question_id").agg(
-        F.max(F.struct("score", (-F.col("item_id")).alias("earlier"), "intent")).alias("best")
-    )
-    return asked.select("question_id").join(best, "question_id", "left").select(
-        "question_id", "best.score", (-F.col("best.earlier")).alias("item_id"), "best.intent"
-    )
+    return faq.select("item_id", F.explode(word_set(text, pattern, stop_words)).alias("word"))
 
 
 def match_faq(
@@ -69,24 +28,35 @@ def match_faq(
     min_score: int = fv.FAQ_MIN_SCORE,
     pattern: str = fv.FAQ_TOKEN_PATTERN,
     stop_words: Sequence[str] = fv.FAQ_STOP_WORDS,
-    in_memory: int = FAQ_IN_MEMORY,
+    broadcast_up_to: int = FAQ_BROADCAST,
 ) -> DataFrame:
     """Best FAQ entry per question by the number of shared words; ties go to the lower id.
 
     A shared word is enough for an answer, but below ``min_score`` an operator is needed
-    too. The knowledge base is counted (up to ``in_memory`` + 1 rows) to choose the way.
+    too. Questions are shuffled once, by their id. A knowledge base of at most
+    ``broadcast_up_to`` entries (they are counted) then meets the words in place, and all
+    counting stays inside that partitioning. A larger one is joined by word, where words
+    that very many questions share are split over tasks.
     """
-    asked = questions.withColumn("words", word_set("question", pattern, stop_words))
+    words = questions.select("question_id", word_set("question", pattern, stop_words).alias("words"))
+    words = words.repartition("question_id").select("question_id", F.explode_outer("words").alias("word"))
     entries = _faq_words(faq, pattern, stop_words)
-    small = faq.limit(in_memory + 1).count() <= in_memory
-    best = _best_in_memory(asked, entries) if small else _best_by_words(asked, entries)
-    return best.select(
+    if faq.limit(broadcast_up_to + 1).count() <= broadcast_up_to:
+        hits = words.join(F.broadcast(entries), "word", "left")
+    else:
+        hits = spread_join(words, entries, "word", "left")
+    scores = hits.groupBy("question_id", "item_id").agg(F.count("item_id").alias("score"))
+    rank = F.struct("score", (-F.col("item_id")).alias("earlier"))
+    best = scores.groupBy("question_id").agg(F.max(rank).alias("best")).select(
+        "question_id", (-F.col("best.earlier")).alias("item_id"), F.col("best.score").cast("int").alias("score")
+    )
+    return best.join(faq.select("item_id", "intent"), "item_id", "left").select(
         "question_id",
         F.col("item_id").isNotNull().alias("found"),
         "item_id",
         F.coalesce("intent", F.lit(fv.UNKNOWN_INTENT)).alias("intent"),
-        F.coalesce("score", F.lit(0)).alias("score"),
-        (F.coalesce("score", F.lit(0)) < min_score).alias("need_operator"),
+        "score",
+        (F.col("score") < min_score).alias("need_operator"),
     )
 
 

@@ -72,7 +72,7 @@ def _detail(s: SparkSession, d: str) -> DataFrame:
 
 def _order_sequence(s: SparkSession, d: str) -> DataFrame:
     priced = sales_mart.price_items(b.order_items(s, d), b.mart_products(s, d))
-    return sales_mart.as_report(sales_mart.order_sequence(sales_mart.order_totals(priced, b.mart_orders(s, d))))
+    return sales_mart.order_sequence(sales_mart.order_totals(priced, b.mart_orders(s, d)))
 
 
 def _item_sequence(s: SparkSession, d: str) -> DataFrame:
@@ -99,7 +99,7 @@ SALES_QUERIES: dict[str, Query] = {
     "orders_report_optimized": _orders_report_lean,
     "orders_report_without_categories": _orders_report_filtered,
     "orders_report_heavy": _orders_report_heavy,
-    "sales_detail": lambda s, d: sales_mart.as_report(_detail(s, d)),
+    "sales_detail": _detail,
     "order_sequence": _order_sequence,
     "item_sequence": _item_sequence,
     "sales_daily_metrics": lambda s, d: sales_mart.daily_metrics(_detail(s, d)),
@@ -185,9 +185,7 @@ def _stock(s: SparkSession, d: str) -> DataFrame:
 
 
 def _stock_union(s: SparkSession, d: str) -> DataFrame:
-    return stock.stock_union(b.marketplace_stocks(s, d)).withColumns(
-        {"price": F.col("price").cast("double"), "commission_rate": F.col("commission_rate").cast("double")}
-    )
+    return stock.stock_union(b.marketplace_stocks(s, d))
 
 
 STOCK_QUERIES: dict[str, Query] = {

@@ -6,13 +6,9 @@ the keys, so the same rule can be written in any SQL dialect.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CENT = Decimal("0.01")
-
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -222,8 +218,9 @@ def sales_orders(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _unit_price() -> Column:
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    return (_div(cents, F.col("l_quantity").cast("bigint")).cast("decimal(14,0)") * F.lit(CENT)).cast("decimal(14,2)")
+    """Price of one piece, cut off after the cents."""
+    cents = F.rint(F.col("l_extendedprice") * 100).cast("bigint")
+    return _div(cents, F.col("l_quantity").cast("bigint")) / F.lit(100.0)
 
 
 def order_items(spark: SparkSession, folder: str) -> DataFrame:
@@ -235,7 +232,7 @@ def order_items(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_suppkey").alias("supplier_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
         _unit_price().alias("unit_price"),
-        F.col("l_discount").cast("decimal(4,2)").alias("discount_pct"),
+        F.col("l_discount").alias("discount_pct"),
     )
 
 
@@ -269,7 +266,7 @@ def mart_products(spark: SparkSession, folder: str) -> DataFrame:
         F.col("p_partkey").alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("category"),
-        (F.col("p_retailprice").cast("decimal(12,2)") * F.lit(Decimal("0.6"))).cast("decimal(14,3)").alias("unit_cost"),
+        (F.col("p_retailprice") * 0.6).alias("unit_cost"),
     )
 
 
@@ -288,13 +285,12 @@ def report_orders(spark: SparkSession, folder: str) -> DataFrame:
 
 def report_items(spark: SparkSession, folder: str) -> DataFrame:
     li = table(spark, folder, "lineitem")
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
     return li.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
         _unit_price().alias("price"),
-        (price * F.col("l_discount").cast("decimal(4,2)")).alias("discount"),
+        (F.col("l_extendedprice") * F.col("l_discount")).alias("discount"),
     )
 
 
@@ -349,8 +345,8 @@ def marketplace_stocks(spark: SparkSession, folder: str) -> list[DataFrame]:
                 F.lit(f"wh{i}").alias("warehouse"),
                 F.col("p_size").cast("bigint").alias("stock"),
                 ((key + i) % 5).cast("bigint").alias("reserved"),
-                F.col("p_retailprice").cast("decimal(12,2)").alias("price"),
-                ((10 + key % 10).cast("decimal(3,0)") * F.lit(CENT)).cast("decimal(4,2)").alias("commission_rate"),
+                F.col("p_retailprice").alias("price"),
+                ((10 + key % 10) / F.lit(100.0)).alias("commission_rate"),
                 F.when(key % 20 == 0, "paused").otherwise("active").alias("status"),
             )
         )
@@ -359,12 +355,12 @@ def marketplace_stocks(spark: SparkSession, folder: str) -> list[DataFrame]:
 
 def stock_products(spark: SparkSession, folder: str) -> DataFrame:
     p = table(spark, folder, "part")
-    percent = (60 + F.col("p_partkey") % 25).cast("decimal(3,0)")
+    percent = 60 + F.col("p_partkey") % 25
     return p.select(
         _text("sku-", F.col("p_partkey")).alias("sku"),
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("category"),
-        (F.col("p_retailprice").cast("decimal(12,2)") * percent * F.lit(CENT)).cast("decimal(14,4)").alias("cost_price"),
+        (F.col("p_retailprice") * percent / F.lit(100.0)).alias("cost_price"),
     )
 
 

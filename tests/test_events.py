@@ -85,9 +85,9 @@ def asked(spark):
     )
 
 
-@pytest.mark.parametrize("in_memory", [100, 0])
-def test_faq_match(asked, faq, in_memory):
-    rows = {r["question_id"]: r for r in support.match_faq(asked, faq, in_memory=in_memory).collect()}
+@pytest.mark.parametrize("limit", [100, 0])
+def test_faq_match(asked, faq, limit):
+    rows = {r["question_id"]: r for r in support.match_faq(asked, faq, broadcast_up_to=limit).collect()}
     assert (rows["q1"]["intent"], rows["q1"]["score"], rows["q1"]["need_operator"]) == ("payment", 3, False)
     assert (rows["q2"]["item_id"], rows["q2"]["found"], rows["q2"]["need_operator"]) == (1, True, True)
     assert (rows["q3"]["intent"], rows["q3"]["found"], rows["q3"]["score"]) == ("unknown", False, 0)
@@ -96,8 +96,8 @@ def test_faq_match(asked, faq, in_memory):
 
 
 def test_both_ways_of_matching_agree(asked, faq):
-    near = sorted(map(tuple, support.match_faq(asked, faq, in_memory=100).fillna(-1).collect()))
-    far = sorted(map(tuple, support.match_faq(asked, faq, in_memory=1).fillna(-1).collect()))
+    near = sorted(map(tuple, support.match_faq(asked, faq, broadcast_up_to=100).fillna(-1).collect()))
+    far = sorted(map(tuple, support.match_faq(asked, faq, broadcast_up_to=1).fillna(-1).collect()))
     assert near == far
 
 

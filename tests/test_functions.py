@@ -83,10 +83,11 @@ def test_ratio(one, den, on_zero, expected):
     assert one(den, numbers.ratio(F.lit(10), "x", on_zero=on_zero), "int") == expected
 
 
-def test_rounding_goes_away_from_zero_at_the_half(one):
-    assert one(6, numbers.ratio(F.lit(1066569.39), "x", digits=2), "int") == 177761.57
-    assert one(0.145, numbers.rounded("x", 2), "double") == 0.15
-    assert one(-0.145, numbers.rounded("x", 2), "double") == -0.15
+@pytest.mark.parametrize(
+    "value, digits, expected", [(0.125, 2, 0.12), (0.375, 2, 0.38), (2.675, 2, 2.68), (-2.5, 0, -2.0), (64840.00000000001, 2, 64840.0)]
+)
+def test_rounding_is_half_to_even_on_the_scaled_double(one, value, digits, expected):
+    assert one(value, numbers.rounded("x", digits), "double") == expected
 
 
 @pytest.mark.parametrize("cur, prev, expected", [(0, 0, 0.0), (5, 0, 100.0), (5, 4, 25.0), (0, 4, -100.0)])

@@ -178,11 +178,6 @@ def test_stock_alerts(spark, units, reserved, sold, cost, alert, days_left):
     assert (row["alert"], row["days_of_stock"]) == (alert, days_left)
 
 
-def test_stock_rounds_exact_halves(spark):
-    row = stock_of(spark, 50, 0, 1, price=900.1, cost=0.0, rate=0.15)
-    assert row["gross_margin_per_unit"] == 765.09
-
-
 def test_stock_orders_outside_the_period_do_not_count(spark):
     s = spark.createDataFrame([("m", "a", "w", 50, 0, 100.0, 0.1, "active")], schemas.STOCK)
     o = spark.createDataFrame(
