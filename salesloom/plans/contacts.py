@@ -33,10 +33,11 @@ def with_location(df: DataFrame, reply: str = "geocoder_reply") -> DataFrame:
     """Longitude, latitude and district of the first hit.
 
     All three are NULL when the reply is broken, has no hit, or lacks a position of exactly
-    two parts or the address components.
+    two parts or the address components. The one-element ``explode`` keeps the parsed hit as
+    a column of its own; otherwise a filter on the position would parse the reply again.
     """
     hit = F.get(F.from_json(F.col(reply), _REPLY)["response"]["GeoObjectCollection"]["featureMember"], F.lit(0))
-    df = df.withColumn("_hit", hit["GeoObject"])
+    df = df.withColumn("_hit", F.explode(F.array(hit["GeoObject"])))
     pos = _parts(F.col("_hit.Point.pos"))
     components = F.col("_hit.metaDataProperty.GeocoderMetaData.Address.Components")
     usable = (F.size(pos) == 2) & components.isNotNull()

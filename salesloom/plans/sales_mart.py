@@ -36,23 +36,33 @@ def price_items(items: DataFrame, products: DataFrame) -> DataFrame:
     return priced.withColumn("margin", rounded(F.col("net_revenue") - F.col("cost"), 2))
 
 
-def order_totals(priced: DataFrame, orders: DataFrame) -> DataFrame:
-    """One row per order with items and a known customer and date."""
-    totals = priced.groupBy("order_id").agg(
+def order_totals(priced: DataFrame) -> DataFrame:
+    """Net amount and margin per order, combined before the shuffle."""
+    return priced.groupBy("order_id").agg(
         money_sum("net_revenue").alias("order_total"), money_sum("margin").alias("order_margin")
     )
-    dated = orders.filter("customer_id IS NOT NULL AND order_date IS NOT NULL")
-    return totals.join(dated.select("order_id", "customer_id", "order_date"), "order_id")
 
 
-def order_sequence(totals: DataFrame) -> DataFrame:
-    """Number of the order in the customer's history, and the repeat flag."""
+def order_sequence(orders: DataFrame, items: DataFrame) -> DataFrame:
+    """Number of each order in the customer's history, and the repeat flag.
+
+    Orders without items, customer or date are left out. Which orders have items is read
+    from the order ids alone, and both uses of it in the numbering share one shuffle.
+    """
+    with_items = items.select("order_id").distinct()
+    dated = orders.filter("customer_id IS NOT NULL AND order_date IS NOT NULL")
+    history = dated.select("order_id", "customer_id", "order_date").join(with_items, "order_id", "left_semi")
     numbered = number_in_group(
-        totals, ["customer_id"], [F.col("order_date"), F.col("order_id")], F.col("order_date"), "order_sequence"
+        history, ["customer_id"], [F.col("order_date"), F.col("order_id")], F.col("order_date"), "order_sequence"
     )
     return numbered.withColumn("is_repeat_purchase", (F.col("order_sequence") > 1).cast("int"))
 
 
+def order_history(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
+    """Numbered orders with their totals."""
+    return order_sequence(orders, items).join(order_totals(price_items(items, products)), "order_id")
+
+
 def item_sequence(items: DataFrame, orders: DataFrame, tiebreak: Sequence[str]) -> DataFrame:
     """Number of the *line item* in the customer's history.
 
@@ -79,7 +89,7 @@ def sales_detail(items: DataFrame, orders: DataFrame, customers: DataFrame, prod
     the items are shuffled by order only once for all order columns.
     """
     priced = price_items(items, products)
-    sequence = order_sequence(order_totals(priced, orders)).drop("customer_id", "order_date")
+    sequence = order_history(items, orders, products).drop("customer_id", "order_date")
     order_rows = _order_flags(lookup_join(lookup_join(orders, customers, ["customer_id"]), sequence, ["order_id"]))
     order_rows = order_rows.withColumns(
         {

@@ -71,8 +71,7 @@ def _detail(s: SparkSession, d: str) -> DataFrame:
 
 
 def _order_sequence(s: SparkSession, d: str) -> DataFrame:
-    priced = sales_mart.price_items(b.order_items(s, d), b.mart_products(s, d))
-    return sales_mart.order_sequence(sales_mart.order_totals(priced, b.mart_orders(s, d)))
+    return sales_mart.order_history(b.order_items(s, d), b.mart_orders(s, d), b.mart_products(s, d))
 
 
 def _item_sequence(s: SparkSession, d: str) -> DataFrame:

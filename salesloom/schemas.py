@@ -110,3 +110,26 @@ CONTACT_SHEET = table(
     city="text", street="text", locality="text", house="text", build="text", comment="text", date_inst="text",
     guarantee="text", to1="text", date_to="text", status="text", geocoder_reply="text",
 )
+
+# --- sample tables ------------------------------------------------------------------
+
+SAMPLE_TABLES = {
+    "nation": table(n_nationkey="int", n_name="text", n_regionkey="int"),
+    "customer": table(c_custkey="long", c_name="text", c_nationkey="int", c_acctbal="double", c_mktsegment="text"),
+    "supplier": table(s_suppkey="long", s_name="text", s_nationkey="int", s_acctbal="double"),
+    "part": table(
+        p_partkey="long", p_name="text", p_brand="text", p_type="text", p_size="int", p_retailprice="double"
+    ),
+    "orders": table(
+        o_orderkey="long", o_custkey="long", o_orderstatus="text", o_totalprice="double", o_orderdate="moment",
+        o_orderpriority="text",
+    ),
+    "lineitem": table(
+        l_orderkey="long", l_partkey="long", l_suppkey="long", l_linenumber="int", l_quantity="double",
+        l_extendedprice="double", l_discount="double", l_tax="double", l_returnflag="text", l_linestatus="text",
+        l_shipdate="moment",
+    ),
+    "events": table(event_id="long", ts="moment", user_id="long", event_type="text", value="double", props="text"),
+    "benchmark": table(item_id="long", text="text"),
+    "conversations": table(conv_id="long", turn="long", role="text", text="text"),
+}

@@ -9,9 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesloom.schemas import SAMPLE_TABLES
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SAMPLE_TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def _text(prefix: str, value: Column) -> Column:
