@@ -29,7 +29,7 @@ def lookup_join(fact: DataFrame, dim: DataFrame, on: Sequence[str], check: bool
 
     No broadcast is forced: Spark broadcasts ``dim`` when its size is below
     ``spark.sql.autoBroadcastJoinThreshold`` and sort-merges otherwise, where AQE splits
-    skewed partitions of ``fact``. With ``check`` a duplicate key in ``dim`` raises before
+    the partitions of hot keys in ``fact`` (see ``session.tune``). With ``check`` a duplicate key in ``dim`` raises before
     the join is built; the probe stops at the first duplicate.
     """
     if check and dim.groupBy(*on).count().filter("count > 1").limit(1).take(1):
@@ -43,12 +43,14 @@ def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> Dat
     At most ``rows / rows_per_task`` keys qualify, so the result is small by construction:
     10^12 rows give no more than half a million keys.
     """
-    return (
-        df.groupBy(F.col(key).alias("_hot_key"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > rows_per_task)
-        .select("_hot_key", F.ceil(F.col("_rows") / rows_per_task).cast("int").alias("_parts"))
-    )
+    return hot_from_counts(df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")), key, "_rows", rows_per_task)
+
+
+def hot_from_counts(counts: DataFrame, key: str, rows: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """The same from counts per key that the caller needs anyway."""
+    hot = counts.filter(F.col(rows) > rows_per_task)
+    parts = F.ceil(F.col(rows) / rows_per_task).cast("int")
+    return hot.select(F.col(key).alias("_hot_key"), parts.alias("_parts"))
 
 
 def _with_parts(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
@@ -56,9 +58,15 @@ def _with_parts(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
 
 
 def salt_rows(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
-    """Spread the rows of hot keys: adds ``_salt`` (0 for all other keys)."""
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col("_parts")).cast("int")
-    return _with_parts(df, key, hot).withColumn("_salt", F.coalesce(spread, F.lit(0))).drop("_parts")
+    """Spread the rows of hot keys: adds ``_salt`` (0 for all other keys).
+
+    The salt depends on the row and its input partition. So equal copies of a row are
+    spread as well, and a task that runs again gives every row the same salt as before.
+    """
+    placed = df.withColumn("_place", F.spark_partition_id())
+    row = F.xxhash64(*[F.col(c) for c in placed.columns])
+    salt = F.coalesce(F.pmod(row, F.col("_parts")).cast("int"), F.lit(0))
+    return _with_parts(placed, key, hot).withColumn("_salt", salt).drop("_parts", "_place")
 
 
 def fan_out(lookup: DataFrame, key: str, hot: DataFrame) -> DataFrame:
@@ -77,8 +85,8 @@ def spread_join(
 ) -> DataFrame:
     """Equi-join that splits keys with very many rows on the left side.
 
-    Use it where several operators in a row need the same key: AQE cannot split skewed
-    partitions there, because the next operator relies on them. ``hot`` is the result of
+    AQE splits a skewed partition only when both sides of the join are plain shuffles. Use
+    this one where a side is an aggregate or another join on the same key. ``hot`` is the result of
     ``hot_keys``; one that was counted on the source table serves all joins of a chain.
     """
     hot = hot_keys(left, on) if hot is None else hot

@@ -19,16 +19,25 @@ def number_in_group(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
-    bucket: Column,
     name: str,
+    bucket: Column | None = None,
 ) -> DataFrame:
     """Add ``row_number() OVER (PARTITION BY keys ORDER BY order)`` as ``name``.
 
+    Rows are numbered inside (keys, bucket), and the sizes of the earlier buckets of the key
+    are added. So the largest window holds one bucket of one key, and the window over whole
+    keys sees one small row per bucket.
+
     ``bucket`` must not decrease along ``order`` (for example the day of the first order
-    column; NULL comes first). Rows are numbered inside (keys, bucket), and the sizes of
-    the earlier buckets of the key are added. So the largest window holds one bucket of
-    one key, and the window over whole keys sees one small row per bucket.
+    column; NULL comes first). Without it the rows are ranged over all tasks by keys and
+    order, and each range is a bucket; that splits any group, at the price of writing the
+    rows to the checkpoint folder once, so that both uses see the same ranges.
     """
+    keys = list(keys)
+    columns = df.columns
+    if bucket is None:
+        df = materialize(df.repartitionByRange(*keys, *order).withColumn("_range", F.spark_partition_id()))
+        bucket = F.col("_range")
     group = [c for i, key in enumerate(keys) for c in _null_free(df, F.col(key), f"_key{i}")]
     part = _null_free(df, bucket, "_bucket")
     bucketed = df.select("*", *group, *part)
@@ -50,7 +59,7 @@ def number_in_group(
     return (
         bucketed.withColumn("_inside", F.row_number().over(inside))
         .join(offsets, [*group_cols, *part_cols])
-        .select(*df.columns, number)
+        .select(*columns, number)
     )
 
 

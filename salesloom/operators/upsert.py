@@ -7,14 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.operators.ranking import latest_by
+from salesloom.operators.joins import spread_join
 
 
 def upsert(target: DataFrame, batch: DataFrame, key: str, update_cols: Sequence[str], order: str) -> DataFrame:
     """Merge ``batch`` into ``target``.
 
-    A new key takes the values of its first batch row, an existing one keeps all columns but ``update_cols``; both then take ``update_cols`` from
-    the last batch row (by ``order``). That is the outcome of applying the rows one by one.
+    A new key takes the values of its first batch row, an existing one keeps its own; both
+    then take ``update_cols`` from the last batch row (by ``order``). That is the outcome of
+    applying the rows one by one.
     Both picks are aggregates, so a key with many batch rows is combined before the shuffle.
     """
     columns = [c for c in target.columns if c != key]
@@ -33,10 +34,10 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, update_cols: Sequence[
 
 
 def set_status(df: DataFrame, done: DataFrame, key: str, status: str, column: str = "status") -> DataFrame:
-    """Give ``status`` to every row whose key occurs in ``done``."""
+    """Give ``status`` to every row whose key occurs in ``done``.
+
+    A key may have any number of rows; those of a hot key are split over tasks.
+    """
     ids = done.select(key).distinct().withColumn("_done", F.lit(True))
     changed = F.when(F.col("_done"), F.lit(status)).otherwise(F.col(column))
-    return df.join(ids, key, "left").withColumn(column, changed).drop("_done").select(*df.columns)
-
-
-__all__ = ["latest_by", "set_status", "upsert"]
+    return spread_join(df, ids, key, "left").withColumn(column, changed).select(*df.columns)

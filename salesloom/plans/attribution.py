@@ -111,7 +111,7 @@ def purchase_crm(
 def number_orders(joined: DataFrame) -> DataFrame:
     """Number the rows of an order id by install time; rows without an install come first.
 
-    Rows are split by day of install, and those without one by day of purchase, so neither
+    Rows are split by hour of install, and those without one by hour of purchase, so neither
     a hot order id nor a blank one is numbered in one task.
     """
     order = [
@@ -119,8 +119,10 @@ def number_orders(joined: DataFrame) -> DataFrame:
         *[F.col(c).asc_nulls_first() for c in ("event_time", "installation_id", "buyer", "partner", "tracker", "parameter", "os")],
         *[F.col(c).asc_nulls_first() for c in _CRM_METRICS],
     ]
-    day = F.coalesce(F.to_date("install_time"), F.date_sub(F.to_date("event_time"), 100_000))
-    return number_in_group(joined, ["ecom_order_id"], order, day, "num")
+    # Purchases without an install sort first: their hours are moved before all installs.
+    before_installs = F.date_trunc("hour", F.col("event_time")) - F.expr("INTERVAL '100000' DAY")
+    hour = F.coalesce(F.date_trunc("hour", F.col("install_time")), before_installs)
+    return number_in_group(joined, ["ecom_order_id"], order, "num", bucket=hour)
 
 
 def deduplicate(joined: DataFrame, strict: bool = False) -> DataFrame:

@@ -17,6 +17,7 @@ from salesloom.functions.text import (
     normalize_name,
     normalize_phone,
 )
+from salesloom.operators.joins import hot_from_counts, spread_join
 from salesloom.operators.kpis import to_long
 from salesloom.operators.ranking import first_filled, sequential_ids
 
@@ -164,7 +165,8 @@ def duplicate_groups_simple(clients: DataFrame) -> DataFrame:
 def duplicate_records(keyed: DataFrame) -> DataFrame:
     """All raw records of groups with two or more, with the size of the group."""
     sizes = keyed.groupBy("duplicate_key").agg(F.count("client_id").alias("duplicate_group_size"))
-    return keyed.join(sizes.filter("duplicate_group_size > 1"), "duplicate_key")
+    hot = hot_from_counts(sizes, "duplicate_key", "duplicate_group_size")
+    return spread_join(keyed, sizes.filter("duplicate_group_size > 1"), "duplicate_key", "inner", hot=hot)
 
 
 def client_quality(keyed: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from salesloom import fixed_values as fv
 from salesloom.functions.numbers import count_when, long_sum, money_sum, ratio, rounded, sum_if
 from salesloom.functions.periods import iso_week_label, month_label, weekday_name
-from salesloom.operators.joins import key_violations, lookup_join
+from salesloom.operators.joins import hot_from_counts, key_violations, lookup_join, spread_join
 from salesloom.operators.ranking import number_in_group
 
 DETAIL_COLUMNS = (
@@ -43,17 +43,25 @@ def order_totals(priced: DataFrame) -> DataFrame:
     )
 
 
+def _lines_per_order(items: DataFrame) -> DataFrame:
+    return items.groupBy("order_id").agg(F.count(F.lit(1)).alias("_lines"))
+
+
 def order_sequence(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Number of each order in the customer's history, and the repeat flag.
 
     Orders without items, customer or date are left out. Which orders have items is read
     from the order ids alone, and both uses of it in the numbering share one shuffle.
     """
-    with_items = items.select("order_id").distinct()
+    with_items = _lines_per_order(items).filter("_lines > 0")
     dated = orders.filter("customer_id IS NOT NULL AND order_date IS NOT NULL")
     history = dated.select("order_id", "customer_id", "order_date").join(with_items, "order_id", "left_semi")
     numbered = number_in_group(
-        history, ["customer_id"], [F.col("order_date"), F.col("order_id")], F.col("order_date"), "order_sequence"
+        history,
+        ["customer_id"],
+        [F.col("order_date"), F.col("order_id")],
+        "order_sequence",
+        bucket=F.col("order_date"),
     )
     return numbered.withColumn("is_repeat_purchase", (F.col("order_sequence") > 1).cast("int"))
 
@@ -63,15 +71,21 @@ def order_history(items: DataFrame, orders: DataFrame, products: DataFrame) -> D
     return order_sequence(orders, items).join(order_totals(price_items(items, products)), "order_id")
 
 
-def item_sequence(items: DataFrame, orders: DataFrame, tiebreak: Sequence[str]) -> DataFrame:
+def item_sequence(
+    items: DataFrame,
+    orders: DataFrame,
+    tiebreak: Sequence[str],
+    order_columns: Sequence[str] = ("customer_id", "order_date"),
+) -> DataFrame:
     """Number of the *line item* in the customer's history.
 
     A first order with two items has the numbers 1 and 2, so its second line counts as a
-    repeat purchase here; ``order_sequence`` is the form without this effect.
+    repeat purchase here; ``order_sequence`` is the form without this effect. A single order
+    may hold very many lines, so rows are split by ranges instead of days.
     """
-    lines = items.join(orders.select("order_id", "customer_id", "order_date"), "order_id", "left")
-    order = [F.col("order_date").asc_nulls_first(), F.col("order_id"), *[F.col(c) for c in tiebreak]]
-    numbered = number_in_group(lines, ["customer_id"], order, F.col("order_date"), "order_sequence")
+    lines = items.join(orders.select("order_id", *order_columns), "order_id", "left")
+    order = [F.col(c).asc_nulls_first() for c in ("order_date", "order_id", *tiebreak)]
+    numbered = number_in_group(lines, ["customer_id"], order, "order_sequence")
     return numbered.withColumn("is_repeat_purchase", (F.col("order_sequence") > 1).cast("int"))
 
 
@@ -86,7 +100,8 @@ def sales_detail(items: DataFrame, orders: DataFrame, customers: DataFrame, prod
     """The flat item table for BI (sort it by ``SORT_KEYS`` when writing).
 
     Customers are looked up on the order table, which is much smaller than the items, and
-    the items are shuffled by order only once for all order columns.
+    the items are shuffled by order only once for all order columns. An order with very many
+    lines is split over tasks.
     """
     priced = price_items(items, products)
     sequence = order_history(items, orders, products).drop("customer_id", "order_date")
@@ -99,7 +114,8 @@ def sales_detail(items: DataFrame, orders: DataFrame, customers: DataFrame, prod
             "avg_check": F.col("order_total"),
         }
     )
-    detail = lookup_join(priced, order_rows, ["order_id"]).withColumns(
+    hot = hot_from_counts(_lines_per_order(items), "order_id", "_lines")
+    detail = spread_join(priced, order_rows, "order_id", hot=hot).withColumns(
         {
             "margin_pct": ratio("margin", "net_revenue", digits=4, on_zero=0),
             "is_paid": F.coalesce("is_paid", F.lit(0)),
@@ -158,11 +174,7 @@ def daily_kpi_by_items(items: DataFrame, orders: DataFrame, products: DataFrame,
 
     The net amount is rounded in one step here: price times quantity times (1 - discount).
     """
-    lines = lookup_join(
-        item_sequence(items, orders, tiebreak).drop("customer_id", "order_date"),
-        orders.select("order_id", "customer_id", "order_date", "order_status"),
-        ["order_id"],
-    )
+    lines = item_sequence(items, orders, tiebreak, ("customer_id", "order_date", "order_status"))
     lines = _order_flags(lookup_join(lines, products.select("product_id", "unit_cost"), ["product_id"]))
     net = F.col("quantity") * F.col("unit_price") * (F.lit(1.0) - F.col("discount_pct"))
     lines = lines.withColumn("net", rounded(net, 2))

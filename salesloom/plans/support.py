@@ -13,8 +13,8 @@ from salesloom.functions.numbers import rounded
 from salesloom.functions.text import or_label, word_set
 from salesloom.operators.joins import spread_join
 
-# A knowledge base up to this number of entries is sent to every executor.
-FAQ_BROADCAST = 20_000
+# A knowledge base up to this number of (entry, word) pairs is sent to every executor.
+FAQ_BROADCAST = 1_000_000
 
 
 def _faq_words(faq: DataFrame, pattern: str, stop_words: Sequence[str]) -> DataFrame:
@@ -34,14 +34,14 @@ def match_faq(
 
     A shared word is enough for an answer, but below ``min_score`` an operator is needed
     too. Questions are shuffled once, by their id. A knowledge base of at most
-    ``broadcast_up_to`` entries (they are counted) then meets the words in place, and all
+    ``broadcast_up_to`` entry words (they are counted) then meets the words in place, and all
     counting stays inside that partitioning. A larger one is joined by word, where words
     that very many questions share are split over tasks.
     """
     words = questions.select("question_id", word_set("question", pattern, stop_words).alias("words"))
     words = words.repartition("question_id").select("question_id", F.explode_outer("words").alias("word"))
     entries = _faq_words(faq, pattern, stop_words)
-    if faq.limit(broadcast_up_to + 1).count() <= broadcast_up_to:
+    if entries.limit(broadcast_up_to + 1).count() <= broadcast_up_to:
         hits = words.join(F.broadcast(entries), "word", "left")
     else:
         hits = spread_join(words, entries, "word", "left")

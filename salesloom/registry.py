@@ -26,6 +26,7 @@ from salesloom.plans import (
     stock,
     support,
 )
+from salesloom.session import tune
 from salesloom.sources import bindings as b
 from salesloom.sources.files import date_slice
 
@@ -334,8 +335,12 @@ EVENT_QUERIES: dict[str, Query] = {
 }
 
 
+def _tuned(query: Query) -> Query:
+    return lambda spark, folder: query(tune(spark), folder)
+
+
 def queries() -> dict[str, Query]:
-    return {
+    registered = {
         **SALES_QUERIES,
         **ADS_QUERIES,
         **STOCK_QUERIES,
@@ -344,3 +349,4 @@ def queries() -> dict[str, Query]:
         **ATTRIBUTION_QUERIES,
         **EVENT_QUERIES,
     }
+    return {key: _tuned(query) for key, query in registered.items()}

@@ -9,13 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Settings the marts are written for. Shuffle partitions start high and AQE merges
 # the small ones, so the same job fits a laptop and a large cluster.
-DEFAULTS = {
+RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Split hot keys also where the next operator then needs a shuffle of its own.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+DEFAULTS = {
+    **RUNTIME,
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -31,6 +34,13 @@ def build_session(app_name: str = "salesloom", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the runtime settings to a session made elsewhere."""
+    for key, value in RUNTIME.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints.
 

@@ -25,21 +25,35 @@ def hot(spark):
     return spark.createDataFrame(data, "id int, key string, d string").withColumn("d", F.col("d").cast("date")).cache()
 
 
-def test_number_in_group_equals_the_plain_window(hot):
+@pytest.mark.parametrize("bucket", ["d", None])
+def test_number_in_group_equals_the_plain_window(hot, bucket):
     order = [F.col("d").asc_nulls_first(), F.col("id")]
-    split = ranking.number_in_group(hot, ["key"], order, F.col("d"), "n").select("id", "n")
+    split = ranking.number_in_group(hot, ["key"], order, "n", bucket=bucket and F.col(bucket)).select("id", "n")
     plain = hot.withColumn("n", F.row_number().over(Window.partitionBy("key").orderBy(*order))).select("id", "n")
     assert rows(split) == rows(plain)
 
 
 def test_no_window_sees_a_whole_hot_key(hot):
     """Row windows are partitioned by key and bucket; key-wide windows only see bucket sizes."""
-    df = ranking.number_in_group(hot, ["key"], [F.col("d").asc_nulls_first(), F.col("id")], F.col("d"), "n")
+    df = ranking.number_in_group(hot, ["key"], [F.col("d").asc_nulls_first(), F.col("id")], "n", bucket=F.col("d"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     row_windows = [line for line in plan.splitlines() if "row_number()" in line and "Window" in line]
     assert row_windows and all("_bucket" in line.split("row_number()")[1] for line in row_windows)
 
 
+def test_ranges_split_one_key(spark):
+    """All rows have one key and one day: only ranges of the order can split them."""
+    df = spark.range(4000).select(F.lit("k").alias("key"), F.col("id"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranged = df.repartitionByRange("key", "id").withColumn("p", F.spark_partition_id())
+        assert ranged.groupBy("p").count().agg(F.max("count")).first()[0] < 2000
+        numbered = ranking.number_in_group(df, ["key"], [F.col("id")], "n")
+        assert numbered.filter("n <> id + 1").count() == 0 and numbered.count() == 4000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_sequential_ids(spark):
     keys = [f"{random.Random(i).random():.12f}" for i in range(5000)]
     df = spark.createDataFrame([(k,) for k in keys], "k string").repartition(7)
@@ -77,6 +91,38 @@ def test_hot_rows_are_spread_evenly(hot):
     assert heavy.count() <= hot.count() / 50
 
 
+def test_equal_copies_are_spread_too(spark):
+    copies = spark.range(0, 2000, numPartitions=8).select(F.lit("same").alias("key"))
+    salted = joins.salt_rows(copies, "key", joins.hot_keys(copies, "key", rows_per_task=100))
+    assert salted.select("_salt").distinct().count() > 2 and salted.count() == 2000
+
+
+def test_aqe_splits_a_hot_key_of_a_plain_lookup(spark):
+    """The lookup join is left to Spark; with small limits its plan shows the split."""
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        fact = spark.range(0, 60000, numPartitions=8).select(
+            F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"), F.sha1(F.col("id").cast("string")).alias("v")
+        )
+        dim = spark.range(0, 60000, numPartitions=8).select(F.col("id").alias("k"), F.lit("x").alias("name"))
+        joined = joins.lookup_join(fact, dim, ["k"])
+        assert len(joined.collect()) == 60000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_lookup_join_contract(spark):
     fact = spark.createDataFrame([(1, "a"), (2, "b")], "id int, k string")
     good = spark.createDataFrame([("a", 10)], "k string, v int")
