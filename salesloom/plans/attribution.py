@@ -17,6 +17,7 @@ from salesloom import fixed_values as fv
 from salesloom.functions.periods import as_date, midnights_between
 from salesloom.operators.joins import ROWS_PER_TASK, hot_keys, spread_join
 from salesloom.operators.ranking import number_in_group
+from salesloom.session import materialize
 
 _CRM_METRICS = (
     "revenue", "completed_purchases", "completed_revenue", "sum_vozvrata", "aty_sku_zakaza", "aty_sku_oplaty",
@@ -112,8 +113,10 @@ def number_orders(joined: DataFrame) -> DataFrame:
     """Number the rows of an order id by install time; rows without an install come first.
 
     Rows are split by hour of install, and those without one by hour of purchase, so neither
-    a hot order id nor a blank one is numbered in one task.
+    a hot order id nor a blank one is numbered in one task. The joined rows are needed twice
+    (to number them and to count the hours), so they are written once instead of joined twice.
     """
+    joined = materialize(joined)
     order = [
         F.col("install_time").asc_nulls_first(),
         *[F.col(c).asc_nulls_first() for c in ("event_time", "installation_id", "buyer", "partner", "tracker", "parameter", "os")],

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from salesloom import fixed_values as fv
 from salesloom.functions.numbers import rounded
+from salesloom.operators.joins import hot_keys
 from salesloom.plans import (
     ad_sales,
     ads_report,
@@ -252,6 +253,13 @@ def _clean_purchases(s: SparkSession, d: str) -> DataFrame:
     return attribution.clean_purchases(b.purchases(s, d), b.both_orders(s, d))
 
 
+def _purchase_crm(s: SparkSession, d: str) -> DataFrame:
+    purchases = b.purchases(s, d)
+    hot = hot_keys(purchases, "ecom_order_id")
+    clean = attribution.clean_purchases(purchases, b.both_orders(s, d), hot)
+    return attribution.purchase_crm(clean, b.crm_orders(s, d), hot=hot)
+
+
 def _dedup(s: SparkSession, d: str) -> DataFrame:
     joined = attribution.attributed_purchases(
         b.installs(s, d), b.purchases(s, d), b.crm_orders(s, d), b.both_orders(s, d)
@@ -263,7 +271,7 @@ ATTRIBUTION_QUERIES: dict[str, Query] = {
     "semi_join_known_orders": lambda s, d: attribution.known_orders(b.crm_orders(s, d), b.purchases(s, d)),
     "attribution_installs": lambda s, d: attribution.clean_installs(b.installs(s, d)),
     "attribution_purchases": _clean_purchases,
-    "attribution_purchase_crm": lambda s, d: attribution.purchase_crm(_clean_purchases(s, d), b.crm_orders(s, d)),
+    "attribution_purchase_crm": _purchase_crm,
     "attribution_dedup": _dedup,
     "attribution_dataset": lambda s, d: _attribution(s, d, as_of=ADS_DAY),
     "attribution_strict": lambda s, d: _attribution(s, d, strict=True, match="year_month"),

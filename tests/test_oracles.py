@@ -29,3 +29,10 @@ def test_query_equals_oracle(spark, con, key):
 
 def test_entry(spark):
     assert entry(spark).columns == ["order_date", "channel", "city", "department", "orders", "revenue", "avg_order_revenue", "customers"]
+
+
+@pytest.mark.parametrize("key", sorted(queries()))
+def test_plan_has_no_cross_join_and_no_python(spark, key):
+    plan = queries()[key](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "MapInArrow"):
+        assert operator not in plan
