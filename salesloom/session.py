@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,9 +51,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="salesloom-checkpoint-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return tempfile.mkdtemp(prefix="salesloom-checkpoint-")
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -63,9 +60,7 @@ def materialize(df: DataFrame) -> DataFrame:
     Needed where a plan uses one result twice and both uses must see the same rows in
     the same partitions, even when executors are lost in between.
     """
-    spark = df.sparkSession
-    folder = checkpoint_dir(spark)
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(os.path.join(folder))
+        context.setCheckpointDir(checkpoint_dir(df.sparkSession))
     return df.checkpoint(eager=True)
