@@ -12,6 +12,7 @@ from salesloom.functions.numbers import count_when, long_sum, money_sum, ratio,
 from salesloom.functions.periods import iso_week_label, month_label, weekday_name
 from salesloom.operators.joins import hot_from_counts, key_violations, lookup_join, spread_join
 from salesloom.operators.ranking import number_in_group
+from salesloom.session import materialize
 
 DETAIL_COLUMNS = (
     "order_date", "order_month", "order_week", "day_of_week", "order_id", "customer_id", "customer_name",
@@ -36,26 +37,27 @@ def price_items(items: DataFrame, products: DataFrame) -> DataFrame:
     return priced.withColumn("margin", rounded(F.col("net_revenue") - F.col("cost"), 2))
 
 
-def order_totals(priced: DataFrame) -> DataFrame:
-    """Net amount and margin per order, combined before the shuffle."""
-    return priced.groupBy("order_id").agg(
-        money_sum("net_revenue").alias("order_total"), money_sum("margin").alias("order_margin")
-    )
-
+def order_totals(items: DataFrame, products: DataFrame) -> DataFrame:
+    """Net amount, margin and number of lines per order.
 
-def _lines_per_order(items: DataFrame) -> DataFrame:
-    return items.groupBy("order_id").agg(F.count(F.lit(1)).alias("_lines"))
+    The items are priced and combined before the shuffle. The small result is written once,
+    because the numbering, the detail join and the search for hot orders all read it.
+    """
+    totals = price_items(items, products).groupBy("order_id").agg(
+        money_sum("net_revenue").alias("order_total"),
+        money_sum("margin").alias("order_margin"),
+        F.count(F.lit(1)).alias("lines"),
+    )
+    return materialize(totals)
 
 
-def order_sequence(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Number of each order in the customer's history, and the repeat flag.
+def order_sequence(orders: DataFrame, totals: DataFrame) -> DataFrame:
+    """Orders with items, numbered in the customer's history, with totals and repeat flag.
 
-    Orders without items, customer or date are left out. Which orders have items is read
-    from the order ids alone, and both uses of it in the numbering share one shuffle.
+    Orders without a customer or date are left out.
     """
-    with_items = _lines_per_order(items).filter("_lines > 0")
     dated = orders.filter("customer_id IS NOT NULL AND order_date IS NOT NULL")
-    history = dated.select("order_id", "customer_id", "order_date").join(with_items, "order_id", "left_semi")
+    history = dated.select("order_id", "customer_id", "order_date").join(totals.drop("lines"), "order_id")
     numbered = number_in_group(
         history,
         ["customer_id"],
@@ -66,11 +68,6 @@ def order_sequence(orders: DataFrame, items: DataFrame) -> DataFrame:
     return numbered.withColumn("is_repeat_purchase", (F.col("order_sequence") > 1).cast("int"))
 
 
-def order_history(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
-    """Numbered orders with their totals."""
-    return order_sequence(orders, items).join(order_totals(price_items(items, products)), "order_id")
-
-
 def item_sequence(
     items: DataFrame,
     orders: DataFrame,
@@ -104,7 +101,8 @@ def sales_detail(items: DataFrame, orders: DataFrame, customers: DataFrame, prod
     lines is split over tasks.
     """
     priced = price_items(items, products)
-    sequence = order_history(items, orders, products).drop("customer_id", "order_date")
+    totals = order_totals(items, products)
+    sequence = order_sequence(orders, totals).drop("customer_id", "order_date")
     order_rows = _order_flags(lookup_join(lookup_join(orders, customers, ["customer_id"]), sequence, ["order_id"]))
     order_rows = order_rows.withColumns(
         {
@@ -114,7 +112,7 @@ def sales_detail(items: DataFrame, orders: DataFrame, customers: DataFrame, prod
             "avg_check": F.col("order_total"),
         }
     )
-    hot = hot_from_counts(_lines_per_order(items), "order_id", "_lines")
+    hot = hot_from_counts(totals, "order_id", "lines")
     detail = spread_join(priced, order_rows, "order_id", hot=hot).withColumns(
         {
             "margin_pct": ratio("margin", "net_revenue", digits=4, on_zero=0),

@@ -73,7 +73,9 @@ def _detail(s: SparkSession, d: str) -> DataFrame:
 
 
 def _order_sequence(s: SparkSession, d: str) -> DataFrame:
-    return sales_mart.order_history(b.order_items(s, d), b.mart_orders(s, d), b.mart_products(s, d))
+    return sales_mart.order_sequence(
+        b.mart_orders(s, d), sales_mart.order_totals(b.order_items(s, d), b.mart_products(s, d))
+    )
 
 
 def _item_sequence(s: SparkSession, d: str) -> DataFrame:
