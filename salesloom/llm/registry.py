@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import line_dedup
+from salesloom.llm import line_dedup, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,10 +14,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op5_line_dedup": line_dedup.op5_line_dedup,
+        "op9_benchmark_decontamination": winnowing.op9_benchmark_decontamination,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op5_line_dedup": line_dedup.OP5_SQL,
+        "op9_benchmark_decontamination": winnowing.OP9_SQL,
     }
