@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import line_dedup, winnowing
+from salesloom.llm import line_dedup, quality_rules, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,6 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op5_line_dedup": line_dedup.op5_line_dedup,
+        "op7_quality_rules": quality_rules.op7_quality_rules,
         "op9_benchmark_decontamination": winnowing.op9_benchmark_decontamination,
     }
 
@@ -21,5 +22,6 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op5_line_dedup": line_dedup.OP5_SQL,
+        "op7_quality_rules": quality_rules.OP7_SQL,
         "op9_benchmark_decontamination": winnowing.OP9_SQL,
     }
