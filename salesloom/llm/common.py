@@ -69,3 +69,8 @@ def spread_out(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Few rows at a time go to Python workers: texts may be long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")

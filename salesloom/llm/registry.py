@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import line_dedup, quality_rules, winnowing
+from salesloom.llm import line_dedup, packing, quality_rules, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_best_fit_packing": packing.op1_best_fit_packing,
         "op5_line_dedup": line_dedup.op5_line_dedup,
         "op7_quality_rules": quality_rules.op7_quality_rules,
         "op9_benchmark_decontamination": winnowing.op9_benchmark_decontamination,
