@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import line_dedup, packing, quality_rules, winnowing
+from salesloom.llm import line_dedup, packing, quality_rules, warc, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,7 @@ def queries() -> dict[str, Query]:
         "op5_line_dedup": line_dedup.op5_line_dedup,
         "op7_quality_rules": quality_rules.op7_quality_rules,
         "op9_benchmark_decontamination": winnowing.op9_benchmark_decontamination,
+        "op10_warc": warc.op10_warc,
     }
 
 
