@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import line_dedup, packing, quality_rules, warc, winnowing
+from salesloom.llm import line_dedup, minhash_forest, packing, quality_rules, warc, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,6 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op1_best_fit_packing": packing.op1_best_fit_packing,
+        "op2_ngram_jaccard_join": minhash_forest.op2_ngram_jaccard_join,
         "op5_line_dedup": line_dedup.op5_line_dedup,
         "op7_quality_rules": quality_rules.op7_quality_rules,
         "op9_benchmark_decontamination": winnowing.op9_benchmark_decontamination,
