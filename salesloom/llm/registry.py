@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import line_dedup, minhash_forest, packing, paragraph_dedup, quality_rules, suffix_dedup, warc, winnowing
+from salesloom.llm import co_training, line_dedup, minhash_forest, packing, paragraph_dedup, quality_rules, suffix_dedup, warc, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,7 @@ def queries() -> dict[str, Query]:
         "op1_best_fit_packing": packing.op1_best_fit_packing,
         "op2_ngram_jaccard_join": minhash_forest.op2_ngram_jaccard_join,
         "op3_suffix_array_dedup": suffix_dedup.op3_suffix_array_dedup,
+        "op4_quality_classifier": co_training.op4_quality_classifier,
         "op5_line_dedup": line_dedup.op5_line_dedup,
         "op6_paragraph_dedup": paragraph_dedup.op6_paragraph_dedup,
         "op7_quality_rules": quality_rules.op7_quality_rules,
