@@ -7,9 +7,11 @@ by Spark.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,22 +20,37 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from salesloom.llm.common import small_batches, table, written
+from salesloom.llm.shingles import chunks
 
 CAPACITY = 2048
 GROUPS = 96  # groups of equal cardinality that large lengths are rounded up within
 LARGE = 8  # a length above capacity / LARGE is large
 OPTIMAL = 1e-3  # the patterns used are within this share of the best
 END = 0  # id that ends every document
-KNOWN_WORDS = 300_000  # encoded words a worker remembers at once
+KNOWN_WORDS = 800_000  # encoded words a worker remembers at once
 LONGEST_KNOWN = 64  # characters of a remembered word
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
 
 
+STOP = re.compile(r"[.,](?=[ \n]|\Z)")
+
+
+def _apart(text: str) -> str:
+    """Blanks where the tokenizer cuts anyway: between an ASCII letter and a last full stop or comma.
+
+    ASCII texts are lower-cased, as the tokenizer does it. Fewer different words are left.
+    """
+    if text.isascii():
+        text = text.lower()
+    return STOP.sub(lambda m: " " + m[0] if (c := text[m.start() - 1 : m.start()]).isalpha() and c.isascii() else m[0], text)
+
+
 class WordEncoder:
-    """Ids of a text as little-endian 32-bit numbers.
+    """Ids of texts as little-endian 32-bit numbers.
 
-    The tokenizer drops white space and encodes what stands between on its own, so a text is cut
-    at blanks and line ends, and each different word is encoded once.
+    The tokenizer drops white space and encodes what stands between on its own, so texts are cut at
+    blanks and line ends, and each different word is encoded once while it is remembered. New words
+    of some texts are encoded in one go and told apart by the place that each id comes from.
     """
 
     def __init__(self, path: str):
@@ -42,22 +59,27 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {"": b""}
 
-    def __call__(self, text: str) -> bytes:
-        parts = text.replace("\n", " ").split(" ")
-        try:
-            return b"".join(map(self.known.__getitem__, parts))
-        except KeyError:
-            pass
+    def __call__(self, texts: list[str]) -> Iterator[bytes]:
         if len(self.known) > KNOWN_WORDS:
             self.known = {"": b""}
-        new = [p for p in set(parts) if p not in self.known]
-        fresh = {
-            p: np.array(e.ids, dtype="<u4").tobytes()
-            for p, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False))
-        }
-        self.known.update((p, ids) for p, ids in fresh.items() if len(p) <= LONGEST_KNOWN)
         known = self.known
-        return b"".join([fresh[p] if p in fresh else known[p] for p in parts])
+        parts = [_apart(text).replace("\n", " ").split(" ") for text in texts]
+        new = [p for p in dict.fromkeys(chain.from_iterable(parts)) if p not in known]
+        if new:
+            known.update(zip(new, self._encoded(new)))
+        for own in parts:
+            yield b"".join(map(known.__getitem__, own))
+        for p in new:
+            if len(p) > LONGEST_KNOWN:
+                del known[p]
+
+    def _encoded(self, words: list[str]) -> list[bytes]:
+        got = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        ids = np.array(got.ids, dtype="<u4").tobytes()
+        begins = np.fromiter((a for a, _ in got.offsets), dtype=np.int64, count=len(ids) // 4)
+        ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1)
+        cuts = (4 * np.searchsorted(begins, ends)).tolist()
+        return [ids[a:b] for a, b in zip([0, *cuts], cuts)]
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int) -> Iterator[pa.RecordBatch]:
@@ -66,8 +88,10 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int) -> Iter
     end = np.array([END], dtype="<u4").tobytes()
     for batch in batches:
         out: list[tuple] = []
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            ids = encode(text.as_py() or "") + end
+        texts = [t.as_py() or "" for t in batch.column(1)]
+        encoded = chain.from_iterable(encode(texts[a:b]) for a, b in chunks(texts))
+        for doc, ids in zip(batch.column(0).to_pylist(), encoded):
+            ids += end
             for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                 own = ids[at : at + 4 * capacity]
                 n = len(own) // 4
@@ -289,9 +313,9 @@ def best_fit_packing(
     per_part = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
     # A window over counts: one row per task in each.
     before = F.sum("n").over(Window.partitionBy("length").orderBy("part")) - F.col("n")
-    offsets = written(per_part.select("length", "part", before.alias("before"), "n"), "piece-ranks")
+    offsets = per_part.select("length", "part", before.alias("before"), "n")
     # At most ``capacity`` rows.
-    histogram = {r["length"]: r["n"] for r in offsets.groupBy("length").agg(F.sum("n").alias("n")).collect()}
+    histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     rows = plan(histogram, capacity, groups)
     ranked = pieces.join(offsets.drop("n"), ["length", "part"]).select(
         "doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("nth")).alias("rank")

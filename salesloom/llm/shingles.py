@@ -42,8 +42,8 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def chunks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
-    """Runs of texts of about ``CHUNK`` bytes."""
+def chunks(texts: list) -> Iterator[tuple[int, int]]:
+    """Runs of texts of about ``CHUNK`` bytes (or characters)."""
     first, size = 0, 0
     for i, text in enumerate(texts):
         if size and size + len(text) > CHUNK:
