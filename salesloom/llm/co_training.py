@@ -155,7 +155,7 @@ def _scored(batches: Iterator[pa.RecordBatch], model: CoTrained) -> Iterator[pa.
             )
 
 
-def _drawn(rows: DataFrame, n: int) -> DataFrame:
+def drawn(rows: DataFrame, n: int) -> DataFrame:
     """About ``n`` of the rows, by the hash of the id: the same ones each time, without one task that sorts."""
     total = rows.count()
     if total <= n:
@@ -196,8 +196,8 @@ def quality_scores(
     views = written(own.mapInArrow(_views, schema), "views")
     known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").alias("id")).agg(F.min("quality").alias("quality"))
     # Both draws are bounded samples of numbers, not of texts.
-    examples = _drawn(views.join(known, "id"), labelled).orderBy("id", "key").toArrow()
-    others = _drawn(views.join(known, "id", "left_anti"), pool).orderBy("id", "key").toArrow()
+    examples = drawn(views.join(known, "id"), labelled).orderBy("id", "key").toArrow()
+    others = drawn(views.join(known, "id", "left_anti"), pool).orderBy("id", "key").toArrow()
     model = CoTrained(
         (_matrix(examples["text_view"]), _matrix(examples["meta_view"]), examples["quality"].to_numpy().astype(float)),
         (_matrix(others["text_view"]), _matrix(others["meta_view"])),

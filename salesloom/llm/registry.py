@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import co_training, line_dedup, minhash_forest, packing, paragraph_dedup, quality_rules, suffix_dedup, warc, winnowing
+from salesloom.llm import co_training, line_dedup, minhash_forest, packing, paragraph_dedup, quality_rules, suffix_dedup, toxicity, warc, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,7 @@ def queries() -> dict[str, Query]:
         "op5_line_dedup": line_dedup.op5_line_dedup,
         "op6_paragraph_dedup": paragraph_dedup.op6_paragraph_dedup,
         "op7_quality_rules": quality_rules.op7_quality_rules,
+        "op8_toxicity": toxicity.op8_toxicity,
         "op9_benchmark_decontamination": winnowing.op9_benchmark_decontamination,
         "op10_warc": warc.op10_warc,
     }

@@ -94,7 +94,8 @@ def decontaminate(
         F.col(id_column).alias("id"), F.col(text_column).alias("text"), text_key(F.col(text_column)).alias("key"), as_row(docs)
     )
     marks = items.select(F.col(item_column).cast("string").alias("item"), F.col(item_text_column).alias("text"))
-    windows = written(item_windows(marks), "item-windows")
+    # The benchmark's own windows: few files.
+    windows = written(item_windows(marks).coalesce(8), "item-windows")
     # At most WINDOW rows, of the benchmark alone: its window sizes and how many words they hold.
     sizes = {r["size"]: r["n"] for r in windows.groupBy("size").agg(F.count("*").alias("n")).collect()}
     small = sum(size * n for size, n in sizes.items()) <= small_words * WINDOW
