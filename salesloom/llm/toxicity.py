@@ -27,6 +27,8 @@ VOCABULARY = 4_000  # features of the classifier
 SEEN = 3  # toxic documents a feature occurs in, at least
 PRECISE = 0.8  # share of toxic ones among the documents with it, in found lexicons
 EVIDENCE = 15.0  # log likelihood ratio against the overall share, in found lexicons
+ANCHOR, FEW = 3, 20  # weight of a labelled row in the label model; labelled rows of a class to begin from
+DISCOUNT = 0.5  # of a voter's say for each voter that it always agrees with
 THRESHOLD = 0.7
 # Words of abuse in English (fixed values).
 SEED_WORDS = (
@@ -50,6 +52,7 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     np.cumsum(LOWERED[data] * powers(_BASE, len(data))[: len(data)], out=sums[1:])
     owner = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), starts, side="right").astype(np.int32)
     back, size = powers(_INVERSE, len(data)), ends - starts
+    salts = mixed(np.arange(1, len(KINDS) + 1, dtype=np.uint64))
     hashes, kinds, owners = [], [], []
     for kind, name in enumerate(KINDS):
         n = int(name[-1]) if name[-1].isdigit() else 0
@@ -57,7 +60,7 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         a, b = starts[use], ends[use]
         if n:
             b = a + n
-        hashes.append(mixed((sums[b] - sums[a]) * back[a] + np.uint64(kind + 1)))
+        hashes.append(mixed((sums[b] - sums[a]) * back[a] + salts[kind]))
         kinds.append(np.full(len(a), kind, np.int8))
         owners.append(owner[use])
     return np.concatenate(hashes), np.concatenate(kinds), np.concatenate(owners)
@@ -98,10 +101,10 @@ class Lookup:
 
 @dataclass
 class Lexicons:
-    """Sorted feature hashes, the voter of each (-1: none) and whether the classifier uses it."""
+    """Sorted feature hashes, and the voters of each as bits; all are features of the classifier."""
 
     known: np.ndarray
-    voter: np.ndarray
+    voters: np.ndarray
 
 
 def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,24 +154,25 @@ def found_lexicons(examples: DataFrame) -> Lexicons:
     n0 = np.zeros(len(known))
     for r in clean.groupBy("feature").agg(F.sum("n").alias("n")).collect():
         n0[r["feature"]] = r["n"]
-    voter = np.full(len(known), -1, dtype=np.int64)
+    voters = np.zeros(len(known), dtype=np.int64)
     total1, total0 = max(sizes.get(1, 0), 1), max(sizes.get(0, 0), 1)
     share = total1 / (total1 + total0)
     seen = np.maximum(n1 + n0, 1)
     evidence = n1 * np.log(np.maximum(n1 / seen, 1e-12) / share) + n0 * np.log(np.maximum(n0 / seen, 1e-12) / (1 - share))
     precise = (n1 >= PRECISE * seen) & (evidence >= EVIDENCE)
     half = (known >> np.uint64(40)).astype(np.int64) % PARTS
-    voter[precise] = (len(SEED_WORDS) + kind.astype(np.int64) * PARTS + half)[precise]
+    voters[precise] = np.int64(1) << (len(SEED_WORDS) + kind.astype(np.int64) * PARTS + half)[precise]
     # The classifier's features tell the classes apart either way.
     odds = np.log((n1 + 0.5) / (total1 + 1)) - np.log((n0 + 0.5) / (total0 + 1))
     keep = np.zeros(len(known), dtype=bool)
     keep[np.argsort(-np.abs(odds) * np.sqrt(n1), kind="stable")[:VOCABULARY]] = True
     keep |= precise
-    known, voter = known[keep], voter[keep]
-    seeds = {word_feature(w): k for k, words in enumerate(SEED_WORDS) for w in words}
-    extra = {int(h): int(v) for h, v in zip(known, voter)} | seeds
-    known = np.array(sorted(extra), dtype=np.uint64)
-    return Lexicons(known, np.array([extra[int(h)] for h in known], dtype=np.int64))
+    bits = {int(h): int(v) for h, v in zip(known[keep], voters[keep])}
+    for k, words in enumerate(SEED_WORDS):
+        for h in map(word_feature, words):
+            bits[h] = bits.get(h, 0) | 1 << k
+    known = np.array(sorted(bits), dtype=np.uint64)
+    return Lexicons(known, np.array([bits[int(h)] for h in known], dtype=np.int64))
 
 
 def _votes(batches: Iterator[pa.RecordBatch], lexicons: Lexicons) -> Iterator[pa.RecordBatch]:
@@ -182,8 +186,7 @@ def _votes(batches: Iterator[pa.RecordBatch], lexicons: Lexicons) -> Iterator[pa
             at, where = lookup(hashes)
             pairs = np.unique(owner[at].astype(np.int64) << 32 | where)
             own, where = pairs >> 32, pairs & 0xFFFFFFFF
-            voters = lexicons.voter[where]
-            np.bitwise_or.at(masks, a + own[voters >= 0], np.int64(1) << voters[voters >= 0])
+            np.bitwise_or.at(masks, a + own, lexicons.voters[where])
             cut = np.searchsorted(own, np.arange(b - a + 1))
             lists += [where[i:j].astype(np.int32) for i, j in zip(cut, cut[1:])]
         for k, text in enumerate(texts):
@@ -198,59 +201,50 @@ def _votes(batches: Iterator[pa.RecordBatch], lexicons: Lexicons) -> Iterator[pa
 class LabelModel:
     """The chance of toxicity given which voters fire, fitted by expectation maximisation.
 
-    ``known`` is the label of a row of the table where one is given (-1: none); only those anchor the
-    classes, the other rows, nearly all, get their chance from the model. Within each class voters depend on each other as a tree: the accuracies are its nodes' chances,
-    the correlations its edges, the strongest by mutual information. The table of votes has at most
-    three times 2^VOTERS rows, whatever the number of documents.
+    Each voter fires with a chance of its own in each class: its accuracy. How voters go together
+    within the classes is estimated too, and the more a voter agrees with others beyond what the
+    class explains, the less its vote adds. ``known`` is the label of a row of the table where one is
+    given (-1: none); those rows anchor the classes, the others, nearly all, get their chance from
+    the model. The table of votes has at most three times 2^VOTERS rows, whatever the number of
+    documents.
     """
 
-    def __init__(self, votes: np.ndarray, counts: np.ndarray, known: np.ndarray, rounds: int = 40):
-        self.fires = (votes[:, None] >> np.arange(VOTERS)) & 1
-        counts = counts.astype(float)
-        # Lexicons, not patterns, begin: no lexicon fires on most clean texts.
-        fired = self.fires[:, : VOTERS - PATTERNS].sum(axis=1)
-        belief = np.where(fired >= 2, 0.95, np.where(fired == 1, 0.5, 0.02))
-        belief = np.where(known >= 0, known, belief).astype(float)
+    def __init__(self, votes: np.ndarray, counts: np.ndarray, known: np.ndarray, rounds: int = 5):
+        fires = fired_voters(votes)
+        # To begin with, two votes of lexicons stand for toxicity.
+        lexical = fires[:, : VOTERS - PATTERNS].sum(axis=1)
+        belief = np.where(known >= 0, known, np.where(lexical >= 2, 0.95, np.where(lexical == 1, 0.3, 0.02)))
+        weight = np.where(known >= 0, ANCHOR, 1.0) * counts
+        anchored = all(counts[known == label].sum() >= FEW for label in (0, 1))
+        self._fit(fires, weight * (known >= 0) if anchored else weight, belief)
         for _ in range(rounds):
-            weights = [counts * (1 - belief), counts * belief]
-            self.prior = (weights[1].sum() + 1) / (counts.sum() + 2)
-            self.trees = [self._tree(w) for w in weights]
-            new = np.where(known >= 0, known, self.posterior(self.fires))
-            if np.abs(new - belief).max() < 1e-6:
-                break
-            belief = new
-
-    def _tree(self, w: np.ndarray) -> list[tuple[int, int, np.ndarray]]:
-        """Voter, its parent (-1: none) and the chance that it fires given that the parent does not, or does."""
-        x, total = self.fires.astype(float), w.sum() + 2
-        both = (x * w[:, None]).T @ x + 0.5
-        one = (x * w[:, None]).sum(axis=0) + 1
-        np.fill_diagonal(both, one)
-        gain = np.zeros_like(both)
-        for a in (0, 1):
-            for b in (0, 1):
-                joint = both if a and b else (one[:, None] - both if a else (one[None, :] - both if b else total - one[:, None] - one[None, :] + both))
-                joint = np.maximum(joint / total, 1e-12)
-                pa_, pb = (one if a else total - one) / total, (one if b else total - one) / total
-                gain += joint * np.log(joint / (pa_[:, None] * pb[None, :]))
-        tree, inside, outside = [(0, -1, np.array([one[0] / total] * 2))], [0], set(range(1, VOTERS))
-        while outside:
-            parent, child = max(((i, j) for i in inside for j in outside), key=lambda e: gain[e])
-            on, off = both[parent, child] / one[parent], (one[child] - both[parent, child]) / (total - one[parent])
-            tree.append((child, parent, np.clip([off, on], 1e-4, 1 - 1e-4)))
-            inside.append(child)
-            outside.remove(child)
-        return tree
-
-    def posterior(self, fires: np.ndarray) -> np.ndarray:
-        logs = []
-        for tree, prior in zip(self.trees, (1 - self.prior, self.prior)):
-            total = np.full(len(fires), np.log(prior))
-            for child, parent, chance in tree:
-                p = chance[fires[:, parent]] if parent >= 0 else np.full(len(fires), chance[1])
-                total += np.log(np.where(fires[:, child] == 1, p, 1 - p))
-            logs.append(total)
-        return sigmoid(logs[1] - logs[0])
+            belief = np.where(known >= 0, known, self.posterior(votes))
+            self._fit(fires, weight, belief)
+
+    def _fit(self, fires: np.ndarray, weight: np.ndarray, belief: np.ndarray) -> None:
+        self.chances, self.correlations, totals = [], [], []
+        for w in (weight * (1 - belief), weight * belief):
+            total = w.sum()
+            self.chances.append((w @ fires + 0.5) / (total + 1))
+            mean = w @ fires / (total + 1)
+            spread = (fires * w[:, None]).T @ fires / (total + 1) - np.outer(mean, mean)
+            deviation = np.sqrt(np.maximum(np.diag(spread), 0)) + 1e-6
+            self.correlations.append(spread / np.outer(deviation, deviation))
+            totals.append(total)
+        self.prior = np.log((totals[1] + 0.5) / (totals[0] + 0.5))
+        together = np.maximum(sum(self.correlations) / 2, 0)
+        np.fill_diagonal(together, 0)
+        self.says = 1 / (1 + DISCOUNT * together.sum(axis=1))
+
+    def posterior(self, votes: np.ndarray) -> np.ndarray:
+        clean, toxic = self.chances
+        fires = fired_voters(votes)
+        evidence = fires * np.log(toxic / clean) + (1 - fires) * np.log((1 - toxic) / (1 - clean))
+        return sigmoid(evidence @ self.says + self.prior)
+
+
+def fired_voters(votes: np.ndarray) -> np.ndarray:
+    return ((votes[:, None] >> np.arange(VOTERS)) & 1).astype(float)
 
 
 def _scores(batches: Iterator[pa.RecordBatch], weights: np.ndarray, intercept: float) -> Iterator[pa.RecordBatch]:
@@ -301,10 +295,9 @@ def toxicity_scores(
         model = LabelModel(votes, counts, marks)
         sample = drawn(free, trained).select("votes", "feats").toArrow().combine_chunks()
         if len(sample):
-            fires = (sample["votes"].to_numpy()[:, None] >> np.arange(VOTERS)) & 1
             size = np.array([len(f) for f in sample["feats"]], dtype=np.int64)
             flat = np.concatenate([np.asarray(f.values if f.is_valid else [], dtype=np.int64) for f in sample["feats"]])
-            weights, intercept = SparseLogistic(width).fit(flat, np.concatenate([[0], np.cumsum(size)]), model.posterior(fires))
+            weights, intercept = SparseLogistic(width, ridge=1e-5, steps=400).fit(flat, np.concatenate([[0], np.cumsum(size)]), model.posterior(sample["votes"].to_numpy()))
     scores = voted.mapInArrow(partial(_scores, weights=weights, intercept=intercept), "id long, held_out boolean, score double")
     return scores.select(F.col("id").alias(id_column), "held_out", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
