@@ -7,6 +7,7 @@ by Spark.
 
 from __future__ import annotations
 
+import gc
 import re
 import zlib
 from collections.abc import Iterator
@@ -28,21 +29,30 @@ LARGE = 8  # a length above capacity / LARGE is large
 OPTIMAL = 1e-3  # the patterns used are within this share of the best
 END = 0  # id that ends every document
 KNOWN_WORDS = 800_000  # encoded words a worker remembers at once
+SHORT = 8  # characters of a word that stays when others make room
 LONGEST_KNOWN = 64  # characters of a remembered word
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
 
 
 STOP = re.compile(r"[.,](?=[ \n]|\Z)")
+OTHER_STOP = re.compile(r"(?:[^a-z\xdf-\xf6\xf8-\xff]|\A)[.,](?:[ \n]|\Z)")  # not after a letter
 
 
 def _apart(text: str) -> str:
-    """Blanks where the tokenizer cuts anyway: between an ASCII letter and a last full stop or comma.
+    """Blanks where the tokenizer cuts anyway: between a letter and a last full stop or comma.
 
-    ASCII texts are lower-cased, as the tokenizer does it. Fewer different words are left.
+    Texts in Latin-1 are lower-cased, as the tokenizer does it. Fewer different words are left.
     """
-    if text.isascii():
-        text = text.lower()
-    return STOP.sub(lambda m: " " + m[0] if (c := text[m.start() - 1 : m.start()]).isalpha() and c.isascii() else m[0], text)
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    text = text.lower()
+    if not OTHER_STOP.search(text):
+        for stop in ".,":
+            text = text.replace(f"{stop} ", f" {stop} ").replace(f"{stop}\n", f" {stop}\n")
+        return f"{text[:-1]} {text[-1]}" if text[-1:] in (".", ",") else text
+    return STOP.sub(lambda m: " " + m[0] if text[m.start() - 1 : m.start()].isalpha() else m[0], text)
 
 
 class WordEncoder:
@@ -61,7 +71,9 @@ class WordEncoder:
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         if len(self.known) > KNOWN_WORDS:
-            self.known = {"": b""}
+            # Short words come again the most.
+            short = {p: ids for p, ids in self.known.items() if len(p) <= SHORT}
+            self.known = short if len(short) < KNOWN_WORDS // 2 else {"": b""}
         known = self.known
         parts = [_apart(text).replace("\n", " ").split(" ") for text in texts]
         new = [p for p in dict.fromkeys(chain.from_iterable(parts)) if p not in known]
@@ -86,6 +98,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int) -> Iter
     encode, seen = WordEncoder(path), np.zeros(capacity + 1, dtype=np.int64)
     part = TaskContext.get().partitionId()
     end = np.array([END], dtype="<u4").tobytes()
+    gc.disable()  # no cycles arise here, and the remembered words would be traversed again and again
     for batch in batches:
         out: list[tuple] = []
         texts = [t.as_py() or "" for t in batch.column(1)]

@@ -57,7 +57,8 @@ def verified_links(members: DataFrame, chance: Callable[[np.ndarray], np.ndarray
 
 
 def _compare(group: pd.DataFrame, chance: Callable[[np.ndarray], np.ndarray]) -> pd.DataFrame:
-    group = group.sort_values(["block", "cls"], kind="stable")
+    # A document that came in several rows is one member.
+    group = group.drop_duplicates("cls").sort_values(["block", "cls"], kind="stable")
     sets = [np.frombuffer(s, dtype="<u8") for s in group["shingles"]]
     low, high = group["low"].iloc[0], group["high"].iloc[0]
     split = None if low == high else int((group["block"] == low).sum())
