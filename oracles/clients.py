@@ -95,10 +95,23 @@ def oracles() -> dict[str, str]:
     return {
         "normalize_contacts": with_(RAW, KEYED) + "SELECT row_no, client_id, full_name_clean, phone_clean, email_clean, city_clean FROM keyed",
         "client_dedup_key": with_(RAW, KEYED) + "SELECT row_no, client_id, completeness_score, duplicate_key FROM keyed",
-        "client_master": with_(RAW, KEYED, MASTER) + "SELECT * FROM master",
+        "client_master": with_(RAW, KEYED, MASTER) + "SELECT * EXCLUDE (merged_client_ids) FROM master",
+        "client_id_list": with_(RAW, KEYED) + """
+SELECT sha1(duplicate_key)[1:12] AS client_uid, duplicate_key, part, string_agg(client_id, ', ' ORDER BY row_no) AS merged_client_ids
+FROM (SELECT *, (row_number() OVER (PARTITION BY duplicate_key ORDER BY row_no) - 1) // 100 AS part FROM keyed) GROUP BY duplicate_key, part
+""",
+        "client_id_list_sql": with_(RAW) + f"""
+SELECT duplicate_key, part, string_agg(client_id, ', ' ORDER BY row_no) AS client_ids
+FROM (SELECT *, (row_number() OVER (PARTITION BY duplicate_key ORDER BY row_no) - 1) // 100 AS part, count(*) OVER (PARTITION BY duplicate_key) AS n
+    FROM (SELECT row_no, client_id, CASE WHEN phone <> '' THEN 'phone:' || phone WHEN email <> '' THEN 'email:' || email
+            ELSE 'name_city:' || upper(md5(full_name || '|' || city)) END AS duplicate_key
+        FROM (SELECT row_no, client_id, lower(trim(coalesce(email, ''))) AS email, trim(full_name) AS full_name, city, {CLEAN_PHONE} AS phone
+              FROM (SELECT * EXCLUDE (phone), regexp_replace(phone, '[^0-9]', '', 'g') AS p FROM dirty))))
+WHERE n > 1 GROUP BY duplicate_key, part
+""",
         "client_merge_map": with_(RAW, KEYED) + "SELECT sha1(duplicate_key)[1:12] AS client_uid, duplicate_key, row_no, client_id FROM keyed",
         "client_duplicate_groups": with_(RAW, KEYED, MASTER) + """
-SELECT duplicate_group_id, duplicate_key, records AS records_in_group, client_id AS selected_client_id, merged_client_ids,
+SELECT duplicate_group_id, duplicate_key, records AS records_in_group, client_id AS selected_client_id,
     'phone/email/name_city match' AS dedup_reason
 FROM (SELECT *, row_number() OVER (ORDER BY duplicate_key) AS duplicate_group_id FROM group_values)
 JOIN (SELECT duplicate_key, client_id FROM ranked WHERE rn = 1) USING (duplicate_key) WHERE records > 1

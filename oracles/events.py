@@ -62,10 +62,11 @@ asked AS (SELECT conv_id || '-' || turn AS question_id, TIMESTAMP '2024-01-01' +
     CASE WHEN conv_id % 6 = 0 THEN 'Клиент' ELSE 'user ' || conv_id END AS client_name, 'telegram' AS channel,
     CASE WHEN conv_id % 25 = 24 THEN 'Связаться с оператором' ELSE text END AS question FROM conversations WHERE role = 'user'),
 q_words AS (SELECT question_id, unnest({_words("question")}) AS word FROM asked),
-f_words AS (SELECT item_id, unnest({_words("text || '  c' || (item_id % 5)")}) AS word FROM benchmark),
+f_words AS (SELECT item_id, unnest({_words("text || ' answer ' || item_id || ' c' || (item_id % 5)")}) AS word FROM benchmark),
 best AS (SELECT question_id, item_id, score FROM (SELECT question_id, item_id, count(*) AS score FROM q_words JOIN f_words USING (word) GROUP BY 1, 2)
     QUALIFY row_number() OVER (PARTITION BY question_id ORDER BY score DESC, item_id) = 1),
-matched AS (SELECT question_id, item_id IS NOT NULL AS found, item_id, coalesce('item' || item_id, 'unknown') AS intent,
+matched AS (SELECT question_id, item_id IS NOT NULL AS found, item_id, coalesce('item' || item_id, 'unknown') AS intent, 'c' || (item_id % 5) AS category,
+    coalesce('answer ' || item_id, 'Я не нашел точный ответ. Передаю вопрос оператору.') AS answer,
     coalesce(score, 0) AS score, coalesce(score, 0) < 2 AS need_operator FROM asked LEFT JOIN best USING (question_id)),
 tickets AS (SELECT 'T-' || strftime(created_at, '%Y%m%d') || '-' || upper(sha1(question_id)[1:6]) AS ticket_id, question_id, created_at, client_name,
     channel, trim(question) AS question, CASE WHEN op THEN 'operator_request' ELSE intent END AS detected_intent,
@@ -85,7 +86,10 @@ queue AS (SELECT *, CASE priority WHEN 'critical' THEN 1 WHEN 'high' THEN 2 WHEN
 SHEET = f"""
 sheet AS (SELECT c_custkey AS row_no, 'N' || (c_custkey // 2) AS number, {PHONE} AS phone, c_name AS name, c_mktsegment AS area, n_name AS city,
     CASE WHEN c_custkey % 6 <> 0 THEN 'street ' || (c_custkey % 50) END AS street, '' AS locality, CAST(c_custkey % 90 AS VARCHAR) AS house,
-    CASE WHEN c_custkey % 8 = 0 THEN 'b1' END AS build, 'note ' || c_custkey AS comment,
+    CASE WHEN c_custkey % 8 = 0 THEN 'b1' END AS build, 'note ' || c_custkey AS comment, 'patronymic ' || (c_custkey % 7) AS patronymic,
+    CASE WHEN c_custkey % 5 <> 0 THEN 'surname ' || c_custkey END AS surname, '2024-01-1' || (c_custkey % 10) AS date_inst,
+    CASE WHEN c_custkey % 2 = 0 THEN 'yes' ELSE 'no' END AS guarantee, CASE WHEN c_custkey % 3 = 0 THEN 'to ' || (c_custkey % 4) END AS to1,
+    '2025-02-1' || (c_custkey % 10) AS date_to,
     CASE c_custkey % 3 WHEN 0 THEN 'READY' WHEN 1 THEN 'ready' ELSE 'completed' END AS status,
     CASE WHEN c_custkey % 10 = 0 THEN '{{broken' WHEN c_custkey % 10 = 1 THEN '{{"response":{{"GeoObjectCollection":{{"featureMember":[]}}}}}}'
     ELSE '{{"response":{{"GeoObjectCollection":{{"featureMember":[{{"GeoObject":{{"Point":{{"pos":"' || (30 + c_nationkey) || '.'
@@ -109,14 +113,15 @@ oldest AS (SELECT * FROM batch QUALIFY row_number() OVER (PARTITION BY number OR
 stored AS (SELECT 'N' || s_suppkey AS number, CASE s_suppkey % 4 WHEN 0 THEN '8' || d
         WHEN 1 THEN '+7 (' || d[1:3] || ') ' || d[4:6] || '-' || d[7:8] || '-' || d[9:10] WHEN 2 THEN d ELSE '12-' || s_suppkey END AS phone,
     s_name AS name, 'old' AS area, 'old city' AS city, 'old street' AS street, '' AS locality, '1' AS house, CAST(NULL AS VARCHAR) AS build,
-    'old note' AS comment, CAST(NULL AS DOUBLE) AS lon, CAST(NULL AS DOUBLE) AS lat, CAST(NULL AS VARCHAR) AS district
+    'old note' AS comment, 'old patronymic' AS patronymic, 'old surname' AS surname, '2020-01-01' AS date_inst,
+    'old guarantee' AS guarantee, 'old to' AS to1, '2021-01-01' AS date_to, CAST(NULL AS DOUBLE) AS lon, CAST(NULL AS DOUBLE) AS lat, CAST(NULL AS VARCHAR) AS district
     FROM (SELECT *, CAST(9000000000 + s_suppkey AS VARCHAR) AS d FROM supplier))
 """
 
 
 def _upsert() -> str:
     fixed = ("phone", "city", "street", "house")
-    changed = ("name", "area", "locality", "build", "comment", "lon", "lat", "district")
+    changed = ("name", "patronymic", "surname", "area", "locality", "build", "comment", "date_inst", "guarantee", "to1", "date_to", "lon", "lat", "district")
     columns = [f"CASE WHEN s.number IS NOT NULL THEN s.{c} ELSE o.{c} END AS {c}" for c in fixed]
     columns += [f"CASE WHEN n.number IS NOT NULL THEN n.{c} ELSE s.{c} END AS {c}" for c in changed]
     return with_(SHEET, STORED) + f"""

@@ -81,6 +81,7 @@ DEDUP_REASON = "phone/email/name_city match"
 OPERATOR_PHRASE = "связаться с оператором"
 OPERATOR_INTENT = "operator_request"
 UNKNOWN_INTENT = "unknown"
+UNKNOWN_ANSWER = "Я не нашел точный ответ. Передаю вопрос оператору."
 PRIORITY_RANK = {"critical": 1, "high": 2, "normal": 3, "low": 4}
 PRIORITY_RANK_OTHER = 9
 PRIORITY_MARK = {"critical": "🚨", "high": "⚠️", "normal": "ℹ️", "low": "🔹"}

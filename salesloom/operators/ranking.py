@@ -12,15 +12,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesloom.session import materialize
-
 
 def number_in_group(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
     name: str,
-    bucket: Column | None = None,
+    bucket: Column,
 ) -> DataFrame:
     """Add ``row_number() OVER (PARTITION BY keys ORDER BY order)`` as ``name``.
 
@@ -29,15 +27,10 @@ def number_in_group(
     keys sees one small row per bucket.
 
     ``bucket`` must not decrease along ``order`` (for example the day of the first order
-    column; NULL comes first). Without it the rows are ranged over all tasks by keys and
-    order, and each range is a bucket; that splits any group, at the price of writing the
-    rows to the checkpoint folder once, so that both uses see the same ranges.
+    column, or a range of row numbers; NULL comes first). Nothing runs before an action.
     """
     keys = list(keys)
     columns = df.columns
-    if bucket is None:
-        df = materialize(df.repartitionByRange(*keys, *order).withColumn("_range", F.spark_partition_id()))
-        bucket = F.col("_range")
     group = [c for i, key in enumerate(keys) for c in _null_free(df, F.col(key), f"_key{i}")]
     part = _null_free(df, bucket, "_bucket")
     bucketed = df.select("*", *group, *part)
@@ -63,6 +56,32 @@ def number_in_group(
     )
 
 
+def number_lines(df: DataFrame, key: str, levels: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    """Add ``row_number() OVER (PARTITION BY key ORDER BY levels, order)`` as ``name``, NULLs first.
+
+    Lines are counted per key and levels with map-side combine. The counts of earlier first levels
+    (days) of the key, and of earlier second levels (orders) of the first, are added to the number
+    inside the second; so a window over a key sees a row per day, one over a day a row per order.
+    """
+    first, second = levels
+    flat = [c for i, level in enumerate((key, first, second)) for c in _null_free(df, F.col(level), f"_l{i}")]
+    marked = df.select("*", *flat)
+    of = lambda *depth: [c for i in depth for c in (f"_l{i}", f"_l{i}_null")]
+    nulls_first = lambda i: (F.col(f"_l{i}_null").desc(), F.col(f"_l{i}"))
+    counts = marked.groupBy(*of(0, 1, 2)).agg(F.count(F.lit(1)).alias("_lines"))
+    earlier = lambda keys, i: Window.partitionBy(*keys).orderBy(*nulls_first(i)).rowsBetween(Window.unboundedPreceding, -1)
+    inner = counts.withColumn("_inner", F.coalesce(F.sum("_lines").over(earlier(of(0, 1), 2)), F.lit(0)))
+    outer = counts.groupBy(*of(0, 1)).agg(F.sum("_lines").alias("_day"))
+    outer = outer.withColumn("_outer", F.coalesce(F.sum("_day").over(earlier(of(0), 1)), F.lit(0))).drop("_day")
+    offsets = inner.join(outer, of(0, 1)).select(*of(0, 1, 2), (F.col("_inner") + F.col("_outer")).alias("_before"))
+    inside = Window.partitionBy(*of(0, 1, 2)).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    return (
+        marked.withColumn("_inside", F.row_number().over(inside))
+        .join(offsets, of(0, 1, 2))
+        .select(*df.columns, (F.col("_inside") + F.col("_before")).cast("bigint").alias(name))
+    )
+
+
 def _null_free(df: DataFrame, value: Column, name: str) -> list[Column]:
     """A value without NULLs and its NULL flag.
 
@@ -97,29 +116,23 @@ def first_filled(value: str, order: str) -> Column:
     return F.coalesce(F.min_by(F.col(value), F.when(filled, F.col(order))), F.lit(""))
 
 
-def sequential_ids(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
-    """Number rows 1, 2, 3, ... in the global order of ``order`` (which must be unique).
+def sequential_ids(df: DataFrame, key: str, name: str, prefix: int = 12) -> DataFrame:
+    """Number rows 1, 2, 3, ... in the order of the text ``key`` (which must be unique).
 
-    The rows are range-sorted over all tasks and written to the checkpoint folder once, so
-    both uses below see the same partitions. Only one size per partition is summed up in a
-    single window.
+    Keys are numbered inside their first ``prefix`` characters, and the counts of the earlier
+    prefixes are added. The one window without a partition sees a row per prefix.
     """
-    placed = materialize(
-        df.orderBy(*order)
-        .withColumn("_place", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftright("_place", 33))
-        .withColumn("_inside", F.col("_place").bitwiseAND(F.lit((1 << 33) - 1)))
-        .drop("_place")
-    )
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    placed = df.withColumn("_prefix", F.substring(key, 1, prefix))
+    before = Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        placed.groupBy("_part")
+        placed.groupBy("_prefix")
         .agg(F.count(F.lit(1)).alias("_size"))
-        .select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+        .select("_prefix", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
     )
-    # One row per partition of the sorted table: small enough to broadcast at any data size.
+    inside = F.row_number().over(Window.partitionBy("_prefix").orderBy(key))
     return (
-        placed.join(F.broadcast(starts), "_part")
-        .withColumn(name, (F.col("_start") + F.col("_inside") + 1).cast("bigint"))
-        .drop("_part", "_inside", "_start")
+        placed.withColumn("_inside", inside)
+        .join(starts, "_prefix")
+        .withColumn(name, (F.col("_start") + F.col("_inside")).cast("bigint"))
+        .drop("_prefix", "_inside", "_start")
     )

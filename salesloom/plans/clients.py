@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesloom import fixed_values as fv
@@ -19,7 +19,7 @@ from salesloom.functions.text import (
 )
 from salesloom.operators.joins import hot_from_counts, spread_join
 from salesloom.operators.kpis import to_long
-from salesloom.operators.ranking import first_filled, sequential_ids
+from salesloom.operators.ranking import first_filled, number_in_group, sequential_ids
 
 CONTACTS = ("full_name", "phone", "email", "city")
 _SCORED = ("full_name_clean", "phone_clean", "email_clean", "city_clean", "registered_at", "last_order_at", "loyalty_level")
@@ -27,8 +27,8 @@ _KEPT = (
     "client_id", "source", "registered_at", "last_order_at", "total_orders", "revenue_rub", "loyalty_level",
     "consent_email", "consent_sms",
 )
-# Longest id list shown in one cell. A larger group is listed in full by ``merge_map``.
-LISTED_IDS = 100
+# Ids in one part of an id list, and row numbers that are numbered together.
+PART_IDS, ROW_RANGE = 100, 100_000
 
 
 def normalize_contacts(clients: DataFrame) -> DataFrame:
@@ -84,35 +84,49 @@ def _groups(keyed: DataFrame) -> DataFrame:
     )
 
 
-def _id_lists(keyed: DataFrame, limit: int) -> DataFrame:
-    """Ids of a group joined in row order; NULL when there are more than ``limit``.
+def _id_lists(clients: DataFrame) -> DataFrame:
+    """Every id of a group in row order, ``PART_IDS`` to a part; parts count from 0.
 
-    The row limit is applied per task before the shuffle, so a group of any size reaches
-    its task as a few rows.
+    Rows are numbered inside ranges of row numbers, and a cell holds one part, so a group of
+    any size is spread over tasks and cells.
     """
-    in_order = Window.partitionBy("duplicate_key").orderBy("row_no")
-    first = (
-        keyed.select("duplicate_key", "row_no", F.col("client_id").cast("string").alias("id"))
-        .withColumn("_n", F.row_number().over(in_order))
-        .filter(F.col("_n") <= limit + 1)
+    row_range = F.expr(f"row_no div {ROW_RANGE}")
+    numbered = number_in_group(
+        clients.select("duplicate_key", "row_no", F.col("client_id").cast("string").alias("id")),
+        ["duplicate_key"],
+        [F.col("row_no")],
+        "position",
+        bucket=row_range,
     )
-    ids = F.array_sort(F.collect_list(F.struct("row_no", "id")))
-    listed = first.groupBy("duplicate_key").agg(ids.alias("_ids"))
-    joined = F.concat_ws(", ", F.col("_ids.id"))
-    return listed.select("duplicate_key", F.when(F.size("_ids") <= limit, joined).alias("merged_client_ids"))
+    parts = numbered.withColumn("part", F.expr(f"(position - 1) div {PART_IDS}"))
+    ids = F.array_sort(F.collect_list(F.struct("position", "id")))
+    listed = parts.groupBy("duplicate_key", "part").agg(ids.alias("_ids"))
+    return listed.select("duplicate_key", "part", F.concat_ws(", ", F.col("_ids.id")).alias("merged_client_ids"))
 
 
-def client_master(keyed: DataFrame, listed_ids: int = LISTED_IDS) -> DataFrame:
-    """One clean row per client."""
-    merged = _groups(keyed).join(_id_lists(keyed, listed_ids), "duplicate_key")
-    return merged.select(
+def client_id_list(keyed: DataFrame) -> DataFrame:
+    """The raw ids merged into each client, in parts."""
+    return _id_lists(keyed).select(short_hash("duplicate_key", 12).alias("client_uid"), "duplicate_key", "part", "merged_client_ids")
+
+
+def client_id_list_simple(clients: DataFrame) -> DataFrame:
+    """The raw ids of each group of ``duplicate_groups_simple``, in parts."""
+    listed = _id_lists(_simple_keys(clients))
+    groups = _simple_keys(clients).groupBy("duplicate_key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return listed.join(groups.select("duplicate_key"), "duplicate_key", "left_semi").withColumnRenamed(
+        "merged_client_ids", "client_ids"
+    )
+
+
+def client_master(keyed: DataFrame) -> DataFrame:
+    """One clean row per client; ``client_id_list`` has the ids merged into it."""
+    return _groups(keyed).select(
         short_hash("duplicate_key", 12).alias("client_uid"),
         F.col("master.client_id").alias("client_id"),
         *CONTACTS,
         F.col("master.source").alias("primary_source"),
         *[F.col(f"master.{c}").alias(c) for c in _KEPT if c not in ("client_id", "source")],
         F.col("records").alias("raw_records_in_group"),
-        "merged_client_ids",
     ).orderBy(F.col("revenue_rub").desc_nulls_last(), F.col("total_orders").desc_nulls_last(), "client_uid")
 
 
@@ -123,23 +137,26 @@ def merge_map(keyed: DataFrame) -> DataFrame:
     )
 
 
-def duplicate_groups(keyed: DataFrame, listed_ids: int = LISTED_IDS) -> DataFrame:
-    """Groups of two or more records. Ids number all groups in key order, singles included."""
+def duplicate_groups(keyed: DataFrame) -> DataFrame:
+    """Groups of two or more records. Ids number all groups in key order, singles included.
+
+    ``client_id_list`` has the ids of a group.
+    """
     groups = _groups(keyed).select("duplicate_key", "records", F.col("master.client_id").alias("selected_client_id"))
-    numbered = sequential_ids(groups, ["duplicate_key"], "duplicate_group_id").filter("records > 1")
-    return numbered.join(_id_lists(keyed, listed_ids), "duplicate_key").select(
+    numbered = sequential_ids(groups, "duplicate_key", "duplicate_group_id").filter("records > 1")
+    return numbered.select(
         "duplicate_group_id",
         "duplicate_key",
         F.col("records").alias("records_in_group"),
         "selected_client_id",
-        "merged_client_ids",
         F.lit(fv.DEDUP_REASON).alias("dedup_reason"),
     )
 
 
-def duplicate_groups_simple(clients: DataFrame) -> DataFrame:
-    """Groups by unverified email and a plain hash of the raw name and city."""
+def _simple_keys(clients: DataFrame) -> DataFrame:
+    """Keys by unverified email and a plain hash of the raw name and city."""
     prepared = clients.select(
+        "row_no",
         "client_id",
         F.lower(F.trim(F.coalesce("email", F.lit("")))).alias("email"),
         normalize_phone("phone").alias("phone"),
@@ -153,7 +170,12 @@ def duplicate_groups_simple(clients: DataFrame) -> DataFrame:
         .when(F.col("email") != "", F.concat(F.lit("email:"), "email"))
         .otherwise(F.concat(F.lit("name_city:"), name_city))
     )
-    grouped = prepared.withColumn("duplicate_key", key).groupBy("duplicate_key").agg(
+    return prepared.withColumn("duplicate_key", key)
+
+
+def duplicate_groups_simple(clients: DataFrame) -> DataFrame:
+    """Groups of two or more records by the simple keys; ``client_id_list_simple`` has their ids."""
+    grouped = _simple_keys(clients).groupBy("duplicate_key").agg(
         F.count(F.lit(1)).alias("records_in_group"),
         F.min("phone").alias("phone"),
         F.min("email").alias("email"),

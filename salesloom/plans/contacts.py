@@ -16,7 +16,10 @@ _REPLY = (
     "Components: array<struct<kind: string, name: string>>>>>>>>>>>"
 )
 # Columns that change for a known number; phone, city, street and house stay as stored.
-UPDATED = ("name", "area", "locality", "build", "comment", "lon", "lat", "district")
+UPDATED = (
+    "name", "patronymic", "surname", "area", "locality", "build", "comment", "date_inst", "guarantee", "to1", "date_to",
+    "lon", "lat", "district",
+)
 
 
 def ready_contacts(sheet: DataFrame) -> DataFrame:

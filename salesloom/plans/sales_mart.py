@@ -11,8 +11,7 @@ from salesloom import fixed_values as fv
 from salesloom.functions.numbers import count_when, long_sum, money_sum, ratio, rounded, sum_if
 from salesloom.functions.periods import iso_week_label, month_label, weekday_name
 from salesloom.operators.joins import hot_from_counts, key_violations, lookup_join, spread_join
-from salesloom.operators.ranking import number_in_group
-from salesloom.session import materialize
+from salesloom.operators.ranking import number_in_group, number_lines
 
 DETAIL_COLUMNS = (
     "order_date", "order_month", "order_week", "day_of_week", "order_id", "customer_id", "customer_name",
@@ -40,15 +39,13 @@ def price_items(items: DataFrame, products: DataFrame) -> DataFrame:
 def order_totals(items: DataFrame, products: DataFrame) -> DataFrame:
     """Net amount, margin and number of lines per order.
 
-    The items are priced and combined before the shuffle. The small result is written once,
-    because the numbering, the detail join and the search for hot orders all read it.
+    The items are priced and combined before the shuffle.
     """
-    totals = price_items(items, products).groupBy("order_id").agg(
+    return price_items(items, products).groupBy("order_id").agg(
         money_sum("net_revenue").alias("order_total"),
         money_sum("margin").alias("order_margin"),
         F.count(F.lit(1)).alias("lines"),
     )
-    return materialize(totals)
 
 
 def order_sequence(orders: DataFrame, totals: DataFrame) -> DataFrame:
@@ -77,12 +74,11 @@ def item_sequence(
     """Number of the *line item* in the customer's history.
 
     A first order with two items has the numbers 1 and 2, so its second line counts as a
-    repeat purchase here; ``order_sequence`` is the form without this effect. A single order
-    may hold very many lines, so rows are split by ranges instead of days.
+    repeat purchase here; ``order_sequence`` is the form without this effect. Lines are numbered
+    inside their order; the lines of the customer's earlier days and orders are added.
     """
     lines = items.join(orders.select("order_id", *order_columns), "order_id", "left")
-    order = [F.col(c).asc_nulls_first() for c in ("order_date", "order_id", *tiebreak)]
-    numbered = number_in_group(lines, ["customer_id"], order, "order_sequence")
+    numbered = number_lines(lines, "customer_id", ("order_date", "order_id"), tiebreak, "order_sequence")
     return numbered.withColumn("is_repeat_purchase", (F.col("order_sequence") > 1).cast("int"))
 
 

@@ -11,15 +11,6 @@ from salesloom import fixed_values as fv
 from salesloom.functions.ids import row_id
 from salesloom.functions.numbers import rounded
 from salesloom.functions.text import or_label, word_set
-from salesloom.operators.joins import spread_join
-
-# A knowledge base up to this number of (entry, word) pairs is sent to every executor.
-FAQ_BROADCAST = 1_000_000
-
-
-def _faq_words(faq: DataFrame, pattern: str, stop_words: Sequence[str]) -> DataFrame:
-    text = F.concat_ws(" ", "question", "answer", "category")
-    return faq.select("item_id", F.explode(word_set(text, pattern, stop_words)).alias("word"))
 
 
 def match_faq(
@@ -28,35 +19,32 @@ def match_faq(
     min_score: int = fv.FAQ_MIN_SCORE,
     pattern: str = fv.FAQ_TOKEN_PATTERN,
     stop_words: Sequence[str] = fv.FAQ_STOP_WORDS,
-    broadcast_up_to: int = FAQ_BROADCAST,
 ) -> DataFrame:
-    """Best FAQ entry per question by the number of shared words; ties go to the lower id.
+    """Best FAQ entry per question by the number of shared words, with its answer; ties go to the lower id.
 
     A shared word is enough for an answer, but below ``min_score`` an operator is needed
-    too. Questions are shuffled once, by their id. A knowledge base of at most
-    ``broadcast_up_to`` entry words (they are counted) then meets the words in place, and all
-    counting stays inside that partitioning. A larger one is joined by word, where words
-    that very many questions share are split over tasks.
+    too. One plan for any size: Spark broadcasts the words of a small knowledge base and splits
+    hot words of a large one. Answers are looked up for the best entries only.
     """
-    words = questions.select("question_id", word_set("question", pattern, stop_words).alias("words"))
-    words = words.repartition("question_id").select("question_id", F.explode_outer("words").alias("word"))
-    entries = _faq_words(faq, pattern, stop_words)
-    if entries.limit(broadcast_up_to + 1).count() <= broadcast_up_to:
-        hits = words.join(F.broadcast(entries), "word", "left")
-    else:
-        hits = spread_join(words, entries, "word", "left")
-    scores = hits.groupBy("question_id", "item_id").agg(F.count("item_id").alias("score"))
+    words = questions.select("question_id", F.explode(word_set("question", pattern, stop_words)).alias("word"))
+    text = F.concat_ws(" ", "question", "answer", "category")
+    entries = faq.select("item_id", F.explode(word_set(text, pattern, stop_words)).alias("word"))
+    scores = words.join(entries, "word").groupBy("question_id", "item_id").agg(F.count(F.lit(1)).alias("score"))
     rank = F.struct("score", (-F.col("item_id")).alias("earlier"))
     best = scores.groupBy("question_id").agg(F.max(rank).alias("best")).select(
         "question_id", (-F.col("best.earlier")).alias("item_id"), F.col("best.score").cast("int").alias("score")
     )
-    return best.join(faq.select("item_id", "intent"), "item_id", "left").select(
+    best = best.join(faq.select("item_id", "intent", "category", "answer"), "item_id")
+    score = F.coalesce("score", F.lit(0))
+    return questions.select("question_id").distinct().join(best, "question_id", "left").select(
         "question_id",
         F.col("item_id").isNotNull().alias("found"),
         "item_id",
         F.coalesce("intent", F.lit(fv.UNKNOWN_INTENT)).alias("intent"),
-        "score",
-        (F.col("score") < min_score).alias("need_operator"),
+        "category",
+        F.when(F.col("item_id").isNull(), fv.UNKNOWN_ANSWER).otherwise(F.col("answer")).alias("answer"),
+        score.alias("score"),
+        (score < min_score).alias("need_operator"),
     )
 
 

@@ -234,12 +234,17 @@ CLIENT_QUERIES: dict[str, Query] = {
     ),
     "client_dedup_key": lambda s, d: _keyed(s, d).select("row_no", "client_id", "completeness_score", "duplicate_key"),
     "client_master": lambda s, d: clients.client_master(_keyed(s, d)),
+    "client_id_list": lambda s, d: clients.client_id_list(_keyed(s, d)),
+    "client_id_list_sql": lambda s, d: clients.client_id_list_simple(b.dirty_clients(s, d)),
     "client_merge_map": lambda s, d: clients.merge_map(_keyed(s, d)),
     "client_duplicate_groups": lambda s, d: clients.duplicate_groups(_keyed(s, d)),
     "client_duplicate_groups_sql": lambda s, d: clients.duplicate_groups_simple(b.dirty_clients(s, d)),
     "client_duplicate_records": lambda s, d: clients.duplicate_records(_keyed(s, d)),
     "client_quality": lambda s, d: clients.client_quality(_keyed(s, d)),
-    "data_dictionary": lambda s, d: clients.dictionary_profile(clients.client_master(_keyed(s, d))),
+    # A client has merged ids where it has an id at all.
+    "data_dictionary": lambda s, d: clients.dictionary_profile(
+        clients.client_master(_keyed(s, d)).withColumn("merged_client_ids", F.col("client_id"))
+    ),
 }
 
 

@@ -1,10 +1,8 @@
-"""Session factory and lineage cutting."""
+"""Session factory."""
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings the marts are written for. Shuffle partitions start high and AQE merges
 # the small ones, so the same job fits a laptop and a large cluster.
@@ -38,29 +36,3 @@ def tune(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME.items():
         spark.conf.set(key, value)
     return spark
-
-
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints.
-
-    A cluster names it in ``spark.checkpoint.dir``. Only a local session, where the
-    driver and the executors share one disk, may fall back to a fresh temporary folder.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    return tempfile.mkdtemp(prefix="salesloom-checkpoint-")
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and read it back.
-
-    Needed where a plan uses one result twice and both uses must see the same rows in
-    the same partitions, even when executors are lost in between.
-    """
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(checkpoint_dir(df.sparkSession))
-    return df.checkpoint(eager=True)

@@ -495,6 +495,10 @@ def bot_leads(spark: SparkSession, folder: str) -> DataFrame:
         F.col("c_mktsegment").alias("service"),
         _text("до ", F.lit(50) * (1 + key % 3)).alias("budget"),
         _text("note ", key).alias("comment"),
+        _text("2024-01-1", key % 10).alias("date_inst"),
+        _choice(key % 2, {0: "yes"}, "no").alias("guarantee"),
+        F.when(key % 3 == 0, _text("to ", key % 4)).alias("to1"),
+        _text("2025-02-1", key % 10).alias("date_to"),
         F.when(key % 7 == 0, "").otherwise(_choice(key % 3, {0: "new", 1: "in_work"}, "done")).alias("status"),
         F.when(key % 4 == 0, "").otherwise(_text("m", key % 5)).alias("manager"),
     )
@@ -526,7 +530,7 @@ def faq_items(spark: SparkSession, folder: str) -> DataFrame:
         "item_id",
         _text("item", F.col("item_id")).alias("intent"),
         F.col("text").alias("question"),
-        F.lit("").alias("answer"),
+        _text("answer ", F.col("item_id")).alias("answer"),
         _text("c", F.col("item_id") % 5).alias("category"),
     )
 
@@ -562,6 +566,8 @@ def contact_sheet(spark: SparkSession, folder: str) -> DataFrame:
         _text("N", _div(key, 2)).alias("number"),
         _messy_phone(key).alias("phone"),
         F.col("c_name").alias("name"),
+        _text("patronymic ", key % 7).alias("patronymic"),
+        F.when(key % 5 != 0, _text("surname ", key)).alias("surname"),
         F.col("c_mktsegment").alias("area"),
         F.col("n_name").alias("city"),
         F.when(key % 6 != 0, _text("street ", key % 50)).alias("street"),
@@ -569,6 +575,10 @@ def contact_sheet(spark: SparkSession, folder: str) -> DataFrame:
         (key % 90).cast("string").alias("house"),
         F.when(key % 8 == 0, "b1").alias("build"),
         _text("note ", key).alias("comment"),
+        _text("2024-01-1", key % 10).alias("date_inst"),
+        _choice(key % 2, {0: "yes"}, "no").alias("guarantee"),
+        F.when(key % 3 == 0, _text("to ", key % 4)).alias("to1"),
+        _text("2025-02-1", key % 10).alias("date_to"),
         _choice(key % 3, {0: "READY", 1: "ready"}, "completed").alias("status"),
         F.when(key % 10 == 0, "{broken").when(key % 10 == 1, empty).otherwise(reply).alias("geocoder_reply"),
     )
@@ -582,6 +592,8 @@ def existing_contacts(spark: SparkSession, folder: str) -> DataFrame:
         _text("N", key).alias("number"),
         _messy_phone(key).alias("phone"),
         F.col("s_name").alias("name"),
+        F.lit("old patronymic").alias("patronymic"),
+        F.lit("old surname").alias("surname"),
         F.lit("old").alias("area"),
         F.lit("old city").alias("city"),
         F.lit("old street").alias("street"),
@@ -589,6 +601,10 @@ def existing_contacts(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("1").alias("house"),
         F.lit(None).cast("string").alias("build"),
         F.lit("old note").alias("comment"),
+        F.lit("2020-01-01").alias("date_inst"),
+        F.lit("old guarantee").alias("guarantee"),
+        F.lit("old to").alias("to1"),
+        F.lit("2021-01-01").alias("date_to"),
         F.lit(None).cast("double").alias("lon"),
         F.lit(None).cast("double").alias("lat"),
         F.lit(None).cast("string").alias("district"),

@@ -19,9 +19,11 @@ OUTBOX = T.StructType(
         T.StructField("priority_sort", T.IntegerType()),
         T.StructField("text", T.StringType()),
         T.StructField("batch", T.LongType()),
-        T.StructField("day", T.DateType()),
+        T.StructField("bucket", T.IntegerType()),
     ]
 )
+# Event ids are filed by hash: a batch looks only into the buckets of its own ids.
+BUCKETS = 64
 
 
 def read_outbox(spark, path: str) -> DataFrame:
@@ -31,26 +33,30 @@ def read_outbox(spark, path: str) -> DataFrame:
 def start_outbox(
     events: DataFrame, rules: DataFrame, path: str, checkpoint: str, interval: str | None = None
 ) -> StreamingQuery:
-    """Write the messages of new events, partitioned by batch and day.
+    """Write the messages of new events, partitioned by batch and bucket of the event id.
 
-    A batch that runs again replaces its own partitions. An event that comes again in a
-    later batch, however late, is found in the outbox; only the days that occur in the
-    batch are read for that. So no event is lost to a watermark and no state grows.
+    Of several rows of an id in a batch the earliest counts, so a batch that runs again
+    replaces its own partitions with the same rows. An event that comes again in a later
+    batch, on whatever day, is found in the outbox; only the buckets that occur in the batch
+    are read for that. So no event is lost to a watermark and no state grows.
     """
     spark = events.sparkSession
     ensure_table(spark, path, OUTBOX)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        messages = outbox(queued_events(batch, rules).dropDuplicates(["event_id"]))
+        messages = outbox(queued_events(batch, rules))
+        columns = [c for c in messages.columns if c != "event_id"]
+        earliest = F.min(F.struct("created_at", *[c for c in columns if c != "created_at"])).alias("_row")
+        messages = messages.groupBy("event_id").agg(earliest).select("event_id", "_row.*")
         messages = messages.withColumn("batch", F.lit(batch_id).cast("bigint"))
-        messages = messages.withColumn("day", F.to_date("created_at"))
+        messages = messages.withColumn("bucket", F.pmod(F.xxhash64("event_id"), F.lit(BUCKETS)).cast("int"))
         earlier = read_outbox(batch.sparkSession, path).filter(F.col("batch") < batch_id)
-        sent = earlier.join(messages.select("day").distinct(), "day", "left_semi").select("event_id")
+        sent = earlier.join(messages.select("bucket").distinct(), "bucket", "left_semi").select("event_id")
         (
             messages.join(sent, "event_id", "left_anti")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch", "day")
+            .partitionBy("batch", "bucket")
             .parquet(path)
         )
 

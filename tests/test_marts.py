@@ -44,7 +44,7 @@ def test_client_master(dirty):
     master = {r["client_id"]: r for r in clients.client_master(dirty).collect()}
     assert set(master) == {"C2", "C3", "C5", "C7"}
     ivan = master["C2"]
-    assert (ivan["full_name"], ivan["email"], ivan["merged_client_ids"]) == ("Иван Петров", "ivan@example.com", "C1, C2")
+    assert (ivan["full_name"], ivan["email"]) == ("Иван Петров", "ivan@example.com")
     assert (ivan["primary_source"], ivan["raw_records_in_group"], ivan["revenue_rub"]) == ("src2", 2, 5.0)
     assert ivan["client_uid"] == hashlib.sha1(b"phone:+79991112233").hexdigest()[:12]
 
@@ -57,11 +57,10 @@ def test_every_raw_record_is_in_one_client(dirty):
     assert merge.select("client_uid").distinct().count() == master.count()
 
 
-def test_large_groups_are_listed_in_the_map_only(dirty):
-    listed = {r["client_id"]: r["merged_client_ids"] for r in clients.client_master(dirty, listed_ids=1).collect()}
-    assert listed["C7"] == "C7" and listed["C2"] is None
-    uid = hashlib.sha1(b"phone:+79991112233").hexdigest()[:12]
-    assert clients.merge_map(dirty).filter(F.col("client_uid") == uid).count() == 2
+def test_ids_are_listed_in_row_order(dirty):
+    listed = {r["client_uid"]: (r["part"], r["merged_client_ids"]) for r in clients.client_id_list(dirty).collect()}
+    assert listed[hashlib.sha1(b"phone:+79991112233").hexdigest()[:12]] == (0, "C1, C2")
+    assert len(listed) == clients.client_master(dirty).count()
 
 
 def test_duplicate_groups_are_numbered_in_key_order(dirty):
@@ -81,11 +80,14 @@ def test_client_quality(dirty):
 
 
 def test_one_hot_group_of_copies(spark):
-    """A group with most of the rows gives one master and a full merge map."""
+    """A group with most of the rows gives one master, a full merge map and every id in order."""
     data = [client(i, "копия", "9990000000", None, revenue=float(i)) for i in range(1, 2001)] + [client(9999, "Один", None, None)]
     keyed = clients.with_keys(spark.createDataFrame(data, schemas.DIRTY_CLIENTS))
     master = {r["client_id"]: r for r in clients.client_master(keyed).collect()}
-    assert master["C2000"]["raw_records_in_group"] == 2000 and master["C2000"]["merged_client_ids"] is None
+    assert master["C2000"]["raw_records_in_group"] == 2000
+    parts = sorted((r["part"], r["merged_client_ids"]) for r in clients.client_id_list(keyed).collect() if r["duplicate_key"].startswith("phone"))
+    assert [p for p, _ in parts] == list(range(20))
+    assert ", ".join(ids for _, ids in parts).split(", ") == [f"C{i}" for i in range(1, 2001)]
     assert clients.merge_map(keyed).count() == 2001
 
 

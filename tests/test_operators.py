@@ -25,10 +25,9 @@ def hot(spark):
     return spark.createDataFrame(data, "id int, key string, d string").withColumn("d", F.col("d").cast("date")).cache()
 
 
-@pytest.mark.parametrize("bucket", ["d", None])
-def test_number_in_group_equals_the_plain_window(hot, bucket):
+def test_number_in_group_equals_the_plain_window(hot):
     order = [F.col("d").asc_nulls_first(), F.col("id")]
-    split = ranking.number_in_group(hot, ["key"], order, "n", bucket=bucket and F.col(bucket)).select("id", "n")
+    split = ranking.number_in_group(hot, ["key"], order, "n", bucket=F.col("d")).select("id", "n")
     plain = hot.withColumn("n", F.row_number().over(Window.partitionBy("key").orderBy(*order))).select("id", "n")
     assert rows(split) == rows(plain)
 
@@ -41,23 +40,20 @@ def test_no_window_sees_a_whole_hot_key(hot):
     assert row_windows and all("_bucket" in line.split("row_number()")[1] for line in row_windows)
 
 
-def test_ranges_split_one_key(spark):
-    """All rows have one key and one day: only ranges of the order can split them."""
-    df = spark.range(4000).select(F.lit("k").alias("key"), F.col("id"))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        ranged = df.repartitionByRange("key", "id").withColumn("p", F.spark_partition_id())
-        assert ranged.groupBy("p").count().agg(F.max("count")).first()[0] < 2000
-        numbered = ranking.number_in_group(df, ["key"], [F.col("id")], "n")
-        assert numbered.filter("n <> id + 1").count() == 0 and numbered.count() == 4000
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+def test_number_lines_equals_the_plain_window(spark):
+    rng = random.Random(3)
+    data = [(rng.choice(["a", "b", None]), rng.choice([1, 2, None]), rng.choice([7, 8, None]), i) for i in range(300)]
+    df = spark.createDataFrame(data, "k string, day int, o int, id int")
+    order = [F.col(c).asc_nulls_first() for c in ("day", "o", "id")]
+    plain = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy(*order)))
+    split = ranking.number_lines(df, "k", ("day", "o"), ["id"], "n")
+    assert rows(split.select("id", "n")) == rows(plain.select("id", "n"))
 
 
 def test_sequential_ids(spark):
     keys = [f"{random.Random(i).random():.12f}" for i in range(5000)]
     df = spark.createDataFrame([(k,) for k in keys], "k string").repartition(7)
-    found = {r["k"]: r["n"] for r in ranking.sequential_ids(df, ["k"], "n").collect()}
+    found = {r["k"]: r["n"] for r in ranking.sequential_ids(df, "k", "n", prefix=4).collect()}
     assert found == {k: i for i, k in enumerate(sorted(keys), start=1)}
 
 

@@ -48,7 +48,7 @@ def note(event_id, time, kind="lead", status="queued"):
 def test_outbox_sends_each_event_once(spark, tmp_path):
     rules = spark.createDataFrame([("r", "lead", "", "", "", 1), ("r", "off", "", "", "", 0)], schemas.NOTIFICATION_RULES)
     first = [note("e1", "25T10:00:00"), note("e1", "25T10:00:00"), note("e2", "25T11:00:00", "off"), note("e3", "01T11:00:00", status="sent")]
-    second = [note("e1", "25T10:00:00"), note("e4", "02T10:00:00"), note("e5", "26T10:00:00")]
+    second = [note("e1", "27T10:00:00"), note("e4", "02T10:00:00"), note("e4", "03T10:00:00"), note("e5", "26T10:00:00")]
     path = str(tmp_path / "outbox")
 
     def once(name, rows):
@@ -59,7 +59,8 @@ def test_outbox_sends_each_event_once(spark, tmp_path):
     once("a.json", first)
     once("b.json", second)
     sent = outbox.read_outbox(spark, path)
-    assert sorted(r["event_id"] for r in sent.collect()) == ["e1", "e4", "e5"]  # e4 came three weeks late
+    assert sorted(r["event_id"] for r in sent.collect()) == ["e1", "e4", "e5"]  # e1 came again on another day, e4 three weeks late
+    assert {r["event_id"]: r["created_at"].day for r in sent.collect()} == {"e1": 25, "e4": 2, "e5": 26}
     log = spark.read.schema(schemas.NOTIFICATIONS).json(str(tmp_path / "in"))
     marked = {(r["event_id"], r["status"]) for r in outbox.events_with_status(log, path).collect()}
     assert marked == {("e1", "sent"), ("e2", "queued"), ("e3", "sent"), ("e4", "sent"), ("e5", "sent")}
