@@ -15,11 +15,11 @@ forms AS (SELECT *, regexp_replace(phone, '[^0-9]', '', 'g') AS p FROM (
     FROM (SELECT *, CAST(9000000000 + c_custkey AS VARCHAR) AS d FROM customer))),
 checked AS (SELECT *, {CLEAN_PHONE} AS phone_ok, concat_ws(',', CASE WHEN length(name) NOT BETWEEN 2 AND 120 THEN 'name' END,
     CASE WHEN length(phone) NOT BETWEEN 7 AND 30 OR ({CLEAN_PHONE}) = '' THEN 'phone' END,
-    CASE WHEN NOT regexp_matches(email, '^[^@\\s]+@[^@\\s]+\\.[^@\\s]+$') THEN 'email' END,
+    CASE WHEN NOT regexp_matches(lower(trim(email)), '^[a-z0-9!#$%&''*+/=?^_`{{|}}~-]+([.][a-z0-9!#$%&''*+/=?^_`{{|}}~-]+)*@([a-z0-9]([a-z0-9-]*[a-z0-9])?[.])+[a-z]{{2,}}$') THEN 'email' END,
     CASE WHEN length(service) NOT BETWEEN 2 AND 160 THEN 'service' END, CASE WHEN length(comment) > 2000 THEN 'comment' END) AS errors FROM forms),
 validated AS (SELECT form_id, created_at, name, CASE WHEN errors = '' THEN phone_ok ELSE phone END AS phone, email, service, comment, utm_source,
     utm_medium, utm_campaign, page_url, errors, errors = '' AS is_valid,
-    'L-' || strftime(created_at, '%Y%m%d') || '-' || upper(sha1(CAST(form_id AS VARCHAR))[1:6]) AS lead_id,
+    'L-' || strftime(created_at, '%Y%m%d') || '-' || upper(sha1(CAST(form_id AS VARCHAR))[1:16]) AS lead_id,
     CASE WHEN errors = '' THEN 'new' ELSE 'rejected' END AS status, CASE WHEN errors = '' THEN 'queued' END AS crm_status,
     CASE WHEN errors = '' THEN 'queued' END AS telegram_status, CASE WHEN errors = '' THEN 'queued' END AS sheets_status FROM checked)
 """
@@ -68,7 +68,7 @@ best AS (SELECT question_id, item_id, score FROM (SELECT question_id, item_id, c
 matched AS (SELECT question_id, item_id IS NOT NULL AS found, item_id, coalesce('item' || item_id, 'unknown') AS intent, 'c' || (item_id % 5) AS category,
     coalesce('answer ' || item_id, 'Я не нашел точный ответ. Передаю вопрос оператору.') AS answer,
     coalesce(score, 0) AS score, coalesce(score, 0) < 2 AS need_operator FROM asked LEFT JOIN best USING (question_id)),
-tickets AS (SELECT 'T-' || strftime(created_at, '%Y%m%d') || '-' || upper(sha1(question_id)[1:6]) AS ticket_id, question_id, created_at, client_name,
+tickets AS (SELECT 'T-' || strftime(created_at, '%Y%m%d') || '-' || upper(sha1(question_id)[1:16]) AS ticket_id, question_id, created_at, client_name,
     channel, trim(question) AS question, CASE WHEN op THEN 'operator_request' ELSE intent END AS detected_intent,
     CASE WHEN op OR need_operator THEN 'operator' ELSE 'answered' END AS status, CAST(op OR need_operator AS INT) AS need_operator
     FROM (SELECT *, lower(question) = 'связаться с оператором' AS op FROM asked JOIN matched USING (question_id)))

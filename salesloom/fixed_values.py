@@ -43,6 +43,8 @@ CRM_RISK_WEIGHTS = {
 # --- patterns -------------------------------------------------------------------
 EMAIL_PATTERN = r"^[a-z0-9._%+\-]+@[a-z0-9.\-]+\.[a-z]{2,}$"
 LOOSE_EMAIL_PATTERN = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
+# Address of a site form: dot-separated local part, domain labels that begin and end with a letter or digit.
+STRICT_EMAIL_PATTERN = r"^[a-z0-9!#$%&'*+/=?^_`{|}~-]+(\.[a-z0-9!#$%&'*+/=?^_`{|}~-]+)*@([a-z0-9]([a-z0-9-]*[a-z0-9])?\.)+[a-z]{2,}$"
 FAQ_TOKEN_PATTERN = r"[a-zа-я0-9]+"
 FAQ_STOP_WORDS = ("как", "где", "что", "когда", "можно", "нужно", "по", "на", "и", "в")
 

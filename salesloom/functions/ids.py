@@ -15,9 +15,11 @@ def short_hash(value, length: int) -> Column:
 
 
 def row_id(prefix: str, created_at, natural_key) -> Column:
-    """``L-20240131-1A2B3C``: prefix, day and six hex digits of the natural key.
+    """``L-20240131-1A2B3C4D5E6F7A8B``: prefix, day and 64 bits of the natural key's hash.
+
+    Ids are keys of later joins, so they must stay apart for any number of rows a day.
 
     The key takes the place of a random number, so a task that runs again gives the same id.
     """
     day = F.date_format(_col(created_at), "yyyyMMdd")
-    return F.concat(F.lit(prefix + "-"), day, F.lit("-"), F.upper(short_hash(_col(natural_key).cast("string"), 6)))
+    return F.concat(F.lit(prefix + "-"), day, F.lit("-"), F.upper(short_hash(_col(natural_key).cast("string"), 16)))

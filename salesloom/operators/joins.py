@@ -29,14 +29,25 @@ def lookup_join(fact: DataFrame, dim: DataFrame, on: Sequence[str], check: bool
 
     No broadcast is forced: Spark broadcasts ``dim`` when its size is below
     ``spark.sql.autoBroadcastJoinThreshold`` and sort-merges otherwise, where AQE splits
-    the partitions of hot keys in ``fact`` (see ``session.tune``). With ``check`` a duplicate key in ``dim`` raises before
-    the join is built; the probe stops at the first duplicate.
+    the partitions of hot keys in ``fact`` (see ``session.tune``). With ``check`` a key that occurs twice in ``dim``
+    fails the job that reads the lookup; nothing runs before. NULL keys match nothing and may repeat.
     """
-    if check and dim.groupBy(*on).count().filter("count > 1").limit(1).take(1):
-        raise ValueError(f"lookup has duplicate keys on {list(on)}")
+    if check:
+        dim = _one_row_a_key(dim, on)
     return fact.join(dim, list(on), "left")
 
 
+def _one_row_a_key(dim: DataFrame, on: Sequence[str]) -> DataFrame:
+    rest = [c for c in dim.columns if c not in on]
+    complete = F.lit(True)
+    for c in on:
+        complete = complete & F.col(c).isNotNull()
+    found = dim.filter(complete).groupBy(*on).agg(F.count(F.lit(1)).alias("_copies"), F.first(F.struct(*rest)).alias("_row"))
+    twice = F.concat_ws(" ", F.lit(f"lookup has duplicate keys on {list(on)}:"), *[F.col(c).cast("string") for c in on])
+    row = F.when(F.col("_copies") > 1, F.raise_error(twice)).otherwise(F.col("_row"))
+    return found.select(*on, row.alias("_row")).select(*on, *[F.col("_row")[c].alias(c) for c in rest])
+
+
 def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Keys with more than ``rows_per_task`` rows and the number of parts to split them in.
 

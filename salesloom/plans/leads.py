@@ -21,21 +21,21 @@ def _length_ok(name: str) -> Column:
     return F.length(_text(name)).between(shortest, longest)
 
 
-def _is_email(name: str) -> Column:
-    return F.lower(F.trim(_text(name))).rlike(fv.LOOSE_EMAIL_PATTERN)
+def _is_email(name: str, pattern: str) -> Column:
+    return F.lower(F.trim(_text(name))).rlike(pattern)
 
 
 def validate_leads(forms: DataFrame) -> DataFrame:
     """Site forms with the failed checks, a stable id and the initial statuses.
 
-    ``errors`` names the fields that fail, in form order; a lead is valid when it is empty.
+    The site takes well-formed addresses only; the bot's check is looser. ``errors`` names the fields that fail, in form order; a lead is valid when it is empty.
     The phone of a valid lead is normalised.
     """
     phone = normalize_phone("phone")
     checks = {
         "name": _length_ok("name"),
         "phone": _length_ok("phone") & (phone != ""),
-        "email": _is_email("email"),
+        "email": _is_email("email", fv.STRICT_EMAIL_PATTERN),
         "service": _length_ok("service"),
         "comment": _length_ok("comment"),
     }
@@ -100,7 +100,7 @@ def validate_bot_leads(leads: DataFrame, services: DataFrame) -> DataFrame:
     checks = {
         "service": F.coalesce(F.col("_known"), F.lit(False)),
         "phone": F.length(digits_only("phone")).isin(10, 11),
-        "email": _is_email("email"),
+        "email": _is_email("email", fv.LOOSE_EMAIL_PATTERN),
     }
     errors = F.concat_ws(",", *[F.when(~ok, F.lit(field)) for field, ok in checks.items()])
     return (

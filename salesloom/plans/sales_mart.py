@@ -28,7 +28,7 @@ def price_items(items: DataFrame, products: DataFrame) -> DataFrame:
 
     The discount is rounded first and then taken off the gross amount.
     """
-    priced = lookup_join(items, products, ["product_id"])
+    priced = lookup_join(items, products, ["product_id"], check=True)
     gross = F.col("quantity") * F.col("unit_price")
     priced = priced.withColumn("gross_revenue", gross).withColumn("cost", F.col("quantity") * F.col("unit_cost"))
     priced = priced.withColumn("discount_amount", rounded(F.col("gross_revenue") * F.col("discount_pct"), 2))
@@ -99,7 +99,7 @@ def sales_detail(items: DataFrame, orders: DataFrame, customers: DataFrame, prod
     priced = price_items(items, products)
     totals = order_totals(items, products)
     sequence = order_sequence(orders, totals).drop("customer_id", "order_date")
-    order_rows = _order_flags(lookup_join(lookup_join(orders, customers, ["customer_id"]), sequence, ["order_id"]))
+    order_rows = _order_flags(lookup_join(lookup_join(orders, customers, ["customer_id"], check=True), sequence, ["order_id"]))
     order_rows = order_rows.withColumns(
         {
             "order_month": month_label("order_date"),
@@ -169,7 +169,7 @@ def daily_kpi_by_items(items: DataFrame, orders: DataFrame, products: DataFrame,
     The net amount is rounded in one step here: price times quantity times (1 - discount).
     """
     lines = item_sequence(items, orders, tiebreak, ("customer_id", "order_date", "order_status"))
-    lines = _order_flags(lookup_join(lines, products.select("product_id", "unit_cost"), ["product_id"]))
+    lines = _order_flags(lookup_join(lines, products.select("product_id", "unit_cost"), ["product_id"], check=True))
     net = F.col("quantity") * F.col("unit_price") * (F.lit(1.0) - F.col("discount_pct"))
     lines = lines.withColumn("net", rounded(net, 2))
     lines = lines.withColumn("margin", rounded(F.col("net") - F.col("quantity") * F.col("unit_cost"), 2))

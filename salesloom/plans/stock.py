@@ -44,7 +44,7 @@ def stock_report(
         .groupBy("marketplace", "sku")
         .agg(long_sum("orders").alias("orders_3d"), money_sum("revenue").alias("revenue_3d"))
     )
-    report = lookup_join(lookup_join(stock, products, ["sku"]), sold, ["marketplace", "sku"])
+    report = lookup_join(lookup_join(stock, products, ["sku"], check=True), sold, ["marketplace", "sku"])
     report = report.fillna(0, subset=["orders_3d", "revenue_3d"])
     commission = F.col("price") * F.col("commission_rate")
     report = report.withColumn("available_stock", F.col("stock") - F.col("reserved"))

@@ -144,7 +144,7 @@ def test_delta_label(one, cur, prev, label):
 
 def test_row_id_is_stable(one):
     expression = row_id("L", F.lit("2024-01-31").cast("date"), "x")
-    assert one(7, expression, "int") == one(7, expression, "int") == "L-20240131-902BA3"
+    assert one(7, expression, "int") == one(7, expression, "int") == "L-20240131-902BA3CDA1883801"
 
 
 def test_rules(spark):
