@@ -495,10 +495,6 @@ def bot_leads(spark: SparkSession, folder: str) -> DataFrame:
         F.col("c_mktsegment").alias("service"),
         _text("до ", F.lit(50) * (1 + key % 3)).alias("budget"),
         _text("note ", key).alias("comment"),
-        _text("2024-01-1", key % 10).alias("date_inst"),
-        _choice(key % 2, {0: "yes"}, "no").alias("guarantee"),
-        F.when(key % 3 == 0, _text("to ", key % 4)).alias("to1"),
-        _text("2025-02-1", key % 10).alias("date_to"),
         F.when(key % 7 == 0, "").otherwise(_choice(key % 3, {0: "new", 1: "in_work"}, "done")).alias("status"),
         F.when(key % 4 == 0, "").otherwise(_text("m", key % 5)).alias("manager"),
     )
