@@ -17,22 +17,26 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     so a node with very many links can be split. The number of rounds grows with the logarithm of
     the longest chain. Links of a node with itself and nulls are left out: a node without other links has no row.
     """
-    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("a IS NOT NULL AND b IS NOT NULL")
+    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("a <> b")
     edges = written(edges.distinct(), name)
-    before = None
-    while True:
+    while not _settled(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         edges = _star(both, F.col("v") > F.col("u"), name)
         edges = _star(edges, F.lit(True), name)
-        state = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-        if state == before:
-            break
-        before = state
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     ).distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node has one link up and none below it: then all links lead to a root."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return nodes.filter("up > 1 OR (up = 1 AND down = 1)").isEmpty()
+
+
 def _star(edges: DataFrame, moved, name: str) -> DataFrame:
     """Link each node and its (moved) neighbours to the least of them."""
     least = written(edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), name)
