@@ -12,7 +12,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import partial
-from itertools import chain
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +38,11 @@ STOP = re.compile(r"[.,](?=[ \n]|\Z)")
 OTHER_STOP = re.compile(r"(?:[^a-z\xdf-\xf6\xf8-\xff]|\A)[.,](?:[ \n]|\Z)")  # not after a letter
 
 
+# The letters that byte-level tokenizers write for bytes which are no visible Latin-1 characters.
+_HIDDEN = [c for c in range(256) if not (33 <= c <= 126 or 161 <= c <= 172 or 174 <= c)]
+BYTE_LETTERS = {c: 256 + k for k, c in enumerate(_HIDDEN)}
+
+
 def _apart(text: str) -> str:
     """Blanks where the tokenizer cuts anyway: between a letter and a last full stop or comma.
 
@@ -67,6 +72,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {"": b""}
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
@@ -86,6 +92,22 @@ class WordEncoder:
                 del known[p]
 
     def _encoded(self, words: list[str]) -> list[bytes]:
+        """Ids of each word. Lower-case Latin-1 letters alone need no more than the tokenizer's model."""
+        plain = {w: w for w in words if w.isalpha() and w.isascii() and w.islower()}
+        for w in words:
+            if w not in plain and w.isalpha() and w.islower() and max(w) < "\u0100":
+                plain[w] = w.encode().decode("latin-1").translate(BYTE_LETTERS)
+        tokenize = self.model.tokenize
+        lists = [[t.id for t in tokenize(x)] for x in plain.values()]
+        flat = np.array(list(chain.from_iterable(lists)), dtype="<u4").tobytes()
+        cuts = [0, *accumulate(4 * len(own) for own in lists)]
+        ids = {w: flat[a:b] for w, a, b in zip(plain, cuts, cuts[1:])}
+        rest = [w for w in words if w not in plain]
+        if rest:
+            ids.update(zip(rest, self._encoded_whole(rest)))
+        return [ids[w] for w in words]
+
+    def _encoded_whole(self, words: list[str]) -> list[bytes]:
         got = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
         ids = np.array(got.ids, dtype="<u4").tobytes()
         begins = np.fromiter((a for a, _ in got.offsets), dtype=np.int64, count=len(ids) // 4)
