@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -71,6 +72,12 @@ def spread_out(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished jobs now: its cleaner acts when the driver's garbage is collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def small_batches(spark: SparkSession) -> None:
     """Few rows at a time go to Python workers: texts may be long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm.common import small_batches, spread_out, table, written
+from salesloom.llm.common import release, small_batches, spread_out, table, written
 from salesloom.llm.shingles import chunks, mixed, powers
 
 LENGTH = 400
@@ -180,10 +180,11 @@ def repeated(suffixes: DataFrame, name: str) -> DataFrame:
     """The suffixes that are not alone: ``twice`` if all their strings occur elsewhere, ``several`` if
     others with the same leading tokens differ.
 
-    Spark samples splitters and deals out ranges of suffixes. A range is cut within equal suffixes
+    Spark samples splitters and deals out ranges of suffixes; for the sample it computes them a
+    second time, which costs less than a written copy. A range is cut within equal suffixes
     too, by document and place, so that one that fills a third of the corpus is many tasks' work.
     """
-    ranged = written(suffixes, name).repartitionByRange("t0", "t1", "t2", "id", "key", "at")
+    ranged = suffixes.repartitionByRange("t0", "t1", "t2", "id", "key", "at")
     marked = written(ranged.mapInArrow(_compared, MARKED), f"{name}-sorted")
     # One row per range.
     ends = sorted((r["part"], r["ends"]) for r in marked.filter("ends IS NOT NULL").select("part", "ends").collect())
@@ -206,7 +207,7 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hashes = Hashes(np.frombuffer(text, dtype=np.uint8))
             at = np.concatenate([np.arange(s["lo"], s["hi"] + 1) for s in spans])
             h1, h2 = (hashes(k, at, at + LENGTH).view(np.int64) for k in (0, 1))
-            columns = [h1, h2, h2, np.full(len(at), id_.as_py()), np.full(len(at), key.as_py()), at, at, at]
+            columns = [h1, h2, np.zeros(len(at), np.int64), np.full(len(at), id_.as_py()), np.full(len(at), key.as_py()), at, at, at]
             yield pa.RecordBatch.from_arrays([pa.array(c).cast(t) for c, t in zip(columns, TYPES)], NAMES)
 
 
@@ -264,13 +265,21 @@ def substring_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str
     )
     texts = own.select("id", "key", "text")
     found = written(repeated(texts.mapInArrow(_suffixes, SUFFIX), "suffixes"), "repeated-suffixes")
+    release(spark)
     whole = found.filter("twice").select("id", "key", "lo", "hi")
     # Where suffixes agree in the leading tokens only, their strings are compared one by one, of one
-    # suffix of each kind; all strings of a kind that occurs twice are known to repeat.
-    kinds = found.filter("several").groupBy("t1", "t2").agg(F.min(F.struct("id", "key", "lo", "hi")).alias("one"))
-    wanted = kinds.select("one.*").groupBy("id", "key").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    # suffix of each kind; all strings of a kind that occurs twice are known to repeat, so only
+    # the leading tokens of some kind that is alone matter.
+    kinds = found.filter("several").groupBy("t0", "t1", "t2").agg(
+        F.min(F.struct("id", "key", "lo", "hi")).alias("one"), F.min("twice").alias("twice")
+    )
+    kinds = written(kinds, "kinds")
+    alone = written(kinds.filter("NOT twice").select("t0").distinct(), "alone")
+    wanted = kinds.join(alone, "t0", "left_semi").select("one.*").groupBy("id", "key").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
     strings = texts.join(wanted, ["id", "key"]).mapInArrow(_strings, SUFFIX)
     part = repeated(strings, "strings").filter("twice").select("id", "key", "lo", "hi")
+    part = written(part, "repeated-strings")
+    release(spark)
     spans = whole.unionByName(part).groupBy("id", "key").agg(F.collect_list(F.struct("lo", "hi")).alias("found"))
     cut = own.join(spans, ["id", "key"], "left").select("id", "none", "text", "found").mapInArrow(_cut, CUT)
     return cut.select(F.when(~F.col("none"), F.col("id")).alias(id_column), "n_bytes", "n_removed", "spans", "kept")
