@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import zlib
 from collections.abc import Iterator
 from functools import partial
 
@@ -15,7 +17,8 @@ from salesloom.llm.components import components
 from salesloom.llm.shingles import THRESHOLD, MinHash, chunks, mixed, set_id, shingle_sets, word_hashes
 from salesloom.llm.verify import blocked, link_groups, verified_links, with_sets
 
-MIN_WORDS = 25  # shorter paragraphs are headings and set phrases, and stay
+MIN_WORDS = 25  # shorter paragraphs take part together with their neighbours
+MOST = 4  # times MIN_WORDS: a block of short paragraphs ends there at the latest
 RECALL = 0.9998  # of pairs of paragraphs at the threshold
 VALUES = 64  # MinHash values a paragraph may cost
 
@@ -33,10 +36,49 @@ def _chance(similarity, bands: int, rows: int):
     return 1 - (1 - similarity**rows) ** bands
 
 
-def _paragraphs(text: bytes, min_words: int) -> Iterator[tuple[int, bytes]]:
-    for at, part in enumerate(text.split(b"\n")):
-        if len(part) >= 2 * min_words - 1:  # as many words need as many bytes and breaks
-            yield at, part
+def _units(lines: list[bytes], counts: list[int], min_words: int) -> list[tuple[int, int]]:
+    """First and last line of what is compared as one: a line of ``min_words`` words, a block of shorter ones, a short text.
+
+    A block ends, once it has ``min_words`` words, before a line without words or after a line that its
+    own hash names, so that copies are cut alike; what is too short at the end of a run joins the block before.
+    """
+    filled = [k for k, n in enumerate(counts) if n]
+    if sum(counts) < min_words:
+        return [(filled[0], filled[-1])] if filled else []
+    units: list[tuple[int, int]] = []
+    run: list[list] = []  # the blocks of a run of short lines: first, last, words, ended
+    for k, n in enumerate([*counts, min_words]):
+        if n >= min_words:
+            if len(run) > 1 and run[-1][2] < min_words:
+                tail = run.pop()
+                run[-1][1] = tail[1]
+            units += [(first, last) for first, last, words, _ in run if words >= min_words]
+            run = []
+            units += [(k, k)] if k < len(counts) else []
+        elif n:
+            if not run or run[-1][3]:
+                run.append([k, k, 0, False])
+            block = run[-1]
+            block[1], block[2] = k, block[2] + n
+            block[3] = block[2] >= min_words and (zlib.crc32(lines[k]) % 2 == 0 or block[2] >= MOST * min_words)
+        elif run:
+            run[-1][3] = run[-1][2] >= min_words
+    return units
+
+
+def _lines(texts: list[str | None]) -> Iterator[tuple[int, list[bytes], np.ndarray, np.ndarray]]:
+    """Of each text its number, its lines, the words of each line, and the hashes of all words."""
+    data = [(t or "").encode() for t in texts]
+    for a, b in chunks(data):
+        split = [d.split(b"\n") for d in data[a:b]]
+        hashes, owner = word_hashes([line for lines in split for line in lines])
+        counts = np.bincount(owner, minlength=sum(map(len, split)))
+        line = word = 0
+        for k, lines in enumerate(split, a):
+            own = counts[line : line + len(lines)]
+            n = int(own.sum())
+            yield k, lines, own, hashes[word : word + n]
+            line, word = line + len(lines), word + n
 
 
 def _banded(batches: Iterator[pa.RecordBatch], bands: int, rows: int, min_words: int) -> Iterator[pa.RecordBatch]:
@@ -44,36 +86,60 @@ def _banded(batches: Iterator[pa.RecordBatch], bands: int, rows: int, min_words:
     weights = (2 * np.arange(rows, dtype=np.uint64) + np.uint64(3)) * np.uint64(0x9E3779B97F4A7C15) | np.uint64(1)
     salts = mixed(np.arange(1, bands + 1, dtype=np.uint64))
     for batch in batches:
-        parts, owners, places = [], [], []
-        for k, text in enumerate(batch.column("text")):
-            for at, part in _paragraphs((text.as_py() or "").encode(), min_words):
-                parts.append(part)
-                owners.append(k)
-                places.append(at)
+        parts, places = [], []
+        for k, lines, counts, _ in _lines(batch.column("text").to_pylist()):
+            for at, to in _units(lines, counts.tolist(), min_words):
+                parts.append(b"\n".join(lines[at : to + 1]))
+                places.append((k, at, to))
         out: list[tuple] = []
-        for k, at, shingles, n_words in zip(owners, places, shingle_sets(parts), _word_counts(parts)):
-            if n_words >= min_words:
-                values = minhash(shingles).astype(np.uint64).reshape(bands, rows)
-                keys = mixed((values * weights).sum(axis=1, dtype=np.uint64) ^ salts).view(np.int64)
-                out.append((k, at, set_id(shingles), len(shingles), keys))
-        columns = list(zip(*out)) or [[]] * 5
+        for (k, at, to), shingles in zip(places, shingle_sets(parts)):
+            values = minhash(shingles).astype(np.uint64).reshape(bands, rows)
+            keys = mixed((values * weights).sum(axis=1, dtype=np.uint64) ^ salts).view(np.int64)
+            out.append((k, at, to, set_id(shingles), len(shingles), keys))
+        columns = list(zip(*out)) or [[]] * 6
         owner = pa.array(columns[0], pa.int64())
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("id").take(owner),
                 batch.column("key").take(owner),
                 pa.array(columns[1], pa.int32()),
-                pa.array(columns[2], pa.binary()),
-                pa.array(columns[3], pa.int64()),
-                pa.array(columns[4], pa.list_(pa.int64())),
+                pa.array(columns[2], pa.int32()),
+                pa.array(columns[3], pa.binary()),
+                pa.array(columns[4], pa.int64()),
+                pa.array(columns[5], pa.list_(pa.int64())),
             ],
-            ["id", "key", "at", "cls", "n", "bands"],
+            ["id", "key", "at", "to", "cls", "n", "bands"],
         )
 
 
-def _word_counts(parts: list[bytes]) -> Iterator[int]:
-    for a, b in chunks(parts):
-        yield from np.bincount(word_hashes(parts[a:b])[1], minlength=b - a).tolist()
+def _windows(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
+    """The strings of ``min_words`` words that begin or end with a shorter line, and the lines that each holds whole."""
+    for batch in batches:
+        out: list[tuple] = []
+        for k, _, counts, hashes in _lines(batch.column("text").to_pylist()):
+            filled = np.flatnonzero(counts)
+            ends = np.cumsum(counts)[filled]
+            starts = ends - counts[filled]
+            short = counts[filled] < min_words
+            begins = np.unique(np.concatenate([starts[short], ends[short] - min_words]))
+            begins = begins[(begins >= 0) & (begins + min_words <= len(hashes))]
+            low = filled[np.searchsorted(starts, begins)]
+            high = filled[np.searchsorted(ends, begins + min_words, side="right") - 1]
+            for at, a, b in zip(begins.tolist(), low.tolist(), high.tolist()):
+                out.append((k, at, a, b, hashlib.blake2b(hashes[at : at + min_words].tobytes(), digest_size=16).digest()))
+        columns = list(zip(*out)) or [[]] * 5
+        owner = pa.array(columns[0], pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("id").take(owner),
+                batch.column("key").take(owner),
+                pa.array(columns[1], pa.int64()),
+                pa.array(columns[2], pa.int32()),
+                pa.array(columns[3], pa.int32()),
+                pa.array(columns[4], pa.binary()),
+            ],
+            ["id", "key", "word", "at", "to", "cls"],
+        )
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,7 +149,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text, wanted in zip(batch.column("text"), batch.column("what").to_pylist()):
             lines = (text.as_py() or "").encode().split(b"\n")
             rows += wanted
-            parts += [lines[w["at"]] for w in wanted]
+            parts += [b"\n".join(lines[w["at"] : w["to"] + 1]) for w in wanted]
         sets = [s.astype("<u8").tobytes() for s in shingle_sets(parts)]
         yield pa.RecordBatch.from_arrays(
             [
@@ -97,6 +163,35 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _own(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    return docs.select(
+        F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"), text_key(F.col(text_column)).alias("key")
+    )
+
+
+def repeated_passages(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = MIN_WORDS
+) -> DataFrame:
+    """Lines of fewer than ``min_words`` words in a string of that many that stood before: id, key, at and to (from 0).
+
+    Every short line is looked up with the words after it and with the words before it, whatever
+    lines those are in, and each string covers the lines that it holds whole. So every short line
+    of a passage of whole lines that repeats is found, if the passage has ``min_words`` words in
+    all, and a short line beside a long one as well if the words next to it repeat too. Words count,
+    not what stands between them. The first string in the order of id (null last), text key and place stays.
+    """
+    spark = docs.sparkSession
+    spread_out(spark)
+    small_batches(spark)
+    schema = "id long, key long, word long, at int, to int, cls binary"
+    own = _own(docs, id_column, text_column)
+    windows = written(own.mapInArrow(partial(_windows, min_words=min_words), schema), "passages")
+    place = F.struct(F.col("id").isNull().alias("none"), "id", "key", "word")
+    leads = windows.groupBy("cls").agg(F.min(place).alias("lead"), F.max(place).alias("final"))
+    leads = written(leads.filter("lead <> final").drop("final"), "passage-leads")
+    return windows.join(leads, "cls").filter(place != F.col("lead")).select("id", "key", "at", "to")
+
+
 def repeated_paragraphs(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -104,9 +199,10 @@ def repeated_paragraphs(
     min_words: int = MIN_WORDS,
     recall: float = RECALL,
 ) -> DataFrame:
-    """Paragraphs that repeat an earlier one: id, key (of the text), at (from 0), group, and the first's id and place.
+    """Paragraphs that repeat an earlier one: id, key (of the text), at and to (first and last line, from 0), group, and the first's id and place.
 
-    A paragraph is what stands between two ``\\n``; it takes part with ``min_words`` words or more.
+    A paragraph is a line, what stands between two ``\\n``, of ``min_words`` words or more, a block of
+    consecutive shorter lines that reaches as many, or a whole text that does not.
     Paragraphs that share at least ``THRESHOLD`` of their different five-word shingles are linked;
     in each component of links the first in the order of id (null last), text key and place
     stays. Bands are tuned so that a pair at the threshold meets in one with probability ``recall``;
@@ -116,12 +212,10 @@ def repeated_paragraphs(
     spread_out(spark)
     small_batches(spark)
     bands, rows = tuned_bands(THRESHOLD[0] / THRESHOLD[1], recall, VALUES)
-    own = docs.select(
-        F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"), text_key(F.col(text_column)).alias("key")
-    )
-    schema = "id long, key long, at int, cls binary, n long, bands array<long>"
+    own = _own(docs, id_column, text_column)
+    schema = "id long, key long, at int, to int, cls binary, n long, bands array<long>"
     marked = written(own.mapInArrow(partial(_banded, bands=bands, rows=rows, min_words=min_words), schema), "paragraphs")
-    place = F.struct(F.col("id").isNull().alias("none"), "id", "key", "at")
+    place = F.struct(F.col("id").isNull().alias("none"), "id", "key", "at", "to")
     classes = written(
         marked.groupBy("cls").agg(
             F.min(place).alias("first"), F.max(place).alias("last"), F.first("n").alias("n"), F.first("bands").alias("bands")
@@ -136,7 +230,7 @@ def repeated_paragraphs(
     members = blocked(groups.withColumnRenamed("node", "cls").join(classes.select("cls", "first", "n"), "cls"))
     # A document's wanted paragraphs travel together: its text is read once.
     wanted = members.groupBy("first.id", "first.key").agg(
-        F.collect_list(F.struct("cls", "root", "blocks", "block", F.col("first.at").alias("at"))).alias("what")
+        F.collect_list(F.struct("cls", "root", "blocks", "block", F.col("first.at").alias("at"), F.col("first.to").alias("to"))).alias("what")
     )
     schema = "cls binary, root binary, blocks int, block int, shingles binary"
     links = verified_links(with_sets(own, wanted, _sets, schema), partial(_chance, bands=bands, rows=rows))
@@ -147,18 +241,23 @@ def repeated_paragraphs(
     leads = written(leads.filter("lead <> final").drop("final"), "paragraph-leads")
     doubled = written(summary.join(leads, "root").select("cls", "lead", "root"), "doubled-classes")
     later = marked.drop("bands", "n").join(doubled, "cls").filter(place != F.col("lead"))
-    return later.select("id", "key", "at", F.col("root").alias("group"), "lead").distinct()
+    return later.select("id", "key", "at", "to", F.col("root").alias("group"), "lead").distinct()
 
 
-def paragraph_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
-    """Every document with the paragraphs that ``repeated_paragraphs`` leaves.
+def paragraph_dedup(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = MIN_WORDS, **options
+) -> DataFrame:
+    """Every document with the lines that ``repeated_paragraphs`` and ``repeated_passages`` leave.
 
     Result: id, ``n_paragraphs`` (pieces between ``\\n``), ``removed`` (their numbers from 0, sorted)
     and ``text`` (what stays; null stays null). Null and empty texts have one empty paragraph. Rows
     equal in id and text are one document and come back each. Other columns are not used.
     """
-    gone = repeated_paragraphs(docs, id_column, text_column, **options)
-    gone = gone.groupBy(F.col("id").alias("i"), F.col("key").alias("k")).agg(F.sort_array(F.collect_set("at")).alias("removed"))
+    gone = repeated_paragraphs(docs, id_column, text_column, min_words, **options).select("id", "key", "at", "to")
+    gone = gone.unionByName(repeated_passages(docs, id_column, text_column, min_words))
+    line = F.explode(F.sequence("at", "to")).alias("line")
+    gone = gone.select(F.col("id").alias("i"), F.col("key").alias("k"), line)
+    gone = gone.groupBy("i", "k").agg(F.sort_array(F.collect_set("line")).alias("removed"))
     lines = F.split(F.coalesce(F.col("text"), F.lit("")), "\n")
     own = docs.select(
         F.col(id_column).alias("id"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -13,6 +14,7 @@ from salesloom.llm import line_dedup, minhash_forest, paragraph_dedup, suffix_de
 from salesloom.llm.components import components
 from salesloom.llm.shingles import MinHash, shingle_sets, similar_pairs
 from salesloom.llm.suffix_dedup import across_boundaries, anchors, multikey_order
+from tests.llm.conftest import sentence
 
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -158,6 +160,67 @@ def test_paragraphs(awkward):
     assert len(docs) < sum(map(len, found.values()))
 
 
+def removed_short_lines(docs, n=25):
+    """Short lines held whole by a string of ``n`` words, from or to the edge of a short line, that stood before."""
+    seen, removed = set(), {}
+    for d in sorted(docs, key=lambda d: (d[0] is None, d[0] or 0)):
+        counts = [len(words(line)) for line in (d[1] or "").split("\n")]
+        w, ends = words(d[1]), np.cumsum(counts).tolist()
+        spans = [(k, e - c, e) for k, (c, e) in enumerate(zip(counts, ends)) if c]
+        begins = {b for _, s, e in spans if e - s < n for b in (s, e - n) if 0 <= b <= len(w) - n}
+        removed[d] = set()
+        for b in sorted(begins):
+            string = tuple(w[b : b + n])
+            if string in seen:
+                held = [k for k, s, e in spans if b <= s and e <= b + n]
+                removed[d] |= set(range(held[0], held[-1] + 1))
+            seen.add(string)
+    return removed
+
+
+def test_passages_of_short_lines(spark, awkward):
+    rng = random.Random(11)
+    new = lambda *sizes: [sentence(rng, n) for n in sizes]
+    verse, near, table_rows, below = new(8, 16, 22, 15, 6), new(*[14] * 12), new(9, 9, 11, 24, 4), new(3, 40)
+    changed = ["changed " + near[0].split(" ", 1)[1], *near[1:]]  # no string of 25 words that holds the first line is left
+    texts = [
+        verse,  # 0
+        [*new(30, 5), *verse, *new(7, 60)],  # 1: copied between other lines
+        near,  # 2
+        changed,  # 3: a near copy of short lines only
+        [*table_rows, *new(114)],  # 4
+        [*new(50, 12, 3), "", *table_rows[:2], "--", *table_rows[2:], *new(80)],  # 5: blank lines in the copy
+        [*new(60), *below],  # 6
+        [*new(60), *below, *new(12)],  # 7: a heading goes with its paragraph
+        [*new(60), *new(3), below[1]],  # 8: a heading of its own stays
+        new(4, 5),  # 9
+        None,
+    ]
+    texts[10:] = [texts[9], [*new(60), texts[9][0], *new(70)]]  # a whole short text; a set phrase by itself stays
+    rows = [(k, "\n".join(t)) for k, t in enumerate(texts)]
+    found = {r["doc_id"]: r["removed"] for r in paragraph_dedup.paragraph_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = {1: [2, 3, 4, 5, 6], 3: list(range(12)), 5: [4, 5, 6, 7, 8, 9], 7: [1, 2], 8: [2], 10: [0, 1]}
+    assert found == {k: want.get(k, []) for k in range(len(rows))}
+    both = awkward.select("doc_id", "text").union(spark.createDataFrame([(k + 100, t) for k, t in rows], "doc_id long, text string"))
+    by_hand = removed_short_lines(distinct_texts(both))
+    keys = {(r["id"], r["key"]): (r["id"], r["text"]) for r in paragraph_dedup._own(both, "doc_id", "text").collect()}
+    got = defaultdict(set)
+    for r in paragraph_dedup.repeated_passages(both).collect():
+        got[keys[r["id"], r["key"]]] |= set(range(r["at"], r["to"] + 1))
+    assert got == {d: lines for d, lines in by_hand.items() if lines} and len(got) >= 5
+
+
+def test_blocks_of_short_lines_end_where_copies_end_too():
+    lines = [f"{k} b c d e f g h".encode() for k in range(40)]
+    blocks = paragraph_dedup._units(lines, [8] * 40, 25)
+    assert [k for a, b in blocks for k in range(a, b + 1)] == list(range(40))
+    assert all(25 <= 8 * (b - a + 1) <= 100 + 8 + 24 for a, b in blocks)
+    shifted = paragraph_dedup._units([b"x y z"] + lines, [3] + [8] * 40, 25)
+    assert len({(a + 1, b + 1) for a, b in blocks} & set(shifted)) >= len(blocks) - 3
+    assert paragraph_dedup._units(lines[:3], [30, 4, 30], 25) == [(0, 0), (2, 2)]
+    assert paragraph_dedup._units(lines[:2], [0, 4], 25) == [(1, 1)] and paragraph_dedup._units([b""], [0], 25) == []
+
+
 def test_bands_are_tuned():
     bands, rows = paragraph_dedup.tuned_bands(0.8, 0.9998, 64)
     assert bands * rows <= 64 and 1 - (1 - 0.8**rows) ** bands >= 0.9998
