@@ -1,4 +1,4 @@
-"""Packing documents into sequences of a fixed length: linear grouping, few-size patterns, best fit.
+"""Packing documents into sequences of a fixed length: linear grouping with few-size patterns, or best fit.
 
 Only the histogram of piece lengths, at most ``capacity`` rows whatever the data, is planned on the
 driver. The plan says which ranks of a length go into which sequences; pieces are ranked and placed
@@ -291,7 +291,10 @@ class Plan:
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS) -> np.ndarray:
-    """Rows of length, first rank, count, first sequence and offset, sorted by length and rank."""
+    """Rows of length, first rank, count, first sequence and offset, sorted by length and rank.
+
+    Patterns for the large lengths and best fit for the small, or best fit for all where that needs fewer sequences.
+    """
     counts = np.zeros(capacity + 1, dtype=np.int64)
     for length, n in histogram.items():
         counts[length] = n
@@ -306,6 +309,10 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROU
     small = counts.copy()
     small[capacity // LARGE + 1 :] = 0
     made.small(small)
+    plain = Plan(capacity)
+    plain.small(counts)
+    if plain.sequences < made.sequences:
+        made = plain
     rows = np.array(sorted(made.rows), dtype=np.int64).reshape(-1, 5)
     return rows
 

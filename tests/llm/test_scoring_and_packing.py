@@ -69,6 +69,20 @@ def test_a_plan_places_every_rank_once(histogram, groups):
     assert set(bins) == set(range(len(bins)))
 
 
+def test_a_plan_is_no_looser_than_best_fit():
+    rng = random.Random(2)
+    histogram = Counter(min(2048, int(rng.lognormvariate(5.5, 1.2)) + 1) for _ in range(3000))
+    rooms = []
+    for length in sorted(histogram.elements(), reverse=True):
+        fits = [k for k, room in enumerate(rooms) if room >= length]
+        if not fits:
+            rooms.append(2048)
+            fits = [len(rooms) - 1]
+        rooms[min(fits, key=rooms.__getitem__)] -= length
+    rows = packing.plan(histogram)
+    assert int((rows[:, 3] + rows[:, 2]).max()) <= len(rooms)
+
+
 def test_patterns_meet_all_demands():
     sizes, demands = [60, 45, 40, 30, 21], [7, 90, 33, 64, 11]
     patterns = packing.few_size_patterns(sizes, demands, 100)
