@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import co_training, line_dedup, minhash_forest, packing, paragraph_dedup, quality_rules, suffix_dedup, toxicity, warc, winnowing
+from salesloom.llm import (
+    co_training,
+    line_dedup,
+    merkle,
+    minhash_forest,
+    mixing,
+    packing,
+    paragraph_dedup,
+    quality_rules,
+    suffix_dedup,
+    toxicity,
+    warc,
+    winnowing,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +36,8 @@ def queries() -> dict[str, Query]:
         "op8_toxicity": toxicity.op8_toxicity,
         "op9_benchmark_decontamination": winnowing.op9_benchmark_decontamination,
         "op10_warc": warc.op10_warc,
+        "op11_source_mixing": mixing.op11_source_mixing,
+        "op12_merkle_manifest": merkle.op12_merkle_manifest,
     }
 
 
@@ -31,4 +46,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_line_dedup": line_dedup.OP5_SQL,
         "op7_quality_rules": quality_rules.OP7_SQL,
         "op9_benchmark_decontamination": winnowing.OP9_SQL,
+        "op12_merkle_manifest": merkle.OP12_SQL,
     }
