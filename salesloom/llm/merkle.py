@@ -53,13 +53,13 @@ def siblings(n: int, level: int, index: int) -> list[int]:
     return [k for k in range(first, min(first + FAN, nodes_at(n, level))) if k != index]
 
 
-def subtree_nodes(n: int, leaves: list[str], base: int, first: int) -> Iterator[tuple[int, int, str]]:
+def subtree_nodes(n: int, leaves: list[str], base: int, first: int, levels: int = LEVELS) -> Iterator[tuple[int, int, str]]:
     """Level, index and digest of what a builder adds over the nodes ``first`` .. of level ``base``, in completion order.
 
-    ``first`` is a multiple of FAN ** LEVELS. In a tree of ``n`` leaves the nodes are all that
+    ``first`` is a multiple of FAN ** levels. In a tree of ``n`` leaves the nodes are all that
     follow up to the next such multiple or the tree's end; each level's last run may be short.
     """
-    top = min(height(n) - base, LEVELS)
+    top = min(height(n) - base, levels)
     open_: list[list[str]] = [[] for _ in range(top + 1)]
     last = nodes_at(n, base) - 1
     for k, leaf in enumerate(leaves, first):
@@ -120,20 +120,20 @@ IS_ROOT = f"at = 0 AND {_span('level')} >= n AND (level = 0 OR {_span('greatest(
 NODES = "grp string, n long, level int, at long, digest string"
 
 
-def _builder(base: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+def _builder(base: int, levels: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def built(batch: pd.DataFrame) -> pd.DataFrame:
         batch = batch.sort_values("at", kind="stable")
         n, group = int(batch["n"].iloc[0]), batch["grp"].iloc[0]
-        rows = [(group, n, *node) for node in subtree_nodes(n, batch["digest"].tolist(), base, int(batch["at"].iloc[0]))]
+        rows = [(group, n, *node) for node in subtree_nodes(n, batch["digest"].tolist(), base, int(batch["at"].iloc[0]), levels)]
         return pd.DataFrame(rows, columns=["grp", "n", "level", "at", "digest"])
 
     return built
 
 
-def append_log(leaves: DataFrame, name: str) -> DataFrame:
+def append_log(leaves: DataFrame, name: str, levels: int = LEVELS) -> DataFrame:
     """The logs of one tree per group: grp, n (leaves), level, at (index in the level) and digest.
 
-    ``leaves``: grp, n, at, digest. A builder takes ``FAN ** LEVELS`` nodes that begin at a multiple
+    ``leaves``: grp, n, at, digest. A builder takes ``FAN ** levels`` nodes that begin at a multiple
     of as many and writes the nodes above them in completion order; the next round's builders take
     their roots, until each tree has one. Each round's nodes are a written table, no builder's work
     grows with a tree, and a lost one is built again alone.
@@ -141,10 +141,10 @@ def append_log(leaves: DataFrame, name: str) -> DataFrame:
     log = level = leaves.select("grp", "n", F.lit(0).alias("level"), "at", "digest")
     base = 0
     while not (todo := level.filter(F.col("n") > F.lit(POWERS[base]))).isEmpty():
-        builder = F.expr(f"at div {FAN**LEVELS}L").alias("builder")
-        made = written(todo.groupBy("grp", builder).applyInPandas(_builder(base), NODES), name)
+        builder = F.expr(f"at div {FAN**levels}L").alias("builder")
+        made = written(todo.groupBy("grp", builder).applyInPandas(_builder(base, levels), NODES), name)
         log = log.unionByName(made)
-        base += LEVELS
+        base += levels
         level = made.filter(F.col("level") == base)
     return log
 
@@ -157,6 +157,7 @@ class Manifest:
     log: DataFrame
     tops: DataFrame
     top_log: DataFrame
+    levels: int = LEVELS
 
     def entries(self) -> DataFrame:
         """Both logs as they are kept: ``top`` (the upper tree), grp, ``position``, level, digest; a log is sorted by position."""
@@ -168,18 +169,18 @@ class Manifest:
         """For every leaf: ``kept`` columns, leaf, subroot, root, ``proof`` (digests of all siblings, lowest level first), ``folded``.
 
         ``folded`` is the root that the column ``claimed``, a digest, gives with the siblings. Leaves are
-        served in blocks of ``FAN ** LEVELS``: a block reads its own stretch of the log and, by their positions, the
+        served in blocks of ``FAN ** levels``: a block reads its own stretch of the log and, by their positions, the
         few nodes that it needs of the levels above and of the tree over the groups.
         """
-        width = FAN**LEVELS
-        inner = self.log.filter((F.col("level") > 0) & (F.col("level") < LEVELS))
-        inner = inner.select("grp", F.expr(f"at div element_at(array({', '.join(f'{p}L' for p in reversed(POWERS[: LEVELS + 1]))}), level + 1)").alias("block"), F.lit(False).alias("top"), _position("level", "at", "n").alias("position"), "digest")
+        levels, width = self.levels, FAN**self.levels
+        inner = self.log.filter((F.col("level") > 0) & (F.col("level") < levels))
+        inner = inner.select("grp", F.expr(f"at div element_at(array({', '.join(f'{p}L' for p in reversed(POWERS[: levels + 1]))}), level + 1)").alias("block"), F.lit(False).alias("top"), _position("level", "at", "n").alias("position"), "digest")
         leaves = self.leaves.withColumn("block", F.expr(f"at div {width}L"))
         tops = self.tops.select(F.col("of").alias("grp"), F.col("at").alias("top_at"), F.col("n").alias("top_n"))
         leaves = leaves.join(tops, "grp")
         blocks = leaves.groupBy("grp", "block").agg(F.first("n").alias("n"))
-        upper = self.log.filter(F.col("level") >= LEVELS).select(F.col("grp").alias("g"), _position("level", "at", "n").alias("p"), "digest")
-        wanted = _wanted(blocks, "block", LEVELS, "block")
+        upper = self.log.filter(F.col("level") >= levels).select(F.col("grp").alias("g"), _position("level", "at", "n").alias("p"), "digest")
+        wanted = _wanted(blocks, "block", levels, "block")
         wanted = wanted.join(upper, (F.col("grp") == F.col("g")) & (F.col("position") == F.col("p")))
         wanted = wanted.select("grp", "block", F.lit(False).alias("top"), "position", "digest")
         top_log = self.top_log.select(_position("level", "at", "n").alias("p"), "digest")
@@ -244,7 +245,7 @@ def _proved(leaves: pd.DataFrame, nodes: pd.DataFrame, kept: list[str]) -> pd.Da
     return found
 
 
-def manifest(leaves: DataFrame, order: list[Column], name: str = "merkle") -> Manifest:
+def manifest(leaves: DataFrame, order: list[Column], name: str = "merkle", levels: int = LEVELS) -> Manifest:
     """Merkle trees over ``leaves`` (grp: a string, not null; digest: lowercase hex; more columns), one per group, and one over their roots.
 
     In a group leaves stand in ``order``; groups ascend bytewise. While a tree has several
@@ -253,10 +254,10 @@ def manifest(leaves: DataFrame, order: list[Column], name: str = "merkle") -> Ma
     """
     spread_out(leaves.sparkSession)
     ordered = written(in_order(leaves, order, f"{name}-ranked"), f"{name}-leaves")
-    log = append_log(ordered, f"{name}-log")
+    log = append_log(ordered, f"{name}-log", levels)
     roots = log.filter(IS_ROOT).select(F.lit("").alias("grp"), F.col("grp").alias("of"), "digest")
     tops = written(in_order(roots, [F.col("of")], f"{name}-groups"), f"{name}-roots")
-    return Manifest(ordered, log, tops, append_log(tops, f"{name}-top"))
+    return Manifest(ordered, log, tops, append_log(tops, f"{name}-top", levels), levels)
 
 
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")

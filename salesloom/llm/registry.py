@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from salesloom.llm import (
     co_training,
+    conversation_repair,
     line_dedup,
     merkle,
     minhash_forest,
@@ -38,6 +39,7 @@ def queries() -> dict[str, Query]:
         "op10_warc": warc.op10_warc,
         "op11_source_mixing": mixing.op11_source_mixing,
         "op12_merkle_manifest": merkle.op12_merkle_manifest,
+        "op13_conversation_repair": conversation_repair.op13_conversation_repair,
     }
 
 
