@@ -20,7 +20,8 @@ WEIGHTS = (1, 2, 3)  # of the sources in the order of their names, repeating
 PASSES = 3  # times a source is used up at most
 BLOCK = 64  # words of a block
 SHARD = 8192  # blocks of an output shard
-BUCKET = 20_000  # documents that are put in order together, about
+BUCKET = 4096  # documents that are put in order together, about
+TASK_SLOTS = 1 << 19  # slots that one task makes, about
 RUN = 4096  # rows whose running total one task makes
 SEED = 11
 
@@ -149,7 +150,8 @@ class Mixture:
 
     def taken(self) -> DataFrame:
         """``documents`` with ``taken``, the words of each that are in the mix, repeats counted."""
-        met = self.pieces().join(self.slots, ["source_no", "block"])
+        # Slots are many more than the rows they are made of, by which Spark would judge their size.
+        met = self.pieces().join(self.slots.hint("merge"), ["source_no", "block"])
         sums = met.groupBy("source_no", "first").agg(F.sum("words").alias("taken"))
         sums = sums.select(F.col("source_no").alias("s"), F.col("first").alias("f"), "taken")
         # Documents of a source begin at different words, but for those that have none.
@@ -167,7 +169,7 @@ class Mixture:
         same = F.col("id").eqNullSafe(F.col("i")) & (F.col("key") == F.col("k")) & F.col("source").eqNullSafe(F.col("s"))
         found = self.documents.filter("size > 0").join(own, same).select("source_no", "first", "text")
         cut = found.mapInArrow(partial(_cut, block=self.block), "source_no long, block long, place long, text string")
-        parts = self.slots.join(cut, ["source_no", "block"]).groupBy(*self.slots.columns)
+        parts = self.slots.hint("merge").join(cut, ["source_no", "block"]).groupBy(*self.slots.columns)
         parts = parts.agg(F.array_sort(F.collect_list(F.struct("place", "text"))).alias("parts"))
         return parts.select(*self.slots.columns, F.array_join("parts.text", " ").alias("text"))
 
@@ -255,7 +257,7 @@ def _drawn(spark: SparkSession, sources: list[tuple[Fraction, int, int]], shard:
     draws = partial(_draws, total=total, shares=shares, seed=seed, shard=shard)
     schema = "shard long, source_no long, n long, inside long, slots long"
     drawn = written(spark.range(-(-total // shard)).mapInArrow(draws, schema), "mix-draws")
-    numbered = running_totals(drawn, "source_no", "shard", "n")
+    numbered = running_totals(drawn, "source_no", "shard", "n").repartition(max(1, -(-total // TASK_SLOTS)), "shard")
     kinds = "shard long, position long, source_no long, pass long, block long"
     return numbered.mapInArrow(partial(_slots, blocks=[b for *_, b in sources], seed=seed, passes=passes), kinds)
 
