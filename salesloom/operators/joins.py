@@ -105,6 +105,17 @@ def spread_join(
     return joined.drop("_salt")
 
 
+def shuffled_join(left: DataFrame, right: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """Equi-join whose hot keys AQE may split also where a side is an aggregate on the key.
+
+    Spark would keep an aggregate's partitioning, which can't be split. A second key, the hash of the
+    first, has both sides shuffled plainly, and nothing is counted beforehand. Still Spark broadcasts a
+    side that is small at run time.
+    """
+    same = F.xxhash64(on).alias("_same")
+    return left.select("*", same).join(right.select("*", same), [on, "_same"], how).drop("_same")
+
+
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     half_lat = F.radians(lat2 - lat1) / 2
     half_lon = F.radians(lon2 - lon1) / 2

@@ -11,6 +11,8 @@ from salesloom import fixed_values as fv
 from salesloom.functions.ids import row_id
 from salesloom.functions.numbers import rounded
 from salesloom.functions.text import or_label, word_set
+from salesloom.operators.joins import shuffled_join
+from salesloom.operators.matching import overlap_search
 
 
 def match_faq(
@@ -23,17 +25,16 @@ def match_faq(
     """Best FAQ entry per question by the number of shared words, with its answer; ties go to the lower id.
 
     A shared word is enough for an answer, but below ``min_score`` an operator is needed
-    too. One plan for any size: Spark broadcasts the words of a small knowledge base and splits
-    hot words of a large one. Answers are looked up for the best entries only.
+    too. Questions with the same words are looked up once, in one plan for any size: a common word
+    makes no pairs of questions and entries (see ``overlap_search``). Answers are looked up for the best entries only.
     """
-    words = questions.select("question_id", F.explode(word_set("question", pattern, stop_words)).alias("word"))
     text = F.concat_ws(" ", "question", "answer", "category")
-    entries = faq.select("item_id", F.explode(word_set(text, pattern, stop_words)).alias("word"))
-    scores = words.join(entries, "word").groupBy("question_id", "item_id").agg(F.count(F.lit(1)).alias("score"))
-    rank = F.struct("score", (-F.col("item_id")).alias("earlier"))
-    best = scores.groupBy("question_id").agg(F.max(rank).alias("best")).select(
-        "question_id", (-F.col("best.earlier")).alias("item_id"), F.col("best.score").cast("int").alias("score")
-    )
+    entries = faq.select(F.col("item_id").alias("entry"), word_set(text, pattern, stop_words).alias("words"))
+    asked = questions.select("question_id", F.sort_array(word_set("question", pattern, stop_words)).alias("words"))
+    asked = asked.select("question_id", F.sha2(F.array_join("words", " "), 256).alias("set_id"), "words")
+    sets = asked.groupBy("set_id").agg(F.first("words").alias("words"))
+    found = overlap_search(sets, entries).best().withColumnRenamed("entry", "item_id")
+    best = shuffled_join(asked.select("question_id", "set_id"), found, "set_id").drop("set_id")
     best = best.join(faq.select("item_id", "intent", "category", "answer"), "item_id")
     score = F.coalesce("score", F.lit(0))
     return questions.select("question_id").distinct().join(best, "question_id", "left").select(

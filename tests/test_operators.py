@@ -93,30 +93,48 @@ def test_equal_copies_are_spread_too(spark):
     assert salted.select("_salt").distinct().count() > 2 and salted.count() == 2000
 
 
-def test_aqe_splits_a_hot_key_of_a_plain_lookup(spark):
+SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    "spark.sql.shuffle.partitions": "16",
+}
+
+
+@pytest.fixture
+def small_limits(spark):
+    before = {k: spark.conf.get(k, None) for k in SKEW}
+    for k, v in SKEW.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _hot_fact(spark):
+    return spark.range(0, 60000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"), F.sha1(F.col("id").cast("string")).alias("v")
+    )
+
+
+def test_aqe_splits_a_hot_key_of_a_plain_lookup(spark, small_limits):
     """The lookup join is left to Spark; with small limits its plan shows the split."""
-    changed = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
-        "spark.sql.shuffle.partitions": "16",
-    }
-    before = {k: spark.conf.get(k, None) for k in changed}
-    try:
-        for k, v in changed.items():
-            spark.conf.set(k, v)
-        fact = spark.range(0, 60000, numPartitions=8).select(
-            F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"), F.sha1(F.col("id").cast("string")).alias("v")
-        )
-        dim = spark.range(0, 60000, numPartitions=8).select(F.col("id").alias("k"), F.lit("x").alias("name"))
-        joined = joins.lookup_join(fact, dim, ["k"])
-        assert len(joined.collect()) == 60000
-        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    dim = spark.range(0, 60000, numPartitions=8).select(F.col("id").alias("k"), F.lit("x").alias("name"))
+    joined = joins.lookup_join(_hot_fact(spark), dim, ["k"])
+    assert len(joined.collect()) == 60000
+    assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_aqe_splits_a_hot_key_beside_an_aggregate(spark, small_limits):
+    fact = _hot_fact(spark)
+    counts = fact.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    joined = joins.shuffled_join(fact, counts, "k")
+    assert joined.agg(F.sum("n")).first()[0] == 20001**2 + 39999 and joined.columns == ["k", "v", "n"]
+    rows = joined.select("k", "v", "n")
+    assert len(rows.collect()) == 60000
+    assert "skew=true" in rows._jdf.queryExecution().executedPlan().toString()
 
 
 def test_lookup_join_contract(spark):
