@@ -82,7 +82,8 @@ def item_sequence(
     return numbered.withColumn("is_repeat_purchase", (F.col("order_sequence") > 1).cast("int"))
 
 
-def _order_flags(df: DataFrame) -> DataFrame:
+def order_flags(df: DataFrame) -> DataFrame:
+    """``is_paid`` and ``is_cancelled`` (0 or 1) from the order status; no status is neither."""
     status = F.col("order_status")
     paid = F.coalesce(status.isin(*fv.COUNTED_ORDER_STATUSES), F.lit(False))
     cancelled = F.coalesce(status.isin(*fv.CANCELLED_ORDER_STATUSES), F.lit(False))
@@ -99,7 +100,7 @@ def sales_detail(items: DataFrame, orders: DataFrame, customers: DataFrame, prod
     priced = price_items(items, products)
     totals = order_totals(items, products)
     sequence = order_sequence(orders, totals).drop("customer_id", "order_date")
-    order_rows = _order_flags(lookup_join(lookup_join(orders, customers, ["customer_id"], check=True), sequence, ["order_id"]))
+    order_rows = order_flags(lookup_join(lookup_join(orders, customers, ["customer_id"], check=True), sequence, ["order_id"]))
     order_rows = order_rows.withColumns(
         {
             "order_month": month_label("order_date"),
@@ -169,7 +170,7 @@ def daily_kpi_by_items(items: DataFrame, orders: DataFrame, products: DataFrame,
     The net amount is rounded in one step here: price times quantity times (1 - discount).
     """
     lines = item_sequence(items, orders, tiebreak, ("customer_id", "order_date", "order_status"))
-    lines = _order_flags(lookup_join(lines, products.select("product_id", "unit_cost"), ["product_id"], check=True))
+    lines = order_flags(lookup_join(lines, products.select("product_id", "unit_cost"), ["product_id"], check=True))
     net = F.col("quantity") * F.col("unit_price") * (F.lit(1.0) - F.col("discount_pct"))
     lines = lines.withColumn("net", rounded(net, 2))
     lines = lines.withColumn("margin", rounded(F.col("net") - F.col("quantity") * F.col("unit_cost"), 2))
@@ -193,10 +194,14 @@ def daily_kpi_by_items(items: DataFrame, orders: DataFrame, products: DataFrame,
 
 
 def category_metrics(detail: DataFrame) -> DataFrame:
+    return line_category_metrics(_paid(detail))
+
+
+def line_category_metrics(paid_lines: DataFrame) -> DataFrame:
+    """The same from paid lines alone."""
     keys = ["category", "product_name"]
     grouped = (
-        _paid(detail)
-        .dropna(subset=keys)
+        paid_lines.dropna(subset=keys)
         .groupBy(*keys)
         .agg(
             money_sum("net_revenue").alias("revenue"),
@@ -258,7 +263,12 @@ def last_days(daily: DataFrame, days: int = 14) -> DataFrame:
 
 
 def top_categories(detail: DataFrame, k: int = 7) -> DataFrame:
-    grouped = _paid(detail).dropna(subset=["category"]).groupBy("category").agg(money_sum("net_revenue").alias("revenue"))
+    return top_line_categories(_paid(detail), k)
+
+
+def top_line_categories(paid_lines: DataFrame, k: int = 7) -> DataFrame:
+    """The same from paid lines alone."""
+    grouped = paid_lines.dropna(subset=["category"]).groupBy("category").agg(money_sum("net_revenue").alias("revenue"))
     return grouped.orderBy(F.col("revenue").desc(), "category").limit(k)
 
 

@@ -21,6 +21,7 @@ from salesloom.plans import (
     crm,
     leads,
     notifications,
+    order_states,
     orders_report,
     sales_mart,
     sales_report,
@@ -83,8 +84,17 @@ def _item_sequence(s: SparkSession, d: str) -> DataFrame:
     return sales_mart.item_sequence(items, b.mart_orders(s, d), TIEBREAK)
 
 
-def _daily_kpi_by_items(s: SparkSession, d: str) -> DataFrame:
-    return sales_mart.daily_kpi_by_items(b.order_items(s, d), b.mart_orders(s, d), b.mart_products(s, d), TIEBREAK)
+def _daily_kpis(s: SparkSession, d: str) -> DataFrame:
+    states = order_states.order_states_in_one_step(b.order_items(s, d), b.mart_products(s, d))
+    return order_states.daily_kpis(states, b.mart_orders(s, d))
+
+
+def _states(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    return order_states.order_states(b.order_items(s, d), b.mart_products(s, d)), b.mart_orders(s, d)
+
+
+def _paid_lines(s: SparkSession, d: str) -> DataFrame:
+    return order_states.paid_lines(b.order_items(s, d), b.mart_orders(s, d), b.mart_products(s, d))
 
 
 def _lookup_violations(s: SparkSession, d: str) -> DataFrame:
@@ -105,14 +115,14 @@ SALES_QUERIES: dict[str, Query] = {
     "sales_detail": _detail,
     "order_sequence": _order_sequence,
     "item_sequence": _item_sequence,
-    "sales_daily_metrics": lambda s, d: sales_mart.daily_metrics(_detail(s, d)),
-    "sales_daily_kpi_sql": _daily_kpi_by_items,
-    "category_metrics": lambda s, d: sales_mart.category_metrics(_detail(s, d)),
-    "customer_metrics": lambda s, d: sales_mart.customer_metrics(_detail(s, d)),
+    "sales_daily_metrics": lambda s, d: order_states.daily_metrics(*_states(s, d)),
+    "sales_daily_kpi_sql": _daily_kpis,
+    "category_metrics": lambda s, d: sales_mart.line_category_metrics(_paid_lines(s, d)),
+    "customer_metrics": lambda s, d: order_states.customer_metrics(*_states(s, d), b.mart_customers(s, d)),
     "lookup_key_violations": _lookup_violations,
-    "sales_overall_kpis": lambda s, d: sales_mart.overall_kpis(_detail(s, d)),
-    "sales_last_14_days": lambda s, d: sales_mart.last_days(sales_mart.daily_metrics(_detail(s, d))),
-    "top_categories": lambda s, d: sales_mart.top_categories(_detail(s, d)),
+    "sales_overall_kpis": lambda s, d: order_states.overall_kpis(*_states(s, d)),
+    "sales_last_14_days": lambda s, d: sales_mart.last_days(order_states.daily_metrics(*_states(s, d))),
+    "top_categories": lambda s, d: sales_mart.top_line_categories(_paid_lines(s, d)),
     "sales_data_dictionary": lambda s, d: sales_mart.dictionary_profile(_detail(s, d), fv.SALES_DICTIONARY),
     "sales_daily_kpis": lambda s, d: sales_report.daily_kpis(b.sales_orders(s, d), SALES_DAY),
     "sales_by_channel": lambda s, d: sales_report.by_channel(b.sales_orders(s, d), SALES_DAY),
