@@ -208,3 +208,7 @@ SALES_DICTIONARY = {
     "order_total": ("Сумма заказа после скидки", "number"),
     "avg_check": ("Средний чек заказа", "number"),
 }
+
+# Outcomes of handing a lead to a channel; of two at the same moment the later in this list counts.
+DELIVERY_STATUSES = ("queued", "skipped", "error", "sent")
+DELIVERY_CHANNELS = ("crm", "telegram", "sheets")

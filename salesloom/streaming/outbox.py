@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from salesloom.plans.notifications import mark_sent, outbox, queued_events
 from salesloom.streaming.files import ensure_table, triggered
+from salesloom.streaming.state import keyed_state
 
-OUTBOX = T.StructType(
+MESSAGE = T.StructType(
     [
         T.StructField("event_id", T.StringType()),
         T.StructField("created_at", T.TimestampNTZType()),
@@ -18,50 +22,58 @@ OUTBOX = T.StructType(
         T.StructField("responsible", T.StringType()),
         T.StructField("priority_sort", T.IntegerType()),
         T.StructField("text", T.StringType()),
-        T.StructField("batch", T.LongType()),
-        T.StructField("bucket", T.IntegerType()),
     ]
 )
-# Event ids are filed by hash: a batch looks only into the buckets of its own ids.
-BUCKETS = 64
+OUTBOX = T.StructType([*MESSAGE, T.StructField("batch", T.LongType())])
 
 
 def read_outbox(spark, path: str) -> DataFrame:
     return spark.read.schema(OUTBOX).parquet(path)
 
 
+class FirstMessage(StatefulProcessor):
+    """Passes on the earliest message of an event id and remembers the id; every later one is dropped."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", "sent boolean")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        earliest = None
+        for part in rows:
+            if self.seen.exists():
+                continue
+            best = part.sort_values([c for c in MESSAGE.fieldNames() if c != "event_id"], kind="stable").head(1)
+            both = best if earliest is None else pd.concat([earliest, best])
+            earliest = both.sort_values([c for c in MESSAGE.fieldNames() if c != "event_id"], kind="stable").head(1)
+        if earliest is not None:
+            self.seen.update((True,))
+            yield earliest
+
+    def close(self) -> None:
+        pass
+
+
 def start_outbox(
     events: DataFrame, rules: DataFrame, path: str, checkpoint: str, interval: str | None = None
 ) -> StreamingQuery:
-    """Write the messages of new events, partitioned by batch and bucket of the event id.
+    """Write the messages of new events, one folder per batch.
 
-    Of several rows of an id in a batch the earliest counts, so a batch that runs again
-    replaces its own partitions with the same rows. An event that comes again in a later
-    batch, on whatever day, is found in the outbox; only the buckets that occur in the batch
-    are read for that. So no event is lost to a watermark and no state grows.
+    Of several rows of an id in a batch the earliest counts. The ids that were sent are state, one
+    flag each, in RocksDB: a batch looks up its own ids only, on whatever day an event comes again, and Spark
+    compacts the store and removes old snapshots. So no event is lost to a watermark, and small
+    batches leave one small file each. State and batch are committed together, and a batch that
+    runs again replaces its own folder with the same rows.
     """
-    spark = events.sparkSession
-    ensure_table(spark, path, OUTBOX)
+    ensure_table(events.sparkSession, path, OUTBOX)
+    messages = outbox(queued_events(events, rules)).select(*MESSAGE.fieldNames())
+    first = messages.groupBy("event_id").transformWithStateInPandas(FirstMessage(), MESSAGE, "append", "none")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        messages = outbox(queued_events(batch, rules))
-        columns = [c for c in messages.columns if c != "event_id"]
-        earliest = F.min(F.struct("created_at", *[c for c in columns if c != "created_at"])).alias("_row")
-        messages = messages.groupBy("event_id").agg(earliest).select("event_id", "_row.*")
-        messages = messages.withColumn("batch", F.lit(batch_id).cast("bigint"))
-        messages = messages.withColumn("bucket", F.pmod(F.xxhash64("event_id"), F.lit(BUCKETS)).cast("int"))
-        earlier = read_outbox(batch.sparkSession, path).filter(F.col("batch") < batch_id)
-        sent = earlier.join(messages.select("bucket").distinct(), "bucket", "left_semi").select("event_id")
-        (
-            messages.join(sent, "event_id", "left_anti")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch", "bucket")
-            .parquet(path)
-        )
-
-    writer = events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return triggered(writer, interval).start()
+        batch.hint("rebalance").write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    with keyed_state(events.sparkSession):
+        writer = first.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode("append")
+        return triggered(writer, interval).start()
 
 
 def events_with_status(events: DataFrame, path: str) -> DataFrame:
