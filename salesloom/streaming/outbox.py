@@ -69,6 +69,8 @@ def start_outbox(
     first = messages.groupBy("event_id").transformWithStateInPandas(FirstMessage(), MESSAGE, "append", "none")
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        # The stream's own session: its plans are adaptive only where a batch is written.
+        batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
         batch.hint("rebalance").write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     with keyed_state(events.sparkSession):
