@@ -3,14 +3,14 @@
 from oracles.sql import lsum, msum, with_
 
 INPUTS = """
-first_signup AS (SELECT *, CAST(json_extract_string(props, '$.k') AS INT) % 6 AS k FROM events
-    WHERE event_type = 'signup' AND user_id % 5 <> 0 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1),
+signups AS (SELECT *, CAST(json_extract_string(props, '$.k') AS INT) % 6 AS k FROM events
+    WHERE event_type = 'signup' AND user_id % 5 <> 0),
 installs AS (SELECT DISTINCT ts AS install_time, CAST(user_id AS VARCHAR) AS installation_id, 'dev' || user_id AS appmetrica_device_id,
     CASE k WHEN 0 THEN 'Scaleio Network' WHEN 1 THEN 'Perfluence' WHEN 2 THEN 'Unknown (source: Advertisement Engine)' ELSE 'Organic' END AS partner,
     CASE k WHEN 0 THEN 'Scaleo_main' WHEN 1 THEN 'perfluence_app' ELSE 'tracker' || k END AS tracker,
     CASE k WHEN 0 THEN 'source=scaleo' WHEN 1 THEN '' WHEN 2 THEN 'utm=scaleo&type=cpa' WHEN 3 THEN 'source=admitad'
         WHEN 4 THEN 'source=advcake' ELSE 'source=cityads' END AS parameter,
-    CASE WHEN user_id % 2 = 0 THEN 'ios' ELSE 'android' END AS os FROM first_signup),
+    CASE WHEN user_id % 2 = 0 THEN 'ios' ELSE 'android' END AS os FROM signups),
 raw_purchases AS (SELECT ts AS event_time, CAST(user_id AS VARCHAR) AS installation_id, 'dev' || user_id AS buyer,
     CAST(event_id // 3 AS VARCHAR) AS ecom_order_id FROM events WHERE event_type = 'purchase'),
 crm AS (SELECT CAST(o_orderkey AS VARCHAR) AS increment_id, CASE o_orderstatus WHEN 'F' THEN 'complete' WHEN 'O' THEN 'processing' ELSE 'canceled' END AS status,
@@ -50,7 +50,8 @@ valued AS (SELECT DISTINCT event_time, installation_id, buyer, ecom_order_id, su
 def _dedup(keep: str) -> str:
     return f"""
 numbered AS (SELECT v.*, install_time, appmetrica_device_id, partner, tracker, parameter, os, row_number() OVER (PARTITION BY ecom_order_id
-    ORDER BY install_time NULLS FIRST, event_time, v.installation_id, buyer) AS num
+    ORDER BY install_time NULLS FIRST, event_time, v.installation_id, buyer, partner NULLS FIRST, tracker NULLS FIRST, parameter NULLS FIRST,
+        os NULLS FIRST, revenue NULLS FIRST) AS num
     FROM valued v LEFT JOIN installs i ON v.installation_id = i.installation_id),
 dedup AS (SELECT *, CASE WHEN num = 1 THEN 1 END AS purchases, CASE WHEN install_time IS NOT NULL THEN 1 END AS installs,
     CASE WHEN install_time IS NOT NULL AND num = 1 THEN date_diff('day', install_time, event_time) END AS day_diff

@@ -29,8 +29,8 @@ COLUMNS = (
 
 
 def known_orders(crm: DataFrame, purchases: DataFrame) -> DataFrame:
-    """CRM orders that occur among the purchases."""
-    ids = purchases.select(F.col("ecom_order_id").alias("increment_id"))
+    """CRM orders that occur among the purchases; the ids are combined before the shuffle, hot ones to one each."""
+    ids = purchases.select(F.col("ecom_order_id").alias("increment_id")).distinct()
     return crm.join(ids, "increment_id", "left_semi")
 
 
@@ -152,12 +152,14 @@ def attributed_purchases(
     match: str = "month",
     hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Clean purchases with CRM values and their install, before numbering.
+    """Clean purchases with CRM values and each of their installs, before numbering.
 
-    ``installs`` is expected to hold one install per installation id, as its name says.
+    The CRM is reduced to the purchases' orders before its distinct rows are made. A purchase
+    comes once per distinct install of its installation id; numbering by install time decides which
+    of them counts.
     """
     hot = hot_keys(purchases, "ecom_order_id") if hot is None else hot
-    valued = purchase_crm(clean_purchases(purchases, both_orders, hot), crm, match, hot)
+    valued = purchase_crm(clean_purchases(purchases, both_orders, hot), known_orders(crm, purchases), match, hot)
     return valued.join(clean_installs(installs), "installation_id", "left")
 
 

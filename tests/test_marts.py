@@ -170,6 +170,48 @@ def test_revenue_is_preserved_in_strict_mode(app):
     assert data.agg(F.sum("revenue")).first()[0] == per_order.agg(F.sum("r")).first()[0]
 
 
+@pytest.fixture
+def reinstalled(app, spark):
+    """The app of ``app`` with more installs of an id: an earlier one, one at the same time from elsewhere, a later one."""
+    m = moment
+    more = [
+        (m("2026-05-30T10:00"), "i1", "d1", "Organic", "first", "", "ios"),
+        (m("2026-06-01T23:30"), "i1", "d1", "Organic", "main", "x", "ios"),
+        (m("2026-06-05T10:00"), "i1", "d7", "Perfluence", "later", "", "android"),
+        (m("2026-01-01T10:00"), "i2", "d2", "Perfluence", "perfluence_x", "", "android"),
+    ]
+    return (app[0].unionByName(spark.createDataFrame(more, schemas.INSTALLS)), *app[1:])
+
+
+def test_a_purchase_meets_every_install(reinstalled):
+    assert attribution.clean_installs(reinstalled[0]).filter("installation_id = 'i1'").count() == 4
+    joined = attribution.attributed_purchases(*reinstalled[:4]).filter("ecom_order_id = 'o1'")
+    assert joined.count() == 3 * 4
+    data = attribution.attribution(*reinstalled).filter("ecom_order_id = 'o1'").collect()
+    # Twelve rows, without the second; the earliest install and purchase come first.
+    assert len(data) == 11
+    bought = [r for r in data if r["purchases"] == 1]
+    assert [(r["tracker"], r["event_time"], r["day_diff"]) for r in bought] == [("first", moment("2026-06-02T00:10"), 3)]
+
+
+def test_revenue_does_not_grow_with_installs(app, reinstalled):
+    once = attribution.attribution(*app, strict=True)
+    again = attribution.attribution(*reinstalled, strict=True)
+    total = lambda df: df.agg(F.sum("revenue"), F.sum("purchases"), F.count("*")).first()
+    assert total(once) == total(again)
+    assert again.filter("ecom_order_id = 'o1'").first()["tracker"] == "first"
+
+
+def test_crm_rows_without_a_purchase_do_not_reach_the_distinct(app, spark):
+    crm = app[2].unionByName(app[2].withColumn("increment_id", F.concat(F.lit("none"), F.col("increment_id"))))
+    found = attribution.attributed_purchases(app[0], app[1], crm, app[3])
+    key = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in found.columns]
+    assert rows(found.select(*key)) == rows(attribution.attributed_purchases(*app[:4]).select(*key))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # Below the distinct of the CRM columns there is the semi join.
+    assert plan.index("Aggregate [ecom_order_id") < plan.index("Join LeftSemi")
+
+
 def test_period_is_cut_after_numbering(app):
     data = attribution.attribution(*app, as_of="2026-06-03", days=1)
     assert {r["ecom_order_id"] for r in data.collect()} == {"o1"}
