@@ -44,6 +44,14 @@ NAMES = (
     "total_open", "new_today", "overdue_action", "overdue_close", "without_manager", "stale", "hot_overdue",
     "problem_cases", "risk_amount",
 )
+# The first that holds names the problem.
+DETAIL_REASONS = (
+    ("is_overdue_action AND priority = '1-URGENT'", "Критично: просрочено действие по горячей заявке"),
+    ("is_overdue_action", "Просрочено следующее действие"),
+    ("is_overdue_close", "Просрочен дедлайн закрытия"),
+    ("is_without_manager", "Нет ответственного"),
+    ("is_stale", "Заявка зависла в статусе"),
+)
 ALERTS = {
     "hot_overdue": "'Высокоприоритетных просрочек: ' || hot_overdue",
     "without_manager": "'Заявок без ответственного: ' || without_manager",
@@ -77,14 +85,11 @@ SELECT manager, {cnt("is_open")} AS open_requests, {cnt("is_overdue_action")} AS
 FROM scored WHERE created_at <= {END} GROUP BY 1
 """,
         "crm_problem_detail": with_(FLAGS) + f"""
-SELECT request_id, client, source, CASE WHEN manager = '' THEN 'Не назначен' ELSE manager END AS manager, status, priority, amount,
-    next_action_due_at, close_due_at, date_diff('day', CAST(status_updated_at AS DATE), {DAY}) AS days_without_update,
-    CASE WHEN next_action_due_at <= {END} AND priority = '1-URGENT' THEN 'Критично: просрочено действие по горячей заявке'
-         WHEN next_action_due_at <= {END} THEN 'Просрочено следующее действие'
-         WHEN close_due_at <= {END} THEN 'Просрочен дедлайн закрытия' WHEN manager = '' THEN 'Нет ответственного'
-         WHEN status_updated_at < TIMESTAMP '1998-06-27' THEN 'Заявка зависла в статусе' ELSE 'Проверить' END AS problem
-FROM requests WHERE status <> 'F' AND (next_action_due_at <= {END} OR close_due_at <= {END} OR manager = ''
-    OR status_updated_at < TIMESTAMP '1998-06-27')
+SELECT * EXCLUDE (status_updated_at, reasons), date_diff('day', CAST(status_updated_at AS DATE), {DAY}) AS days_without_update,
+    [r.said FOR r IN reasons IF r.holds][1] AS problem
+FROM (SELECT request_id, client, source, coalesce(nullif(manager, ''), 'Не назначен') AS manager, status, priority, amount, next_action_due_at,
+        close_due_at, status_updated_at, [{', '.join(f"{{'holds': {flag}, 'said': '{said}'}}" for flag, said in DETAIL_REASONS)}] AS reasons
+      FROM problems)
 """,
         "crm_overdue_trend": with_(FLAGS) + f"""
 SELECT CAST(d AS DATE) AS date, (SELECT count(*) FROM scored WHERE is_open AND created_at <= d + INTERVAL 1 DAY - INTERVAL 1 SECOND

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.operators.joins import spread_join
+from salesloom.operators.joins import shuffled_join
 
 
 def upsert(target: DataFrame, batch: DataFrame, key: str, update_cols: Sequence[str], order: str) -> DataFrame:
@@ -36,8 +36,8 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, update_cols: Sequence[
 def set_status(df: DataFrame, done: DataFrame, key: str, status: str, column: str = "status") -> DataFrame:
     """Give ``status`` to every row whose key occurs in ``done``.
 
-    A key may have any number of rows; those of a hot key are split over tasks.
+    A key may have any number of rows; AQE may split those of a hot key over tasks.
     """
     ids = done.select(key).distinct().withColumn("_done", F.lit(True))
     changed = F.when(F.col("_done"), F.lit(status)).otherwise(F.col(column))
-    return spread_join(df, ids, key, "left").withColumn(column, changed).select(*df.columns)
+    return shuffled_join(df, ids, key, "left").withColumn(column, changed).select(*df.columns)

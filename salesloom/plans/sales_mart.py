@@ -120,6 +120,37 @@ def sales_detail(items: DataFrame, orders: DataFrame, customers: DataFrame, prod
     return detail.select(*DETAIL_COLUMNS)
 
 
+def create_sales_view(
+    name: str, items: DataFrame, orders: DataFrame, customers: DataFrame, products: DataFrame
+) -> DataFrame:
+    """The columns of ``sales_detail`` as a view of the session: SQL over it reads only what it names.
+
+    Every lookup is a left join on a key that the lookup provably holds once, so Spark drops the
+    joins whose columns a query does not use: without a customer's column there is no customer
+    scan, without totals and numbers no aggregate of the items. Hot order ids are left to AQE.
+    """
+    totals = order_totals(items, products)
+    numbers = order_sequence(orders, totals).drop("customer_id", "order_date", "order_total", "order_margin")
+    numbers = numbers.groupBy("order_id").agg(*[F.first(c).alias(c) for c in numbers.columns if c != "order_id"])
+    known = orders.filter("customer_id IS NOT NULL AND order_date IS NOT NULL").select("order_id").distinct()
+    totals = totals.drop("lines").join(known, "order_id", "left_semi")
+    totals = totals.groupBy("order_id").agg(F.first("order_total").alias("order_total"), F.first("order_margin").alias("order_margin"))
+    view = lookup_join(price_items(items, products), orders, ["order_id"], check=True)
+    view = lookup_join(view, customers, ["customer_id"], check=True)
+    view = order_flags(lookup_join(lookup_join(view, totals, ["order_id"]), numbers, ["order_id"]))
+    view = view.withColumns(
+        {
+            "order_month": month_label("order_date"),
+            "order_week": iso_week_label("order_date"),
+            "day_of_week": weekday_name("order_date"),
+            "avg_check": F.col("order_total"),
+            "margin_pct": ratio("margin", "net_revenue", digits=4, on_zero=0),
+        }
+    ).select(*DETAIL_COLUMNS)
+    view.createOrReplaceTempView(name)
+    return view.sparkSession.table(name)
+
+
 def _paid(detail: DataFrame) -> DataFrame:
     return detail.filter("is_paid = 1")
 

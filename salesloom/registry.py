@@ -93,6 +93,23 @@ def _states(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return order_states.order_states(b.order_items(s, d), b.mart_products(s, d)), b.mart_orders(s, d)
 
 
+def _sales_view(s: SparkSession, d: str) -> DataFrame:
+    """SQL over the named view: sales per month and category, which needs no customer and no totals."""
+    sales_mart.create_sales_view(
+        "dashboard_sales_dataset", b.order_items(s, d), b.mart_orders(s, d), b.mart_customers(s, d), b.mart_products(s, d)
+    )
+    return s.sql(
+        """SELECT order_month, category, count(*) AS lines, sum(quantity) AS sold_units,
+        count_if(is_paid = 1) AS paid_lines FROM dashboard_sales_dataset GROUP BY order_month, category"""
+    )
+
+
+def _sales_view_rows(s: SparkSession, d: str) -> DataFrame:
+    return sales_mart.create_sales_view(
+        "dashboard_sales_dataset", b.order_items(s, d), b.mart_orders(s, d), b.mart_customers(s, d), b.mart_products(s, d)
+    )
+
+
 def _paid_lines(s: SparkSession, d: str) -> DataFrame:
     return order_states.paid_lines(b.order_items(s, d), b.mart_orders(s, d), b.mart_products(s, d))
 
@@ -113,6 +130,8 @@ SALES_QUERIES: dict[str, Query] = {
     "orders_report_without_categories": _orders_report_filtered,
     "orders_report_heavy": _orders_report_heavy,
     "sales_detail": _detail,
+    "sales_view": _sales_view_rows,
+    "sales_view_by_month": _sales_view,
     "order_sequence": _order_sequence,
     "item_sequence": _item_sequence,
     "sales_daily_metrics": lambda s, d: order_states.daily_metrics(*_states(s, d)),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 # Settings the marts are written for. Shuffle partitions start high and AQE merges
@@ -36,3 +39,16 @@ def tune(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME.items():
         spark.conf.set(key, value)
     return spark
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Settings for what runs or starts inside; the session's own come back."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

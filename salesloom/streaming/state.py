@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager
 
 from pyspark.sql import SparkSession
 
+from salesloom.session import settings
+
 # State on local disk with incremental snapshots in the checkpoint: it may exceed memory, and a batch
 # reads and writes only the keys that it has.
 ROCKSDB = {
@@ -15,14 +16,6 @@ ROCKSDB = {
 }
 
 
-@contextmanager
-def keyed_state(spark: SparkSession) -> Iterator[None]:
-    """A query that starts inside keeps its state in RocksDB; the session's own settings come back."""
-    before = {k: spark.conf.get(k, None) for k in ROCKSDB}
-    for k, v in ROCKSDB.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+def keyed_state(spark: SparkSession) -> AbstractContextManager[None]:
+    """A query that starts inside keeps its state in RocksDB."""
+    return settings(spark, ROCKSDB)
