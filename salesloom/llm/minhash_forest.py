@@ -137,9 +137,9 @@ def near_duplicates(
 
 def _links(own: DataFrame, classes: DataFrame, groups: DataFrame, depth: int, trees: int) -> DataFrame:
     members = blocked(groups.withColumnRenamed("node", "cls").join(classes.select("cls", "first", "n"), "cls"))
-    what = F.struct("cls", "root", "blocks", "block").alias("what")
+    what = F.struct("cls", "root", "blocks", "block", "pack").alias("what")
     wanted = members.select(F.col("first.id").alias("id"), F.col("first.key").alias("key"), what)
-    schema = "cls binary, root binary, blocks int, block int, shingles binary"
+    schema = "cls binary, root binary, blocks int, block int, pack int, shingles binary"
     return verified_links(with_sets(own, wanted, _sets, schema), partial(chance, depth=depth, trees=trees))
 
 

@@ -1,4 +1,8 @@
-"""Removal of paragraphs that repeat, exactly or nearly, anywhere in the corpus: MinHash bands and exact check."""
+"""Removal of paragraphs that repeat, exactly or nearly, anywhere in the corpus: MinHash bands and exact check.
+
+Passages that fill no paragraph are found by windows of words that begin at anchors: an anchor is the
+least of ``REACH`` word grams in a row, wherever they stand, so copies have theirs at the same words.
+"""
 
 from __future__ import annotations
 
@@ -14,13 +18,16 @@ from pyspark.sql import functions as F
 
 from salesloom.llm.common import small_batches, spread_out, table, text_key, written
 from salesloom.llm.components import components
-from salesloom.llm.shingles import THRESHOLD, MinHash, chunks, mixed, set_id, shingle_sets, word_hashes
-from salesloom.llm.verify import blocked, link_groups, verified_links, with_sets
+from salesloom.llm.shingles import THRESHOLD, MinHash, chunks, mixed, set_id, shingle_sets, word_edges, word_hashes
+from salesloom.llm.suffix_dedup import anchors
+from salesloom.llm.verify import blocked, bucket_links, link_groups, verified_links, with_sets
 
 MIN_WORDS = 25  # shorter paragraphs take part together with their neighbours
 MOST = 4  # times MIN_WORDS: a block of short paragraphs ends there at the latest
 RECALL = 0.9998  # of pairs of paragraphs at the threshold
 VALUES = 64  # MinHash values a paragraph may cost
+REACH = 26  # places an anchor is chosen from: every string of REACH + MIN_WORDS - 1 words has a whole window
+GRAM = 5  # words that decide between places
 
 
 def tuned_bands(similarity: float, recall: float, values: int) -> tuple[int, int]:
@@ -142,6 +149,34 @@ def _windows(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.R
         )
 
 
+def _weights(n: int, seed: int) -> np.ndarray:
+    return mixed(np.arange(seed * n + 1, seed * n + n + 1, dtype=np.uint64)) | np.uint64(1)
+
+
+def anchored(hashes: np.ndarray, window: int, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First words of the windows that begin at anchors, and two hashes of each window's words."""
+    last = len(hashes) - window + 1
+    if last < 1:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+    gram = min(GRAM, window)
+    total = np.zeros(last, dtype=np.uint64)
+    for k, w in enumerate(_weights(gram, 0)):
+        total += hashes[k : k + last] * w
+    total = mixed(total)
+    at = np.unique(anchors(total, reach)) if last >= reach else np.array([int(total.argmin())])
+    words = hashes[at[:, None] + np.arange(window)]
+    return at, *(mixed((words * _weights(window, seed)).sum(axis=1, dtype=np.uint64)).view(np.int64) for seed in (1, 2))
+
+
+def _anchored(batches: Iterator[pa.RecordBatch], window: int, reach: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = []
+        for _, _, _, hashes in _lines(batch.column("text").to_pylist()):
+            found.append(anchored(hashes, window, reach))
+        arrays = [pa.array([f[k].tolist() for f in found], pa.list_(kind)) for k, kind in enumerate((pa.int32(), pa.int64(), pa.int64()))]
+        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("key"), *arrays], ["id", "key", "word", "h1", "h2"])
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The shingle sets of the wanted paragraphs of each text."""
     for batch in batches:
@@ -157,9 +192,10 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array([r["root"] for r in rows], pa.binary()),
                 pa.array([r["blocks"] for r in rows], pa.int32()),
                 pa.array([r["block"] for r in rows], pa.int32()),
+                pa.array([r["pack"] for r in rows], pa.int32()),
                 pa.array(sets, pa.binary()),
             ],
-            ["cls", "root", "blocks", "block", "shingles"],
+            ["cls", "root", "blocks", "block", "pack", "shingles"],
         )
 
 
@@ -223,16 +259,14 @@ def repeated_paragraphs(
         "paragraph-classes",
     )
     # A band's hash holds its number, so one column tells the bucket.
-    at = classes.select("cls", F.explode("bands").alias("band"))
-    buckets = at.groupBy("band").agg(F.min("cls").alias("least"), F.max("cls").alias("most")).filter("least <> most")
-    shared = at.join(written(buckets.drop("most"), "buckets"), "band").filter("cls <> least")
-    groups = components(shared.select(F.col("cls").alias("a"), F.col("least").alias("b")).distinct(), "paragraph-candidates")
+    at = classes.select("cls", F.explode("bands").alias("bucket"))
+    groups = components(bucket_links(at, "buckets"), "paragraph-candidates")
     members = blocked(groups.withColumnRenamed("node", "cls").join(classes.select("cls", "first", "n"), "cls"))
     # A document's wanted paragraphs travel together: its text is read once.
     wanted = members.groupBy("first.id", "first.key").agg(
-        F.collect_list(F.struct("cls", "root", "blocks", "block", F.col("first.at").alias("at"), F.col("first.to").alias("to"))).alias("what")
+        F.collect_list(F.struct("cls", "root", "blocks", "block", "pack", F.col("first.at").alias("at"), F.col("first.to").alias("to"))).alias("what")
     )
-    schema = "cls binary, root binary, blocks int, block int, shingles binary"
+    schema = "cls binary, root binary, blocks int, block int, pack int, shingles binary"
     links = verified_links(with_sets(own, wanted, _sets, schema), partial(_chance, bands=bands, rows=rows))
     _, linked = link_groups(links)
     summary = classes.select("cls", "first", "last").join(linked.withColumnRenamed("node", "cls"), "cls", "left")
@@ -244,37 +278,118 @@ def repeated_paragraphs(
     return later.select("id", "key", "at", "to", F.col("root").alias("group"), "lead").distinct()
 
 
-def paragraph_dedup(
+def shared_passages(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = MIN_WORDS, reach: int = REACH
+) -> DataFrame:
+    """Windows of ``window`` words that stand elsewhere too: id, key, word (the first, from 0), and ``first``, whether none stood before.
+
+    Only windows that begin at anchors are looked at, so every string of ``reach`` + ``window`` - 1 words
+    that repeats has one that does, in whatever lines it stands. Words count, not what is between them.
+    Hashes of single windows are counted first, and only windows whose hash repeats go on. The order is that of id
+    (null last), text key and place; rows equal in id and text are one document.
+    """
+    spark = docs.sparkSession
+    spread_out(spark)
+    small_batches(spark)
+    schema = "id long, key long, word array<int>, h1 array<long>, h2 array<long>"
+    own = _own(docs, id_column, text_column).mapInArrow(partial(_anchored, window=window, reach=reach), schema)
+    own = written(own, "anchored-windows")
+    often = own.select(F.explode("h1").alias("h1")).groupBy("h1").agg(F.count("*").alias("n")).filter("n > 1").select("h1")
+    often = written(often, "repeated-hashes")
+    windows = own.select("id", "key", F.inline(F.arrays_zip("word", "h1", "h2")))
+    hits = written(windows.join(often, "h1"), "repeated-windows")
+    place = F.struct(F.col("id").isNull().alias("none"), "id", "key", "word")
+    leads = hits.groupBy("h1", "h2").agg(F.min(place).alias("lead"), F.max(place).alias("final"))
+    leads = written(leads.filter("lead <> final").drop("final"), "window-leads")
+    return hits.join(leads, ["h1", "h2"]).select("id", "key", "word", (place == F.col("lead")).alias("first")).distinct()
+
+
+FINDINGS = ("n_paragraphs", "removed", "words", "n_shared")
+
+
+def findings(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = MIN_WORDS, **options
 ) -> DataFrame:
-    """Every document with the lines that ``repeated_paragraphs`` and ``repeated_passages`` leave.
+    """Every document (id, text, key) with what repeats in it.
 
-    Result: id, ``n_paragraphs`` (pieces between ``\\n``), ``removed`` (their numbers from 0, sorted)
-    and ``text`` (what stays; null stays null). Null and empty texts have one empty paragraph. Rows
-    equal in id and text are one document and come back each. Other columns are not used.
+    ``n_paragraphs`` (pieces between ``\\n``), ``removed`` (numbers from 0 of the lines to go, sorted), ``words``
+    (first words of the windows of ``shared_passages`` that stood before, sorted) and ``n_shared``: its
+    paragraphs and windows that stand elsewhere too, also those that stay because they are the first.
     """
-    gone = repeated_paragraphs(docs, id_column, text_column, min_words, **options).select("id", "key", "at", "to")
-    gone = gone.unionByName(repeated_passages(docs, id_column, text_column, min_words))
+    later = written(repeated_paragraphs(docs, id_column, text_column, min_words, **options), "later-paragraphs")
+    gone = later.select("id", "key", "at", "to").unionByName(repeated_passages(docs, id_column, text_column, min_words))
     line = F.explode(F.sequence("at", "to")).alias("line")
-    gone = gone.select(F.col("id").alias("i"), F.col("key").alias("k"), line)
-    gone = gone.groupBy("i", "k").agg(F.sort_array(F.collect_set("line")).alias("removed"))
-    lines = F.split(F.coalesce(F.col("text"), F.lit("")), "\n")
-    own = docs.select(
-        F.col(id_column).alias("id"),
-        F.col(text_column).alias("text"),
-        text_key(F.col(text_column)).alias("key"),
-        F.size(F.split(F.coalesce(F.col(text_column), F.lit("")), "\n")).cast("long").alias("n_paragraphs"),
-    )
-    found = own.join(gone, F.col("id").cast("long").eqNullSafe(F.col("i")) & (F.col("key") == F.col("k")), "left")
-    kept = F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "removed"), lambda i: F.get(lines, i)), "\n")
-    return found.select(
-        F.col("id").alias(id_column),
-        "n_paragraphs",
-        F.coalesce("removed", F.array().cast("array<int>")).alias("removed"),
-        F.when(F.col("removed").isNull(), F.col("text")).otherwise(kept).alias("text"),
+    gone = gone.select("id", "key", line).groupBy("id", "key").agg(F.sort_array(F.collect_set("line")).alias("removed"))
+    windows = written(shared_passages(docs, id_column, text_column, min_words), "shared-passages")
+    leads = later.select("lead.id", "lead.key", "lead.at", "lead.to").distinct()
+    shared = later.select("id", "key").unionByName(leads.select("id", "key")).select("id", "key", F.lit(None).cast("int").alias("word"))
+    shared = shared.unionByName(windows.select("id", "key", F.when(~F.col("first"), F.col("word")).alias("word")))
+    shared = shared.groupBy("id", "key").agg(F.count("*").alias("n_shared"), F.sort_array(F.collect_list("word")).alias("words"))
+    found = _own(docs, id_column, text_column).withColumn("n_paragraphs", F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long"))
+    for part, names in ((gone, ["removed"]), (shared, ["words", "n_shared"])):
+        other = part.select(F.col("id").alias("i"), F.col("key").alias("k"), *names)
+        same = F.col("id").eqNullSafe(F.col("i")) & (F.col("key") == F.col("k"))
+        found = found.join(other, same, "left").drop("i", "k")
+    none = F.array().cast("array<int>")
+    return found.withColumns(
+        {"removed": F.coalesce("removed", none), "words": F.coalesce("words", none), "n_shared": F.coalesce("n_shared", F.lit(0).cast("long"))}
     )
 
 
+def without(text: str, removed: list[int], words: list[int], window: int) -> str:
+    """The lines that stay, less the words of the windows; a line of which no word is left goes too."""
+    data = text.encode()
+    starts, ends = word_edges(data)
+    gone = np.zeros(len(starts) + 1, dtype=np.int32)
+    for w in words:
+        gone[w] += 1
+        gone[min(w + window, len(starts))] -= 1
+    gone = np.cumsum(gone)[:-1] > 0
+    out, at, skipped = [], 0, set(removed)
+    for k, line in enumerate(data.split(b"\n")):
+        end = at + len(line)
+        if k not in skipped:
+            a, b = np.searchsorted(starts, [at, end])
+            inside = gone[a:b]
+            if not inside.any():
+                out.append(line)
+            elif not inside.all():
+                kept = np.ones(len(line), dtype=bool)
+                for w in np.flatnonzero(inside) + a:
+                    # A word goes with what stands between it and the next one.
+                    kept[starts[w] - at : (starts[w + 1] if w + 1 < b else end) - at] = False
+                out.append(np.frombuffer(line, np.uint8)[kept].tobytes().rstrip(b" "))
+        at = end + 1
+    return b"\n".join(out).decode()
+
+
+def _without(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = [
+            t if t is None or not (r or w) else without(t, r, w, window)
+            for t, r, w in zip(*[batch.column(c).to_pylist() for c in ("text", "removed", "words")])
+        ]
+        names = ["id", *FINDINGS]
+        yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(texts, pa.string())], [*names, "text"])
+
+
+def paragraph_dedup(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = MIN_WORDS, **options
+) -> DataFrame:
+    """Every document with the lines that ``repeated_paragraphs`` and ``repeated_passages`` leave, less later passages inside them.
+
+    Result: id, the columns of ``findings``, and ``text`` (what stays; null stays null). A passage that repeats within longer
+    lines goes by whole windows of ``min_words`` words, so some words at its ends may stay. Null and empty texts
+    have one empty paragraph. Rows equal in id and text are one document and come back each. Other columns are not used.
+    """
+    found = findings(docs, id_column, text_column, min_words, **options).select("id", "text", *FINDINGS)
+    schema = "id long, n_paragraphs long, removed array<int>, words array<int>, n_shared long, text string"
+    return found.mapInArrow(partial(_without, window=min_words), schema).withColumnRenamed("id", id_column)
+
+
 def op6_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = paragraph_dedup(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_paragraphs", F.size("removed").cast("long").alias("n_removed"), "removed")
+    found = findings(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_paragraphs", F.size("removed").cast("long").alias("n_removed"), "removed",
+        F.size("words").cast("long").alias("n_windows"), "n_shared",
+    )

@@ -54,6 +54,13 @@ def chunks(texts: list) -> Iterator[tuple[int, int]]:
         yield first, len(texts)
 
 
+def word_edges(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """First byte of every word of a text, and the byte after its last."""
+    inside = WORD[np.frombuffer(text, dtype=np.uint8)]
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8)))
+    return edges[::2], edges[1::2]
+
+
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word and the number of its text. A word is a run of ASCII letters or digits and
     of bytes beyond ASCII; A-Z count as a-z."""

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,22 +15,27 @@ from salesloom.llm.common import written
 from salesloom.llm.shingles import component_labels, similar_pairs
 
 BLOCK = 256  # members of a block, about
+PACK = 1024  # members of small groups that are compared in one call, about
 BLOCK_SHINGLES = 1 << 20  # shingles of a block, about
 
 
 def blocked(groups: DataFrame) -> DataFrame:
-    """``groups`` (cls, root, n shingles) with ``blocks``, how many its group has, and its own ``block``.
+    """``groups`` (cls, root, n shingles) with ``blocks``, how many its group has, its own ``block``, and the ``pack`` of a small group.
 
     A group of any size is spread over blocks by the hash of its members, so no task needs it whole.
     """
     sized = written(
         groups.groupBy("root").agg(
-            F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks")
+            F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"),
+            F.count("*").alias("size"),
         ),
         "group-blocks",
     )
+    small = sized.filter("blocks = 1").agg(F.sum("size")).first()[0] or 0
+    # Groups of one block go to packs of some hundred, others have a call per pair of blocks.
+    pack = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("root"), F.lit(-(-small // PACK) or 1)).cast("int")).otherwise(-1)
     block = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
-    return groups.join(sized, "root").withColumn("block", block)
+    return groups.join(sized.drop("size"), "root").withColumns({"block": block, "pack": pack})
 
 
 def verified_links(members: DataFrame, chance: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
@@ -37,37 +43,43 @@ def verified_links(members: DataFrame, chance: Callable[[np.ndarray], np.ndarray
 
     ``weight`` sums one over the chance that candidate search finds a link of that similarity.
 
-    ``members``: cls, root, blocks, block, shingles (little-endian 64-bit numbers). Each member goes
+    ``members``: cls, root, blocks, block, pack, shingles (little-endian 64-bit numbers). Each member goes
     to every pair of its block with another; a pair of blocks compares its sets exactly and returns
     one row a member, not its pairs. The leads span the links: their components are those of all links.
     """
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = members.select("cls", "root", "block", "shingles", other.alias("other")).select(
+    dealt = members.select("cls", "root", "block", "pack", "shingles", other.alias("other")).select(
         "cls",
         "root",
         "shingles",
         "block",
+        "pack",
+        F.when(F.col("pack") < 0, F.col("root")).alias("alone"),
         F.least("block", "other").alias("low"),
         F.greatest("block", "other").alias("high"),
     )
-    compared = dealt.groupBy("root", "low", "high").applyInPandas(
-        lambda group: _compare(group, chance), "cls binary, links long, lead binary, weight double"
+    compared = dealt.groupBy("pack", "alone", "low", "high").applyInPandas(
+        lambda groups: _compare(groups, chance), "cls binary, links long, lead binary, weight double"
     )
     return written(compared, "links")
 
 
-def _compare(group: pd.DataFrame, chance: Callable[[np.ndarray], np.ndarray]) -> pd.DataFrame:
+def _compare(groups: pd.DataFrame, chance: Callable[[np.ndarray], np.ndarray]) -> pd.DataFrame:
+    """The groups of a pack, or one pair of blocks, each group for itself."""
     # A document that came in several rows is one member.
-    group = group.drop_duplicates("cls").sort_values(["block", "cls"], kind="stable")
-    sets = [np.frombuffer(s, dtype="<u8") for s in group["shingles"]]
-    low, high = group["low"].iloc[0], group["high"].iloc[0]
-    split = None if low == high else int((group["block"] == low).sum())
-    linked, similarity = similar_pairs(sets, split)
-    weight = np.where(linked, 1 / np.maximum(chance(similarity), 1e-9), 0).sum(axis=1)
-    ids = group["cls"].to_numpy()
-    labels = component_labels(linked)
-    out = pd.DataFrame({"cls": ids, "links": linked.sum(axis=1).astype("int64"), "lead": ids[labels], "weight": weight})
-    return out[out["links"] > 0]
+    groups = groups.drop_duplicates(["root", "cls"]).sort_values(["root", "block", "cls"], kind="stable")
+    low, high = groups["low"].iloc[0], groups["high"].iloc[0]
+    ids, roots, blocks = (groups[c].to_numpy() for c in ("cls", "root", "block"))
+    sets = [np.frombuffer(s, dtype="<u8") for s in groups["shingles"]]
+    edges = [0, *(np.flatnonzero(roots[1:] != roots[:-1]) + 1).tolist(), len(roots)]
+    out: list[tuple] = []
+    for a, b in zip(edges, edges[1:]):
+        split = None if low == high else int((blocks[a:b] == low).sum())
+        linked, similarity = similar_pairs(sets[a:b], split)
+        weight = np.where(linked, 1 / np.maximum(chance(similarity), 1e-9), 0).sum(axis=1)
+        labels, links = component_labels(linked), linked.sum(axis=1)
+        out += [(ids[a + k], int(links[k]), ids[a + labels[k]], float(weight[k])) for k in np.flatnonzero(links).tolist()]
+    return pd.DataFrame(out, columns=["cls", "links", "lead", "weight"])
 
 
 def link_groups(links: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -82,3 +94,44 @@ def with_sets(texts: DataFrame, wanted: DataFrame, sets: Callable[[Iterator], It
         wanted.alias("w"), F.col("t.id").eqNullSafe(F.col("w.id")) & (F.col("t.key") == F.col("w.key"))
     )
     return found.select("t.text", "w.what").mapInArrow(sets, schema)
+
+
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted rows of one range: each member of a bucket with the least one before it; of the first and last bucket the least alone."""
+
+    def rows(buckets, a, b):
+        kinds = (pa.int64(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) if isinstance(c, list) else c.cast(t) for c, t in zip((buckets, a, b), kinds)], ["bucket", "a", "b"])
+
+    bucket, least, first = None, None, True
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys, members = batch.column("bucket").to_numpy(), batch.column("cls")
+        start = np.flatnonzero(np.concatenate([[keys[0] != bucket], keys[1:] != keys[:-1]]))
+        own = np.searchsorted(start, np.arange(len(keys)), side="right") - 1
+        if own[0] < 0:  # goes on from the batch before
+            n = int((own < 0).sum())
+            yield rows(keys[:n].tolist(), members.slice(0, n), [least] * n)
+        later = np.flatnonzero((own >= 0) & ~np.isin(np.arange(len(keys)), start))
+        yield rows(keys[later].tolist(), members.take(pa.array(later)), members.take(pa.array(start[own[later]])) if len(later) else [])
+        if len(start):
+            bucket, least = int(keys[start[-1]]), members[int(start[-1])].as_py()
+            if first:
+                yield rows([int(keys[0])], [members[0].as_py()], [None])
+                first = False
+    if bucket is not None:
+        yield rows([bucket], [least], [None])
+
+
+def bucket_links(placed: DataFrame, name: str) -> DataFrame:
+    """Links (a, b) of all members of a bucket with its least one; ``placed``: bucket (long), cls, each pair once.
+
+    Rows are dealt once, in ranges that cut a bucket of any size. A bucket that goes on in the next range is
+    linked by the least members of its parts, of which a range has two.
+    """
+    ranged = placed.select("bucket", "cls").repartitionByRange("bucket", "cls").sortWithinPartitions("bucket", "cls")
+    stars = written(ranged.mapInArrow(_stars, "bucket long, a binary, b binary"), name)
+    ends = stars.filter("b IS NULL").select("bucket", "a").distinct()
+    least = ends.groupBy("bucket").agg(F.min("a").alias("b"))
+    return stars.filter("b IS NOT NULL").select("a", "b").unionByName(ends.join(least, "bucket").filter("a <> b").select("a", "b")).distinct()
