@@ -24,9 +24,21 @@ REACH = 200  # gram positions an anchor is chosen from
 GRAM = 16  # bytes; REACH + GRAM - 1 may not exceed LENGTH
 BASES = (0x100000001B3, 0x9E3779B97F4A7C15)
 INVERSES = tuple(pow(b, -1, 1 << 64) for b in BASES)
-SUFFIX = "t0 long, t1 long, t2 long, id long, key long, at int, lo int, hi int"
+# Where a suffix begins and which strings it stands for are one number: see ``_span``.
+SUFFIX = "t0 long, t1 long, t2 long, id long, key long, span long"
 NAMES = [c.split()[0] for c in SUFFIX.split(", ")]
-TYPES = [pa.int64()] * 5 + [pa.int32()] * 3
+TYPES = [pa.int64()] * 6
+
+
+def _span(at: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """The place of a suffix, how far before it the first of its strings starts, and how many more start after that."""
+    return (at.astype(np.int64) << 32) | ((at - lo).astype(np.int64) << 16) | (hi - lo).astype(np.int64)
+
+
+def _with_strings(found: DataFrame) -> DataFrame:
+    """``span`` as ``lo`` and ``hi``, the first and the last start of its strings."""
+    lo = F.shiftright("span", 32) - F.shiftright("span", 16).bitwiseAND(F.lit(0xFFFF))
+    return found.withColumn("lo", lo.cast("int")).withColumn("hi", (F.col("lo") + F.col("span").bitwiseAND(F.lit(0xFFFF))).cast("int"))
 
 
 class Hashes:
@@ -85,7 +97,7 @@ def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             shape = mixed(((m - lo).astype(np.uint64) << np.uint64(32)) + (hi - lo).astype(np.uint64) + np.uint64(1))
             t1, t2 = (mixed(hashes(k, lo, hi + LENGTH) ^ shape) for k in (0, 1))
             base = begin[doc]
-            columns = [t0.view(np.int64), t1.view(np.int64), t2.view(np.int64), ids[a:b][doc], keys[a:b][doc], m - base, lo - base, hi - base]
+            columns = [t0.view(np.int64), t1.view(np.int64), t2.view(np.int64), ids[a:b][doc], keys[a:b][doc], _span(m - base, lo - base, hi - base)]
             yield pa.RecordBatch.from_arrays([pa.array(c).cast(t) for c, t in zip(columns, TYPES)], NAMES)
 
 
@@ -119,9 +131,9 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if not got:
         return
     columns = [np.concatenate([b.column(n).to_numpy() for b in got]) for n in NAMES]
-    order = multikey_order(columns[:6])
+    order = multikey_order(columns)
     columns = [c[order] for c in columns]
-    t0, t1, t2, id_, key, at = columns[:6]
+    t0, t1, t2, id_, key, at = columns
     same_kind = (t0[1:] == t0[:-1]) & (t1[1:] == t1[:-1]) & (t2[1:] == t2[:-1])
     # A row that came twice is one suffix.
     fresh = np.concatenate([[True], ~(same_kind & (id_[1:] == id_[:-1]) & (key[1:] == key[:-1]) & (at[1:] == at[:-1]))])
@@ -184,7 +196,7 @@ def repeated(suffixes: DataFrame, name: str) -> DataFrame:
     second time, which costs less than a written copy. A range is cut within equal suffixes
     too, by document and place, so that one that fills a third of the corpus is many tasks' work.
     """
-    ranged = suffixes.repartitionByRange("t0", "t1", "t2", "id", "key", "at")
+    ranged = suffixes.repartitionByRange(*NAMES)
     marked = written(ranged.mapInArrow(_compared, MARKED), f"{name}-sorted")
     # One row per range.
     ends = sorted((r["part"], r["ends"]) for r in marked.filter("ends IS NOT NULL").select("part", "ends").collect())
@@ -197,7 +209,7 @@ def repeated(suffixes: DataFrame, name: str) -> DataFrame:
         | ((F.col("t0") == F.col("first")) & F.col("first_several"))
         | ((F.col("t0") == F.col("last")) & F.col("last_several"))
     )
-    return found.select(*NAMES, twice.alias("twice"), several.alias("several")).filter("twice OR several")
+    return _with_strings(found.select(*NAMES, twice.alias("twice"), several.alias("several")).filter("twice OR several"))
 
 
 def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,11 +219,11 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hashes = Hashes(np.frombuffer(text, dtype=np.uint8))
             at = np.concatenate([np.arange(s["lo"], s["hi"] + 1) for s in spans])
             h1, h2 = (hashes(k, at, at + LENGTH).view(np.int64) for k in (0, 1))
-            columns = [h1, h2, np.zeros(len(at), np.int64), np.full(len(at), id_.as_py()), np.full(len(at), key.as_py()), at, at, at]
+            columns = [h1, h2, np.zeros(len(at), np.int64), np.full(len(at), id_.as_py()), np.full(len(at), key.as_py()), _span(at, at, at)]
             yield pa.RecordBatch.from_arrays([pa.array(c).cast(t) for c, t in zip(columns, TYPES)], NAMES)
 
 
-CUT = "id long, none boolean, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary"
+CUT = "id long, none boolean, n_shared long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary"
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,12 +247,13 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [
                 batch.column("id"),
                 batch.column("none"),
+                batch.column("n_shared"),
                 pa.array(sizes, pa.int64()),
                 pa.array(removed, pa.int64()),
                 pa.array(spans, span),
                 pa.array(kept, pa.binary()),
             ],
-            ["id", "none", "n_bytes", "n_removed", "spans", "kept"],
+            ["id", "none", "n_shared", "n_bytes", "n_removed", "spans", "kept"],
         )
 
 
@@ -249,8 +262,9 @@ def substring_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     Texts are UTF-8 bytes, null is empty; strings lie within one document, may overlap each other
     and are judged on the input. Result: id, ``n_bytes``, ``n_removed``, ``spans`` (removed runs,
-    start and end), ``kept`` (the other bytes, which may cut a character). Rows equal in id and
-    text are one document and come back each. Other columns are not used.
+    start and end), ``kept`` (the other bytes, which may cut a character), and ``n_shared``: the anchors whose
+    leading ``LENGTH - REACH + 1`` bytes stand elsewhere too, which tells of many a repeated
+    passage that is too short to be removed. Rows equal in id and text are one document and come back each. Other columns are not used.
     """
     spark = docs.sparkSession
     spread_out(spark)
@@ -281,8 +295,11 @@ def substring_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str
     part = written(part, "repeated-strings")
     release(spark)
     spans = whole.unionByName(part).groupBy("id", "key").agg(F.collect_list(F.struct("lo", "hi")).alias("found"))
-    cut = own.join(spans, ["id", "key"], "left").select("id", "none", "text", "found").mapInArrow(_cut, CUT)
-    return cut.select(F.when(~F.col("none"), F.col("id")).alias(id_column), "n_bytes", "n_removed", "spans", "kept")
+    shared = found.groupBy("id", "key").agg(F.count_distinct("span").alias("n_shared"))
+    marks = shared.join(spans, ["id", "key"], "left")
+    n_shared = F.coalesce("n_shared", F.lit(0).cast("long")).alias("n_shared")
+    cut = own.join(marks, ["id", "key"], "left").select("id", "none", n_shared, "text", "found").mapInArrow(_cut, CUT)
+    return cut.select(F.when(~F.col("none"), F.col("id")).alias(id_column), "n_bytes", "n_removed", "spans", "kept", "n_shared")
 
 
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -292,4 +309,5 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_removed",
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        "n_shared",
     )

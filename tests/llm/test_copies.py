@@ -119,6 +119,22 @@ def test_repeated_strings(spark, awkward, partitions):
     assert all(r["n_removed"] == sum(s["end"] - s["start"] for s in r["spans"]) for r in found)
 
 
+def test_shorter_repeats_are_told(spark):
+    rng = random.Random(6)
+    noise = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    rows, shared = [], {}
+    for k in range(60):
+        passage = noise(rng.choice([300, 350, 390]))
+        rows += [(2 * k + j, noise(500) + passage + noise(500)) for j in (0, 1)]
+        shared[2 * k] = shared[2 * k + 1] = passage
+    rows += [(500 + k, noise(1500)) for k in range(40)]
+    found = {r["doc_id"]: r for r in suffix_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert not any(r["n_removed"] for r in found.values()) and not any(found[k]["n_shared"] for k, _ in rows if k >= 500)
+    # Both copies have the same anchors, and some of their leading bytes lie within the passage.
+    assert all((found[2 * k]["n_shared"] > 0) == (found[2 * k + 1]["n_shared"] > 0) for k in range(60))
+    assert sum(found[k]["n_shared"] > 0 for k in shared) >= 0.6 * len(shared)
+
+
 def test_anchors_and_multikey_order():
     rng = np.random.default_rng(1)
     values = rng.integers(0, 9, 300).astype(np.uint32)
