@@ -193,6 +193,10 @@ FROM events WHERE event_type = 'signup' AND CAST(ts AS DATE) BETWEEN DATE '2024-
         "metric_by_period": with_(ADS, CHART) + _metrics("week"),
         "metric_revenue_by_month": with_(ADS, CHART) + f"""
 SELECT CAST(date_trunc('month', date) AS DATE) AS period, {msum("revenue")} AS value FROM chart GROUP BY 1
+""",
+        "metric_visits_dynamics": with_(ADS, CHART, f"m AS ({_metrics('week')})") + f"""
+SELECT period, {rnd(delta("value", "prev_value"), 4)} AS value FROM (
+    SELECT *, lag(value) OVER (ORDER BY period) AS prev_value FROM m WHERE metric = 'visits')
 """,
         "metric_dynamics": with_(ADS, CHART, f"m AS ({_metrics('day')})") + f"""
 SELECT *, {rnd(delta("value", "prev_value"), 4)} AS dynamics_pct FROM (

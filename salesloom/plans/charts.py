@@ -16,6 +16,7 @@ from salesloom.functions.numbers import delta_pct, long_sum, money_sum, ratio
 from salesloom.functions.periods import as_date, date_lit, period_start
 
 METRICS = ("visits", "orders", "revenue", "units", "installs", "buyout_rate")
+DYNAMICS = "_dynamics"  # after a metric's name: its change in percent
 
 
 def _aggregate(name: str) -> Column:
@@ -40,7 +41,13 @@ def metrics_by_period(df: DataFrame, grain: str, metrics: Sequence[str] = METRIC
 
 
 def metric_by_period(df: DataFrame, grain: str, metric: str) -> DataFrame:
-    """The chart with both parameters chosen: ``(period, value)``."""
+    """The chart with both parameters chosen: ``(period, value)``.
+
+    ``metric`` is one of ``METRICS``, or such a name with ``DYNAMICS`` behind it, for instance visits_dynamics.
+    """
+    if metric.endswith(DYNAMICS):
+        changes = metric_dynamics(df, grain, [metric.removesuffix(DYNAMICS)])
+        return changes.select("period", F.col("dynamics_pct").alias("value")).orderBy("period")
     return metrics_by_period(df, grain, [metric]).select("period", "value").orderBy("period")
 
 

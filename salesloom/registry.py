@@ -198,6 +198,7 @@ ADS_QUERIES: dict[str, Query] = {
     "source_date_slice": lambda s, d: date_slice(b.crm_leads(s, d), "created_at", "2024-01-09", "2024-01-15"),
     "metric_by_period": lambda s, d: charts.metrics_by_period(_chart_input(s, d), "week"),
     "metric_revenue_by_month": lambda s, d: charts.metric_by_period(_chart_input(s, d), "month", "revenue"),
+    "metric_visits_dynamics": lambda s, d: charts.metric_by_period(_chart_input(s, d), "week", "visits_dynamics"),
     "metric_dynamics": lambda s, d: charts.metric_dynamics(_chart_input(s, d), "day"),
     "plan_fact": _plan_fact,
 }

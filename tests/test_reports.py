@@ -262,6 +262,9 @@ def test_metric_by_period_and_dynamics(spark):
         "date date, visits int, orders int, revenue double, units int, paid_units int, installs int",
     )
     weeks = {r["period"]: r["value"] for r in charts.metric_by_period(df, "week", "visits").collect()}
+    changes = charts.metric_dynamics(df, "week", ["visits"]).orderBy("period")
+    chosen = charts.metric_by_period(df, "week", "visits_dynamics")
+    assert [tuple(r) for r in chosen.collect()] == [(r["period"], r["dynamics_pct"]) for r in changes.collect()]
     assert weeks == {day("2026-01-05"): 15.0, day("2026-01-12"): 30.0}
     moved = by(charts.metric_dynamics(df, "week"), "metric", "period")
     assert moved[("visits", day("2026-01-12"))]["dynamics_pct"] == 100.0
