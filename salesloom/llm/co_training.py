@@ -14,7 +14,7 @@ from salesloom.llm.common import small_batches, spread_out, table, text_key, wri
 from salesloom.llm.linear import fit_logistic, fit_platt, logit, sigmoid
 from salesloom.llm.shingles import chunks, word_hashes
 
-LABELLED = 20_000  # labelled rows the classifiers are fitted on, about; drawn by the hash of the id
+LABELLED = 20_000  # labelled rows the classifiers are fitted on, about; drawn by the hash of id and text
 POOL = 20_000  # rows without label that pseudo-labels are drawn from, about
 ROUNDS = 4
 SHARE = 0.1  # of the pool that each view labels for the other in a round, the surest of each class
@@ -155,12 +155,17 @@ def _scored(batches: Iterator[pa.RecordBatch], model: CoTrained) -> Iterator[pa.
             )
 
 
-def drawn(rows: DataFrame, n: int) -> DataFrame:
-    """About ``n`` of the rows, by the hash of the id: the same ones each time, without one task that sorts."""
+def drawn(rows: DataFrame, n: int, *keys: str) -> DataFrame:
+    """About ``n`` of the rows at most, by the hash of ``keys``: the same ones each time, without one task that sorts.
+
+    Rows that are equal in ``keys`` are drawn together and then come once, so no id that many rows
+    share, null for instance, brings more than its different texts' part of ``n``.
+    """
     total = rows.count()
     if total <= n:
         return rows
-    return rows.filter(F.pmod(F.xxhash64(F.lit("drawn"), F.col("id")), F.lit(1_000_000)) < int(1_000_000 * n / total))
+    chosen = rows.filter(F.pmod(F.xxhash64(F.lit("drawn"), *keys), F.lit(1 << 32)) < int((1 << 32) * n / total))
+    return chosen.dropDuplicates(list(keys))
 
 
 def quality_scores(
@@ -196,8 +201,8 @@ def quality_scores(
     views = written(own.mapInArrow(_views, schema), "views")
     known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").alias("id")).agg(F.min("quality").alias("quality"))
     # Both draws are bounded samples of numbers, not of texts.
-    examples = drawn(views.join(known, "id"), labelled).orderBy("id", "key").toArrow()
-    others = drawn(views.join(known, "id", "left_anti"), pool).orderBy("id", "key").toArrow()
+    examples = drawn(views.join(known, "id"), labelled, "id", "key").orderBy("id", "key").toArrow()
+    others = drawn(views.join(known, "id", "left_anti"), pool, "id", "key").orderBy("id", "key").toArrow()
     model = CoTrained(
         (_matrix(examples["text_view"]), _matrix(examples["meta_view"]), examples["quality"].to_numpy().astype(float)),
         (_matrix(others["text_view"]), _matrix(others["meta_view"])),

@@ -281,7 +281,7 @@ def toxicity_scores(
     own = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     own = own.withColumn("held_out", F.coalesce(held_out(F.col("id")), F.lit(False)))
     known = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").alias("id")).agg(F.max("toxic").alias("toxic"))
-    known = drawn(known.filter(~held_out(F.col("id"))), labelled)
+    known = drawn(known.filter(~held_out(F.col("id"))), labelled, "id")
     lexicons = found_lexicons(own.filter("NOT held_out").join(known, "id").select("toxic", "text"))
     voted = own.mapInArrow(partial(_votes, lexicons=lexicons), "id long, held_out boolean, votes long, feats array<int>")
     voted = written(voted, "votes")
@@ -293,7 +293,7 @@ def toxicity_scores(
     weights, intercept = np.zeros(width), -4.0
     if len(votes):
         model = LabelModel(votes, counts, marks)
-        sample = drawn(free, trained).select("votes", "feats").toArrow().combine_chunks()
+        sample = drawn(free, trained, "id", "votes", "feats").select("votes", "feats").toArrow().combine_chunks()
         if len(sample):
             size = np.array([len(f) for f in sample["feats"]], dtype=np.int64)
             flat = np.concatenate([np.asarray(f.values if f.is_valid else [], dtype=np.int64) for f in sample["feats"]])

@@ -293,3 +293,14 @@ def test_pipeline_stages(spark):
         docs = kept
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, folder)
     assert packed.select("doc_id").distinct().count() == docs.count()
+
+
+def test_a_draw_is_bounded_whatever_ids_repeat(spark):
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("id"), F.when(F.col("id") % 6 == 0, 0).otherwise(F.col("id")).alias("key"), F.col("id").alias("row")
+    )
+    drawn = [sorted(map(tuple, co_training.drawn(rows.repartition(k), 600, "id", "key").select("id", "key").collect()), key=repr) for k in (1, 5)]
+    # A third of the ids is null: half of those rows are equal and come once at most, the others are drawn one by one.
+    assert drawn[0] == drawn[1] and len(set(drawn[0])) == len(drawn[0])
+    assert 400 <= len(drawn[0]) <= 600 and 50 <= sum(i is None for i, _ in drawn[0]) <= 150
+    assert co_training.drawn(rows.limit(500), 600, "id", "key").count() == 500
