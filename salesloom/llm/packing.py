@@ -120,22 +120,25 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int) -> Iter
     encode, seen = WordEncoder(path), np.zeros(capacity + 1, dtype=np.int64)
     part = TaskContext.get().partitionId()
     end = np.array([END], dtype="<u4").tobytes()
-    gc.disable()  # no cycles arise here, and the remembered words would be traversed again and again
-    for batch in batches:
-        out: list[tuple] = []
-        texts = [t.as_py() or "" for t in batch.column(1)]
-        encoded = chain.from_iterable(encode(texts[a:b]) for a, b in chunks(texts))
-        for doc, ids in zip(batch.column(0).to_pylist(), encoded):
-            ids += end
-            for k, at in enumerate(range(0, len(ids), 4 * capacity)):
-                own = ids[at : at + 4 * capacity]
-                n = len(own) // 4
-                out.append((doc, k, at // 4, n, zlib.crc32(own), part, int(seen[n])))
-                seen[n] += 1
-        names = [c.split()[0] for c in PIECES.split(", ")]
-        types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
-        columns = list(zip(*out)) or [[]] * len(names)
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+    gc.disable()  # no cycles arise here, and the remembered words would be traversed again and again; other tasks of this worker need it
+    try:
+        for batch in batches:
+            out: list[tuple] = []
+            texts = [t.as_py() or "" for t in batch.column(1)]
+            encoded = chain.from_iterable(encode(texts[a:b]) for a, b in chunks(texts))
+            for doc, ids in zip(batch.column(0).to_pylist(), encoded):
+                ids += end
+                for k, at in enumerate(range(0, len(ids), 4 * capacity)):
+                    own = ids[at : at + 4 * capacity]
+                    n = len(own) // 4
+                    out.append((doc, k, at // 4, n, zlib.crc32(own), part, int(seen[n])))
+                    seen[n] += 1
+            names = [c.split()[0] for c in PIECES.split(", ")]
+            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+            columns = list(zip(*out)) or [[]] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+    finally:
+        gc.enable()
 
 
 # --- the plan, on the histogram ---------------------------------------------------------------
