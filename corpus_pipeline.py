@@ -19,7 +19,8 @@ STAGES = [
     ("best_fit_packing", packing.stage),
 ]
 
-# The classifier and the packing can't be stated in SQL; tests compare the stages with brute force.
+# The classifier and the packing can't be stated in SQL. Tests compare the near-duplicate stage with brute force;
+# of the others they check columns, counts and what stays.
 ORACLE_SQL = None
 
 
