@@ -116,23 +116,47 @@ def first_filled(value: str, order: str) -> Column:
     return F.coalesce(F.min_by(F.col(value), F.when(filled, F.col(order))), F.lit(""))
 
 
-def sequential_ids(df: DataFrame, key: str, name: str, prefix: int = 12) -> DataFrame:
+def key_ranges(df: DataFrame, key: str, side: int = 64) -> DataFrame:
+    """Add ``_range``, a number that does not decrease along the unique text ``key`` (NULL first).
+
+    The ``side`` ** 2 - 1 keys with the least hashes are a uniform sample of all keys, the same in
+    every run; sorted, they cut the keys into ranges of about equal counts, whatever prefixes the
+    keys share: a range holds 1 / ``side`` ** 2 of the rows on average, and with 4,095 cuts hardly
+    ever more than a two hundredth. A row is compared with ``side`` cuts, then with ``side`` more.
+    """
+    least = df.filter(F.col(key).isNotNull()).select(F.col(key).alias("_cut")).orderBy(F.xxhash64("_cut"), "_cut")
+    cuts = least.limit(side * side - 1).agg(F.array_sort(F.collect_list("_cut")).alias("_all"))
+    blocks = F.transform(F.sequence(F.lit(0), F.lit(side - 1)), lambda i: F.slice("_all", i * side + 1, side))
+    blocks = cuts.select(F.filter(blocks, lambda block: F.size(block) > 0)).scalar()
+
+    ranged = df.withColumn("_blocks", blocks)
+    # Blocks whose first cut is not above the key; the cuts of the last of them decide.
+    block = F.size(F.filter("_blocks", lambda b: F.get(b, F.lit(0)) <= F.col(key)))
+    ranged = ranged.withColumn("_block", block)
+    inside = F.size(F.filter(F.get("_blocks", F.col("_block") - 1), lambda cut: cut <= F.col(key)))
+    place = F.when(F.col("_block") > 0, (F.col("_block") - 1) * side + inside).otherwise(0)
+    return ranged.withColumn("_range", place.cast("int")).drop("_blocks", "_block")
+
+
+def sequential_ids(df: DataFrame, key: str, name: str, side: int = 64) -> DataFrame:
     """Number rows 1, 2, 3, ... in the order of the text ``key`` (which must be unique).
 
-    Keys are numbered inside their first ``prefix`` characters, and the counts of the earlier
-    prefixes are added. The one window without a partition sees a row per prefix.
+    Keys are numbered inside ranges (see ``key_ranges``), and the counts of the earlier ranges are
+    added. The one window without a partition sees at most ``side`` ** 2 rows.
     """
-    placed = df.withColumn("_prefix", F.substring(key, 1, prefix))
-    before = Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
+    placed = key_ranges(df, key, side)
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        placed.groupBy("_prefix")
+        placed.groupBy("_range")
         .agg(F.count(F.lit(1)).alias("_size"))
-        .select("_prefix", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+        .select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
     )
-    inside = F.row_number().over(Window.partitionBy("_prefix").orderBy(key))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(key))
     return (
         placed.withColumn("_inside", inside)
-        .join(starts, "_prefix")
+        # Every range has a start. An inner join would have Spark check the ranges below their projection
+        # for NULL, and so work out the key once per cut.
+        .join(starts, "_range", "left")
         .withColumn(name, (F.col("_start") + F.col("_inside")).cast("bigint"))
-        .drop("_prefix", "_inside", "_start")
+        .drop("_range", "_inside", "_start")
     )

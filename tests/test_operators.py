@@ -53,10 +53,25 @@ def test_number_lines_equals_the_plain_window(spark):
 def test_sequential_ids(spark):
     keys = [f"{random.Random(i).random():.12f}" for i in range(5000)]
     df = spark.createDataFrame([(k,) for k in keys], "k string").repartition(7)
-    found = {r["k"]: r["n"] for r in ranking.sequential_ids(df, "k", "n", prefix=4).collect()}
+    found = {r["k"]: r["n"] for r in ranking.sequential_ids(df, "k", "n", side=4).collect()}
     assert found == {k: i for i, k in enumerate(sorted(keys), start=1)}
 
 
+def test_sequential_ids_with_a_shared_prefix(spark):
+    keys = ["the-same-20-letters-" + f"{random.Random(i).random():.12f}" for i in range(4000)] + ["", "a", "zz"]
+    df = spark.createDataFrame([(k,) for k in keys] + [(None,)], "k string").repartition(5)
+    found = {r["k"]: r["n"] for r in ranking.sequential_ids(df, "k", "n", side=16).collect()}
+    assert found == {None: 1, **{k: i for i, k in enumerate(sorted(keys), start=2)}}
+    sizes = [r["count"] for r in ranking.key_ranges(df, "k", 16).groupBy("_range").count().collect()]
+    assert len(sizes) == 256 and max(sizes) < 4004 / 25
+
+
+@pytest.mark.parametrize("n", [0, 1, 3, 20])
+def test_sequential_ids_of_few_keys(spark, n):
+    df = spark.createDataFrame([(f"{i:03d}",) for i in range(n)], "k string")
+    assert rows(ranking.sequential_ids(df, "k", "n", side=4)) == [(f"{i:03d}", i + 1) for i in range(n)]
+
+
 def test_latest_and_first_filled(spark):
     df = spark.createDataFrame(
         [("a", 1, "", "x"), ("a", 2, "v2", "y"), ("a", 3, "v3", "z"), ("b", 1, " ", "q")],
