@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from salesloom.llm.common import spread_out, table, written
@@ -13,9 +13,10 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 STRATA = ("en", "de", "fr", "es")  # any other language, or none, is the stratum "other"
 RISK = 0.02  # share of good documents of a stratum that all rules together may reject
-CONFIDENCE = 0.95  # that this holds for every rule and stratum
-# Cutoffs of each rule, in thousandths: a document whose share is above the cutoff is rejected.
-GRID = tuple(range(25, 1000, 25))
+CONFIDENCE = 0.95  # that this holds for every stratum
+MARGINS = 9  # steps of the cutoffs from near 1000 down to the highest share that was seen
+LEVELS = 40  # further steps, down to cutoffs that each reject ``RISK`` of the ranked documents
+RANKED = "0123"  # first hexadecimal digits of the MD5 of an id whose labels order the cutoffs; the others test them
 RULES = ("symbols", "bangs", "repeats", "dup_lines", "sameness")
 
 
@@ -93,30 +94,63 @@ def stratum(lang: Column) -> Column:
     return F.when(lang.isin(*STRATA), lang).otherwise("other")
 
 
-def controlled_cutoffs(holdout: DataFrame, risk: float = RISK, confidence: float = CONFIDENCE) -> DataFrame:
-    """Per stratum and rule the lowest cutoff whose false rejections are bounded.
+def cutoff_steps(ranked: DataFrame, risk: float = RISK) -> DataFrame:
+    """Per stratum, rule and step a cutoff; it does not rise from one step to the next.
 
-    ``holdout`` holds stratum and rule shares of good labelled documents. The cutoffs tested are
-    fixed beforehand. A cutoff that rejects k of n good documents passes if that few would have a
-    probability of at most (1 - confidence) / (rules x cutoffs x strata) were the true rate of
-    false rejection ``risk`` / rules: the exact binomial bound with Bonferroni's correction. Where
-    no cutoff passes (few labels) the rule rejects nothing. At most strata x rules rows.
+    The first ``MARGINS`` steps divide the way from 1000 down to the highest share of the ranked
+    documents. Step ``MARGINS`` + i is the lowest share above which at most i / ``LEVELS`` of
+    ``risk`` of them lie. At most 1,001 rows meet in a window: shares are whole thousandths.
     """
-    strata = len(STRATA) + 1
-    limit = (1 - confidence) / (len(RULES) * len(GRID) * strata)
-    share = risk / len(RULES)
     shares = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("share")) for r in RULES]))
-    # Shares are whole thousandths: at most strata x rules x 1001 rows after the first step.
-    counted = holdout.select("stratum", shares.alias("s")).groupBy("stratum", "s.rule", "s.share").agg(F.count("*").alias("c"))
-    cuts = F.array(*[F.lit(c) for c in GRID])
-    tested = (
-        counted.withColumn("cutoff", F.explode(cuts))
-        .groupBy("stratum", "rule", "cutoff")
-        .agg(F.sum("c").alias("n"), F.sum(F.when(F.col("share") > F.col("cutoff"), F.col("c")).otherwise(0)).alias("k"))
-        .filter(F.col("k") <= F.col("n") * share)
+    counted = ranked.select("stratum", shares.alias("s")).groupBy("stratum", "s.rule", "s.share").agg(F.count("*").alias("c"))
+    group = Window.partitionBy("stratum", "rule")
+    higher = group.orderBy(F.desc("share")).rowsBetween(Window.unboundedPreceding, -1)
+    ladder = counted.select(
+        "stratum", "rule", "share", F.coalesce(F.sum("c").over(higher), F.lit(0)).alias("above"), F.sum("c").over(group).alias("n")
+    )
+    level = F.explode(F.sequence(F.lit(0), F.lit(LEVELS)))
+    seen = (
+        ladder.withColumn("level", level)
+        .filter(F.col("above") <= F.col("level") * F.lit(risk / LEVELS) * F.col("n"))
+        .groupBy("stratum", "rule", (F.col("level") + MARGINS).alias("step"))
+        .agg(F.min("share").cast("long").alias("cutoff"))
+    )
+    margin = F.explode(F.sequence(F.lit(0), F.lit(MARGINS - 1)))
+    tops = ladder.groupBy("stratum", "rule").agg(F.max("share").cast("long").alias("top")).withColumn("step", margin)
+    looser = F.expr(f"top + ((1000 - top) * ({MARGINS} - step)) div {MARGINS + 1}")
+    return seen.unionByName(tops.select("stratum", "rule", "step", looser.alias("cutoff")))
+
+
+def controlled_cutoffs(holdout: DataFrame, risk: float = RISK, confidence: float = CONFIDENCE) -> DataFrame:
+    """Per stratum the strictest cutoffs of all rules whose false rejections together are bounded.
+
+    ``holdout`` holds stratum, ``ranked`` and rule shares of good labelled documents. The ranked
+    ones fix a sequence of ever stricter joint cutoffs (see ``cutoff_steps``), the others test it
+    in that order. A step whose cutoffs reject k of n tested documents passes if that few would
+    have a probability of at most (1 - confidence) / strata were the true rate of false rejection
+    ``risk``: the exact binomial bound. Rejections are nested, so the first step that fails ends
+    the sequence, and no correction is due for its length; strata have Bonferroni's. 228 tested
+    documents suffice where none is rejected, and 329 where one is. Where no step passes the rules reject
+    nothing. Labelled documents are taken as independent draws. At most strata x rules rows.
+    """
+    steps = cutoff_steps(holdout.filter("ranked"), risk)
+    # One row per stratum, each rule's cutoffs in the order of the steps.
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("step", "cutoff"))), lambda s: s["cutoff"])
+    ladders = steps.groupBy(F.col("stratum").alias("of")).pivot("rule", list(RULES)).agg(listed)
+    ladders = ladders.select("of", *[F.col(r).alias(f"cuts_{r}") for r in RULES])
+    # The first step that rejects a document is the number of cutoffs that do not.
+    first = F.least(*[F.expr(f"size(filter(cuts_{r}, cut -> {r} <= cut))") for r in RULES])
+    tested = holdout.filter(~F.col("ranked")).join(F.broadcast(ladders), F.col("stratum") == F.col("of"))
+    counted = tested.groupBy("stratum", first.alias("first")).agg(F.count("*").alias("c"))
+    results = (
+        counted.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(MARGINS + LEVELS))))
+        .groupBy("stratum", "step")
+        .agg(F.sum("c").alias("n"), F.sum(F.when(F.col("first") <= F.col("step"), F.col("c")).otherwise(0)).alias("k"))
+        .filter(F.col("k") <= F.col("n") * risk)
     )
-    passed = tested.filter(_log_tail("n", "k", share) <= F.log(F.lit(limit)))
-    return passed.groupBy("stratum", "rule").agg(F.min("cutoff").alias("cutoff"))
+    limit = (1 - confidence) / (len(STRATA) + 1)
+    passed = results.filter(_log_tail("n", "k", risk) <= F.log(F.lit(limit)))
+    return steps.join(passed.groupBy("stratum").agg(F.max("step").alias("step")), ["stratum", "step"]).select("stratum", "rule", "cutoff")
 
 
 def quality_rules(
@@ -147,7 +181,8 @@ def quality_rules(
     base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     scored = counts.withColumn("base_failed", base).withColumns(rule_shares())
     good = labels.filter(F.col("quality") == 1).select(F.col("doc_id").alias("id")).distinct()
-    holdout = scored.filter(~F.col("base_failed")).join(good, "id", "left_semi")
+    ranked = F.substring(F.md5(F.col("id").cast("string").cast("binary")), 1, 1).isin(*RANKED)
+    holdout = scored.filter(~F.col("base_failed")).join(good, "id", "left_semi").withColumn("ranked", ranked)
     cutoffs = controlled_cutoffs(holdout, risk, confidence)
     # One row per stratum, at most len(STRATA) + 1.
     chosen = cutoffs.groupBy(F.col("stratum").alias("of")).pivot("rule", list(RULES)).agg(F.min("cutoff"))
@@ -203,18 +238,31 @@ WITH w AS (
     FROM w LEFT JOIN repeated AS r ON r.doc_id = w.doc_id
 ), scored AS ({_SHARES}
 ), shares AS (
-    SELECT stratum, rule, share
+    SELECT doc_id, stratum, substr(md5(doc_id::VARCHAR), 1, 1) IN ('0', '1', '2', '3') AS ranked, rule, share
     FROM (SELECT * FROM scored WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1))
     UNPIVOT (share FOR rule IN (symbols, bangs, repeats, dup_lines, sameness))
+), ladder AS (
+    SELECT stratum, rule, share, sum(c) OVER (PARTITION BY stratum, rule) AS n,
+           coalesce(sum(c) OVER (PARTITION BY stratum, rule ORDER BY share DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS above
+    FROM (SELECT stratum, rule, share, count(*) AS c FROM shares WHERE ranked GROUP BY ALL)
+), steps AS (
+    SELECT stratum, rule, {MARGINS} + level AS step, min(share) AS cutoff
+    FROM ladder, (SELECT unnest(range(0, {LEVELS} + 1)) AS level)
+    WHERE above <= level * {RISK / LEVELS!r}::DOUBLE * n GROUP BY ALL
+    UNION ALL
+    SELECT stratum, rule, step, top + ((1000 - top) * ({MARGINS} - step)) // {MARGINS + 1} AS cutoff
+    FROM (SELECT stratum, rule, max(share) AS top FROM ladder GROUP BY ALL), (SELECT unnest(range(0, {MARGINS})) AS step)
 ), tested AS (
-    SELECT stratum, rule, cutoff, count(*) AS n, count(*) FILTER (WHERE share > cutoff) AS k
-    FROM shares, (SELECT unnest(range(25, 1000, 25)) AS cutoff) GROUP BY ALL
+    SELECT stratum, step, count(DISTINCT doc_id) AS n, count(DISTINCT doc_id) FILTER (WHERE share > cutoff) AS k
+    FROM shares JOIN steps USING (stratum, rule) WHERE NOT ranked GROUP BY stratum, step
+), passed AS (
+    SELECT stratum, max(step) AS step FROM tested
+    WHERE k <= n * {RISK!r} AND list_sum(list_transform(range(0, k + 1), lambda i: exp(
+              lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({RISK!r}) + (n - i) * ln(1 - {RISK!r}))))
+          <= {(1 - CONFIDENCE) / (len(STRATA) + 1)!r}
+    GROUP BY stratum
 ), chosen AS (
-    SELECT stratum, rule, min(cutoff) AS cutoff FROM tested
-    WHERE k <= n * {RISK / len(RULES)!r} AND list_sum(list_transform(range(0, k + 1), lambda i: exp(
-              lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({RISK / len(RULES)!r}) + (n - i) * ln(1 - {RISK / len(RULES)!r}))))
-          <= {(1 - CONFIDENCE) / (len(RULES) * len(GRID) * (len(STRATA) + 1))!r}
-    GROUP BY stratum, rule
+    SELECT stratum, rule, cutoff FROM steps JOIN passed USING (stratum, step)
 ), verdicts AS (
     SELECT DISTINCT doc_id FROM scored AS s JOIN chosen AS c ON c.stratum = s.stratum
     WHERE (rule = 'symbols' AND symbols > cutoff) OR (rule = 'bangs' AND bangs > cutoff) OR (rule = 'repeats' AND repeats > cutoff)

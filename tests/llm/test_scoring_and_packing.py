@@ -140,12 +140,56 @@ def test_the_binomial_bound_is_exact(spark):
         assert abs(r["p"] - math.log(exact)) < 1e-6
 
 
-def test_a_rule_cuts_only_where_labels_allow(spark):
-    rows = [("en", 0, 0, 0, 0, 0)] * 6000 + [("en", 300, 0, 0, 0, 0)] * 2 + [("de", 0, 0, 0, 0, 0)] * 30
-    holdout = spark.createDataFrame(rows, "stratum string, symbols int, bangs int, repeats int, dup_lines int, sameness int")
-    cuts = {(r["stratum"], r["rule"]): r["cutoff"] for r in quality_rules.controlled_cutoffs(holdout).collect()}
-    assert cuts["en", "bangs"] == 25 and cuts["en", "symbols"] == 25  # two of 6,002 are allowed
-    assert not any(s == "de" for s, _ in cuts)  # thirty good documents prove nothing
+def steps_by_hand(ranked, risk=quality_rules.RISK):
+    """The cutoffs of one rule, from the shares of the ranked documents."""
+    top, n = max(ranked), len(ranked)
+    looser = [top + (1000 - top) * (9 - s) // 10 for s in range(9)]
+    seen = [min(c for c in ranked if sum(x > c for x in ranked) <= i * risk / 40 * n) for i in range(41)]
+    return looser + seen
+
+
+def test_cutoffs_follow_the_sequence_by_hand(spark):
+    rng = random.Random(11)
+    rows = []
+    for stratum, n in (("en", 2400), ("de", 900), ("fr", 330), ("es", 150)):
+        for i in range(n):
+            tail = rng.random() < 0.03
+            shares = [rng.randrange(200, 900) if tail and r == k % 5 else rng.randrange(0, 150) for k, r in enumerate(range(5))]
+            rows.append((stratum, i % 4 == 0, *shares))
+    rules = quality_rules.RULES
+    holdout = spark.createDataFrame(rows, "stratum string, ranked boolean, " + ", ".join(f"{r} long" for r in rules))
+    found = {(r["stratum"], r["rule"]): r["cutoff"] for r in quality_rules.controlled_cutoffs(holdout).collect()}
+    want = {}
+    for stratum in ("en", "de", "fr", "es"):
+        mine = [r for r in rows if r[0] == stratum]
+        ladders = [steps_by_hand([r[2 + j] for r in mine if r[1]]) for j in range(5)]
+        tested = [r[2:] for r in mine if not r[1]]
+        n = len(tested)
+        for step in range(50):
+            k = sum(any(share > ladder[step] for share, ladder in zip(r, ladders)) for r in tested)
+            bound = sum(math.comb(n, i) * 0.02**i * 0.98 ** (n - i) for i in range(k + 1))
+            if k > n * 0.02 or bound > 0.05 / 5:
+                break
+            want.update({(stratum, rule): ladder[step] for rule, ladder in zip(rules, ladders)})
+    assert found == want
+    assert {s for s, _ in want} >= {"en", "de"} and "es" not in {s for s, _ in want}  # 112 documents prove nothing
+
+
+def test_rules_reject_bad_documents_and_spare_a_second_holdout(spark):
+    rng = random.Random(3)
+
+    def prose(bad):
+        words = ["".join(rng.choices("abcdefghijklm", k=6)) for _ in range(80)]
+        return " ".join(w + "#*$%&" * (bad and i % 2) for i, w in enumerate(words))
+
+    rows = [(i, prose(i % 5 == 0), "en") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 5 != 0)) for i in range(0, 1500)], "doc_id long, quality int")
+    found = {r["doc_id"]: r for r in quality_rules.quality_rules(docs, labels).collect()}
+    assert not any(r["base_failed"] for r in found.values())
+    second = [found[i]["kept"] for i in range(1500, 3000) if i % 5]
+    assert second.count(False) <= 0.02 * len(second)
+    assert not any(found[i]["kept"] for i in range(1500, 3000, 5))
 
 
 def test_co_training_learns_from_both_views(spark):
