@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm.common import small_batches, spread_out, table, text_key, written
+from salesloom.llm.common import LOWER, UPPER, small_batches, spread_out, table, text_key, written
 from salesloom.llm.components import components
 from salesloom.llm.shingles import THRESHOLD, MinHash, set_id, shingle_sets
 from salesloom.llm.verify import blocked, link_groups, verified_links, with_sets
@@ -159,3 +159,31 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     leads = written(found.distinct(), "leads")
     same = F.col("doc_id").eqNullSafe(F.col("i")) & (text_key(F.col("text")) == F.col("k"))
     return docs.join(leads, same, "left_semi").dropDuplicates(["doc_id", "text"])
+
+
+# All pairs of texts that share a shingle, and everything that links reach: for small tables.
+OP2_SQL = rf"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), s AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                        ELSE list_sort(list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)])) END AS sh
+    FROM d
+), c AS (
+    SELECT sh, min(doc_id) AS class_id, count(*) AS n_copies FROM s GROUP BY sh
+), e AS (
+    SELECT class_id, len(sh) AS n, unnest(sh) AS one FROM c
+), links AS (
+    SELECT a.class_id AS a, b.class_id AS b
+    FROM e AS a JOIN e AS b ON a.one = b.one AND a.class_id <> b.class_id
+    GROUP BY a.class_id, b.class_id, a.n, b.n HAVING 5 * count(*) >= 4 * (a.n + b.n - count(*))
+), reached AS (
+    SELECT class_id AS a, class_id AS b FROM c
+    UNION SELECT r.a, l.b FROM reached AS r JOIN links AS l ON l.a = r.b
+)
+SELECT s.doc_id, c.class_id, g.group_id, coalesce(k.n_links, 0)::BIGINT AS n_links, c.n_copies
+FROM s JOIN c ON c.sh = s.sh
+JOIN (SELECT a, min(b) AS group_id FROM reached GROUP BY a) AS g ON g.a = c.class_id
+LEFT JOIN (SELECT a, count(*) AS n_links FROM links GROUP BY a) AS k ON k.a = c.class_id
+"""

@@ -45,8 +45,10 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_ngram_jaccard_join": minhash_forest.OP2_SQL,
         "op5_line_dedup": line_dedup.OP5_SQL,
         "op7_quality_rules": quality_rules.OP7_SQL,
         "op9_benchmark_decontamination": winnowing.OP9_SQL,
+        "op10_warc": warc.OP10_SQL,
         "op12_merkle_manifest": merkle.OP12_SQL,
     }

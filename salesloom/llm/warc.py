@@ -362,3 +362,22 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_type",
         page("refers_to").alias("refers_to"),
     )
+
+
+# Equal payloads are grouped as texts. A digest's 160 bits are 32 characters of 5 bits, each read from a piece of 20.
+OP10_SQL = """
+WITH p AS (
+    SELECT page_id, coalesce(html, '') AS payload FROM pages
+), marked AS (
+    SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, sha1(payload) AS digest,
+           max(page_id) OVER (PARTITION BY payload) AS latest
+    FROM p
+)
+SELECT page_id, payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           ((('0x' || substr(digest, 5 * (c // 4) + 1, 5))::BIGINT >> (15 - 5 * (c % 4))) & 31) + 1, 1)
+           FOR c IN range(0, 32)], '') AS payload_digest,
+       CASE WHEN page_id < latest THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < latest THEN latest END AS refers_to
+FROM marked
+"""
