@@ -67,3 +67,20 @@ def test_no_rows(spark):
     left, right = frames(spark, {"q": {"a"}}, {1: {"a"}})
     assert overlap_search(left.limit(0), right).best().count() == 0
     assert overlap_search(left, right.limit(0)).best().count() == 0
+
+
+def test_ids_over_the_whole_range(spark):
+    least, most = -(2**63) + 1, 2**63 - 1
+    entries = {least: {"a", "b"}, -5: {"a", "b"}, 0: {"a"}, 7: {"a", "b", "c"}, most: {"c", "d", "e"}}
+    sets = {"low": {"a", "b"}, "three": {"a", "b", "c"}, "high": {"c", "d"}, "one": {"a", "x"}}
+    found = overlap_search(*frames(spark, sets, entries)).best().collect()
+    assert {r["set_id"]: (r["entry"], r["score"]) for r in found} == brute(sets, entries)
+
+
+def test_no_aggregate_of_pairs_holds_words(spark):
+    # Spark sorts rows for an aggregate of a struct or an array; here that was each set's words once per pair.
+    entries = {k: {"common", f"own{k}"} for k in range(20)}
+    search = overlap_search(*frames(spark, {f"q{k}": {"common", f"own{k}"} for k in range(20)}, entries))
+    for df in (search.bounds, search.candidates):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "first(known" not in plan and "max(struct(" not in plan and "max(if" not in plan
