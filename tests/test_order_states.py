@@ -87,6 +87,14 @@ def test_bitmaps_count_exactly_and_merge(spark):
     assert found == want and want[7] == 0
 
 
+def test_a_bitmap_takes_no_more_room_than_a_number(spark):
+    # Customers of a day that are far apart have a bitmap each: 4 KiB for every one of them is too much.
+    far = spark.range(3000).select((F.col("id") * 100_003).alias("n"))
+    states = far.groupBy(distinct.bucket_of("n").alias("bucket")).agg(distinct.bits_of("n").alias("bits"))
+    assert states.schema["bits"].dataType.simpleString() == "bigint"
+    assert states.agg(distinct.counted_bits("bits").alias("n")).first()["n"] == 3000
+
+
 def final_plan(df):
     df.collect()
     return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
