@@ -33,11 +33,12 @@ def lookup_join(fact: DataFrame, dim: DataFrame, on: Sequence[str], check: bool
     fails the job that reads the lookup; nothing runs before. NULL keys match nothing and may repeat.
     """
     if check:
-        dim = _one_row_a_key(dim, on)
+        dim = one_row_a_key(dim, on)
     return fact.join(dim, list(on), "left")
 
 
-def _one_row_a_key(dim: DataFrame, on: Sequence[str]) -> DataFrame:
+def one_row_a_key(dim: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows with a complete key; a key that occurs twice fails the job that reads them."""
     rest = [c for c in dim.columns if c not in on]
     complete = F.lit(True)
     for c in on:

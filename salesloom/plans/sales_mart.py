@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from salesloom import fixed_values as fv
 from salesloom.functions.numbers import count_when, long_sum, money_sum, ratio, rounded, sum_if
 from salesloom.functions.periods import iso_week_label, month_label, weekday_name
-from salesloom.operators.joins import hot_from_counts, key_violations, lookup_join, spread_join
+from salesloom.operators.joins import hot_from_counts, key_violations, lookup_join, one_row_a_key, spread_join
 from salesloom.operators.ranking import number_in_group, number_lines
 
 DETAIL_COLUMNS = (
@@ -127,7 +127,8 @@ def create_sales_view(
 
     Every lookup is a left join on a key that the lookup provably holds once, so Spark drops the
     joins whose columns a query does not use: without a customer's column there is no customer
-    scan, without totals and numbers no aggregate of the items. Hot order ids are left to AQE.
+    scan, without totals and numbers no aggregate of the items. Customers, totals and numbers are looked
+    up on the order table: the items are shuffled by order once, and never with an order's columns.
     """
     totals = order_totals(items, products)
     numbers = order_sequence(orders, totals).drop("customer_id", "order_date", "order_total", "order_margin")
@@ -135,9 +136,12 @@ def create_sales_view(
     known = orders.filter("customer_id IS NOT NULL AND order_date IS NOT NULL").select("order_id").distinct()
     totals = totals.drop("lines").join(known, "order_id", "left_semi")
     totals = totals.groupBy("order_id").agg(F.first("order_total").alias("order_total"), F.first("order_margin").alias("order_margin"))
-    view = lookup_join(price_items(items, products), orders, ["order_id"], check=True)
-    view = lookup_join(view, customers, ["customer_id"], check=True)
-    view = order_flags(lookup_join(lookup_join(view, totals, ["order_id"]), numbers, ["order_id"]))
+    rows = one_row_a_key(orders, ["order_id"])
+    rows = lookup_join(lookup_join(rows, totals, ["order_id"]), numbers, ["order_id"])
+    rows = lookup_join(rows, customers, ["customer_id"], check=True)
+    # One row an order already: the aggregate lets Spark prove it, and drop this join too.
+    rows = rows.groupBy("order_id").agg(*[F.first(c).alias(c) for c in rows.columns if c != "order_id"])
+    view = order_flags(lookup_join(price_items(items, products), rows, ["order_id"]))
     view = view.withColumns(
         {
             "order_month": month_label("order_date"),

@@ -118,5 +118,11 @@ def test_sales_view(spark, tables, tmp_path):  # noqa: F811
     assert used == {"items", "orders"} and "Window" not in plan
     used, plan = reads("SELECT customer_name FROM sales_view_of_test")
     assert "customers" in used and "Window" not in plan
+    # Customers are looked up on the orders: no item is shuffled by customer.
+    lines = plan.splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    at = next(i for i, line in enumerate(lines) if "Join LeftOuter, (customer_id" in line)
+    below = lines[at + 1 : next((i for i in range(at + 1, len(lines)) if depth(lines[i]) <= depth(lines[at])), len(lines))]
+    assert any("order_status" in line for line in below) and not any("quantity" in line for line in below)
     assert "Window" in reads("SELECT order_sequence FROM sales_view_of_test")[1]
     spark.catalog.dropTempView("sales_view_of_test")
