@@ -2,8 +2,9 @@
 
 Every string of ``LENGTH`` bytes has an anchor, the least of its first ``REACH`` byte grams, at the
 same place wherever the string occurs. So of all suffixes only those that begin at anchors are
-sorted, about one in ``REACH`` / 2. A suffix is compared by tokens: the hash of its leading bytes,
-which each string of that anchor has whole, then 128 bits that stand for all the strings it anchors.
+sorted, about one in ``REACH`` / 2. A suffix is compared by tokens: the hash of its ``SHORT`` leading bytes,
+which tells of repeats that are too short to be removed, then 32 bits for its leading bytes as far as each string
+of that anchor has them whole, and 96 bits that stand for all the strings it anchors.
 """
 
 from __future__ import annotations
@@ -21,7 +22,9 @@ from salesloom.llm.shingles import chunks, mixed, powers
 
 LENGTH = 400
 REACH = 200  # gram positions an anchor is chosen from
-GRAM = 16  # bytes; REACH + GRAM - 1 may not exceed LENGTH
+SHORT = 150  # bytes, about 25 words; every string of REACH + SHORT - 1 bytes has so many from an anchor on
+GRAM = 16  # bytes, SHORT at most; REACH + SHORT - 1 may not exceed LENGTH
+LEAD = LENGTH - REACH + 1  # bytes from its anchor on that each string has whole
 BASES = (0x100000001B3, 0x9E3779B97F4A7C15)
 INVERSES = tuple(pow(b, -1, 1 << 64) for b in BASES)
 # Where a suffix begins and which strings it stands for are one number: see ``_span``.
@@ -30,15 +33,15 @@ NAMES = [c.split()[0] for c in SUFFIX.split(", ")]
 TYPES = [pa.int64()] * 6
 
 
-def _span(at: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """The place of a suffix, how far before it the first of its strings starts, and how many more start after that."""
-    return (at.astype(np.int64) << 32) | ((at - lo).astype(np.int64) << 16) | (hi - lo).astype(np.int64)
+def _span(at: np.ndarray, lo: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The place of a suffix, how far before it the first of its strings starts, and how many strings it has."""
+    return (at.astype(np.int64) << 32) | ((at - lo).astype(np.int64) << 16) | n.astype(np.int64)
 
 
 def _with_strings(found: DataFrame) -> DataFrame:
-    """``span`` as ``lo`` and ``hi``, the first and the last start of its strings."""
+    """``span`` as ``lo`` and ``hi``, the first and the last start of its strings; without strings ``hi`` is below ``lo``."""
     lo = F.shiftright("span", 32) - F.shiftright("span", 16).bitwiseAND(F.lit(0xFFFF))
-    return found.withColumn("lo", lo.cast("int")).withColumn("hi", (F.col("lo") + F.col("span").bitwiseAND(F.lit(0xFFFF))).cast("int"))
+    return found.withColumn("lo", lo.cast("int")).withColumn("hi", (F.col("lo") + F.col("span").bitwiseAND(F.lit(0xFFFF)) - 1).cast("int"))
 
 
 class Hashes:
@@ -73,31 +76,47 @@ def _texts(batch: pa.RecordBatch) -> list[bytes]:
     return [(t.as_py() or "").encode() for t in batch.column("text")]
 
 
+def _anchored(grams: np.ndarray, sizes: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchors of texts that stand one after another, the text of each, and the first and the last start of the
+    strings of ``REACH`` + ``SHORT`` - 1 bytes that have it. A shorter text of ``SHORT`` bytes has one anchor."""
+    size = REACH + SHORT - 1
+    where = anchors(grams, REACH)
+    owner = np.repeat(np.arange(len(sizes)), sizes)[: max(0, int(begin[-1]) - size + 1)]
+    # Strings that lie within one text.
+    starts = np.flatnonzero(np.arange(len(owner)) + size <= begin[owner + 1])
+    anchor, owner = where[starts], owner[starts]
+    new = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (owner[1:] != owner[:-1])]))[: len(starts)]
+    lo, hi = starts[new], starts[np.concatenate([new[1:], [len(starts)]]).astype(np.int64)[: len(new)] - 1]
+    short = np.flatnonzero((sizes >= SHORT) & (sizes < size))
+    at = np.array([begin[k] + grams[begin[k] : begin[k + 1] - SHORT + 1].argmin() for k in short], dtype=np.int64)
+    columns = ((anchor[new], at), (owner[new], short), (lo, begin[short]), (hi, begin[short]))
+    return tuple(np.concatenate(c).astype(np.int64) for c in columns)
+
+
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = _texts(batch)
         ids, keys = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "key"))
         for a, b in chunks(texts):
             sizes = np.array([len(t) for t in texts[a:b]])
-            if sizes.max() < LENGTH:
+            if sizes.max() < SHORT:
                 continue
             data = np.frombuffer(b"".join(texts[a:b]), dtype=np.uint8)
             hashes, begin = Hashes(data), np.concatenate([[0], np.cumsum(sizes)])
             at = np.arange(len(data) - GRAM + 1)
-            where = anchors((hashes(0, at, at + GRAM) >> np.uint64(32)).astype(np.uint32), REACH)
-            # Strings that lie within one text.
-            owner = np.repeat(np.arange(b - a), sizes)[: max(0, len(data) - LENGTH + 1)]
-            starts = np.flatnonzero(np.arange(len(owner)) + LENGTH <= begin[owner + 1])
-            anchor, owner = where[starts], owner[starts]
-            new = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (owner[1:] != owner[:-1])]))
-            lo, hi = starts[new], starts[np.concatenate([new[1:], [len(starts)]]) - 1]
-            m, doc = anchor[new].astype(np.int64), owner[new]
-            t0 = hashes(0, m, m + LENGTH - REACH + 1)
+            m, doc, lo, hi = _anchored((hashes(0, at, at + GRAM) >> np.uint64(32)).astype(np.uint32), sizes, begin)
+            n = np.maximum(0, np.minimum(hi, begin[doc + 1] - LENGTH) - lo + 1)
+            t0 = hashes(0, m, m + SHORT)
+            t1, t2 = (np.zeros(len(m), np.uint64) for _ in range(2))
+            own = np.flatnonzero(n)
+            p, q, k = m[own], lo[own], n[own]
             # What an anchor's strings are follows from their bytes and where the anchor is among them.
-            shape = mixed(((m - lo).astype(np.uint64) << np.uint64(32)) + (hi - lo).astype(np.uint64) + np.uint64(1))
-            t1, t2 = (mixed(hashes(k, lo, hi + LENGTH) ^ shape) for k in (0, 1))
+            shape = mixed(((p - q).astype(np.uint64) << np.uint64(32)) + k.astype(np.uint64))
+            h1, h2 = (mixed(hashes(which, q, q + k - 1 + LENGTH) ^ shape) for which in (0, 1))
+            t1[own] = (hashes(0, p, p + LEAD) >> np.uint64(32) << np.uint64(32)) | (h1 >> np.uint64(32))
+            t2[own] = h2
             base = begin[doc]
-            columns = [t0.view(np.int64), t1.view(np.int64), t2.view(np.int64), ids[a:b][doc], keys[a:b][doc], _span(m - base, lo - base, hi - base)]
+            columns = [t0.view(np.int64), t1.view(np.int64), t2.view(np.int64), ids[a:b][doc], keys[a:b][doc], _span(m - base, lo - base, n)]
             yield pa.RecordBatch.from_arrays([pa.array(c).cast(t) for c, t in zip(columns, TYPES)], NAMES)
 
 
@@ -118,14 +137,14 @@ def multikey_order(columns: list[np.ndarray]) -> np.ndarray:
     return order
 
 
-MARKED = f"{SUFFIX}, twice boolean, several boolean, part int, ends array<long>"
+MARKED = f"{SUFFIX}, twice boolean, several boolean, shared boolean, part int, ends array<long>"
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One range of suffixes, sorted: those equal to a neighbour, those of a run of equal leading
-    tokens with several kinds, and all of the first and last run, which may go on beyond the range.
+    """One range of suffixes, sorted: those equal to a neighbour (``twice``) or in the first token alone (``shared``),
+    those of a run of equal leading bytes with ``several`` kinds, and all of the first and last run, which may go on beyond the range.
 
-    One more row tells the ends of the range.
+    A run has equal first tokens and upper halves of the second. One more row tells the ends of the range.
     """
     got = [b for b in batches if b.num_rows]
     if not got:
@@ -141,28 +160,30 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     t0, t1, t2 = columns[:3]
     same_kind = (t0[1:] == t0[:-1]) & (t1[1:] == t1[:-1]) & (t2[1:] == t2[:-1])
     twice = np.concatenate([[False], same_kind]) | np.concatenate([same_kind, [False]])
-    first = np.flatnonzero(np.concatenate([[True], t0[1:] != t0[:-1]]))
+    same_start, lead = t0[1:] == t0[:-1], t1 >> 32
+    shared = np.concatenate([[False], same_start]) | np.concatenate([same_start, [False]])
+    first = np.flatnonzero(np.concatenate([[True], ~same_start | (lead[1:] != lead[:-1])]))
     last = np.concatenate([first[1:], [len(t0)]]) - 1
     run = np.repeat(np.arange(len(first)), last - first + 1)
     several = ((t1[first] != t1[last]) | (t2[first] != t2[last]))[run]
-    wanted = np.flatnonzero(twice | several | (run == 0) | (run == len(first) - 1))
+    wanted = np.flatnonzero(shared | (run == 0) | (run == len(first) - 1))
     part = TaskContext.get().partitionId()
     ends = [int(c[k]) for k in (0, last[0], first[-1], len(t0) - 1) for c in (t0, t1, t2)]
     n = len(wanted)
-    names = [*NAMES, "twice", "several", "part", "ends"]
+    names = [*NAMES, "twice", "several", "shared", "part", "ends"]
     kind = pa.list_(pa.int64())
     for a in range(0, n, 65536):
         own = wanted[a : a + 65536]
         rows = [pa.array(c[own]).cast(t) for c, t in zip(columns, TYPES)]
-        flags = [pa.array(twice[own]), pa.array(several[own]), pa.array(np.full(len(own), part, np.int32))]
+        flags = [*[pa.array(f[own]) for f in (twice, several, shared)], pa.array(np.full(len(own), part, np.int32))]
         yield pa.RecordBatch.from_arrays([*rows, *flags, pa.nulls(len(own), kind)], names)
     blank = [pa.nulls(1, t) for t in TYPES]
     yield pa.RecordBatch.from_arrays(
-        [*blank, pa.nulls(1, pa.bool_()), pa.nulls(1, pa.bool_()), pa.array([part], pa.int32()), pa.array([ends], kind)], names
+        [*blank, *[pa.nulls(1, pa.bool_())] * 3, pa.array([part], pa.int32()), pa.array([ends], kind)], names
     )
 
 
-BOUNDS = "of int, before array<long>, after array<long>, first long, first_several boolean, last long, last_several boolean"
+BOUNDS = "of int, before array<long>, after array<long>, first array<long>, first_several boolean, last array<long>, last_several boolean"
 
 
 def across_boundaries(ends: list[tuple[int, list[int]]]) -> list[tuple]:
@@ -174,23 +195,29 @@ def across_boundaries(ends: list[tuple[int, list[int]]]) -> list[tuple]:
     out, runs = [], []
     for k, (part, e) in enumerate(ends):
         first, first_end, last_begin, last = (tuple(e[i : i + 3]) for i in (0, 3, 6, 9))
-        goes_on = runs and runs[-1]["t0"] == first[0]
+        begin, end = _run(first), _run(last)
+        goes_on = runs and runs[-1]["run"] == begin
         if not goes_on:
-            runs.append({"t0": first[0], "begin": first})
+            runs.append({"run": begin, "begin": first})
         runs[-1]["end"] = first_end
         own = len(runs) - 1
-        if last_begin[0] != first[0]:
-            runs.append({"t0": last_begin[0], "begin": last_begin, "end": last})
+        if end != begin:
+            runs.append({"run": end, "begin": last_begin, "end": last})
         before = list(ends[k - 1][1][9:12]) if k else None
         after = list(ends[k + 1][1][0:3]) if k + 1 < len(ends) else None
-        out.append((part, before, after, first[0], own, last[0], len(runs) - 1))
+        out.append((part, before, after, begin, own, end, len(runs) - 1))
     several = [r["begin"] != r["end"] for r in runs]
     return [(p, b, a, f, several[x], l, several[y]) for p, b, a, f, x, l, y in out]
 
 
+def _run(suffix: tuple[int, int, int]) -> list[int]:
+    """The first token and the upper half of the second."""
+    return [suffix[0], suffix[1] >> 32]
+
+
 def repeated(suffixes: DataFrame, name: str) -> DataFrame:
-    """The suffixes that are not alone: ``twice`` if all their strings occur elsewhere, ``several`` if
-    others with the same leading tokens differ.
+    """The suffixes whose first token stands elsewhere too: ``twice`` if all their strings do, ``several`` if
+    others with the same leading bytes differ.
 
     Spark samples splitters and deals out ranges of suffixes; for the sample it computes them a
     second time, which costs less than a written copy. A range is cut within equal suffixes
@@ -204,12 +231,11 @@ def repeated(suffixes: DataFrame, name: str) -> DataFrame:
     found = marked.filter("ends IS NULL").join(F.broadcast(bounds), F.col("part") == F.col("of"))
     kind = F.array("t0", "t1", "t2")
     twice = F.col("twice") | F.coalesce(kind == F.col("before"), F.lit(False)) | F.coalesce(kind == F.col("after"), F.lit(False))
-    several = (
-        F.col("several")
-        | ((F.col("t0") == F.col("first")) & F.col("first_several"))
-        | ((F.col("t0") == F.col("last")) & F.col("last_several"))
-    )
-    return _with_strings(found.select(*NAMES, twice.alias("twice"), several.alias("several")).filter("twice OR several"))
+    run = F.array("t0", F.shiftright("t1", 32))
+    several = F.col("several") | ((run == F.col("first")) & F.col("first_several")) | ((run == F.col("last")) & F.col("last_several"))
+    beyond = [F.coalesce(F.col("t0") == F.get(side, F.lit(0)), F.lit(False)) for side in ("before", "after")]
+    shared = F.col("shared") | beyond[0] | beyond[1]
+    return _with_strings(found.filter(shared).select(*NAMES, twice.alias("twice"), several.alias("several")))
 
 
 def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,7 +245,7 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hashes = Hashes(np.frombuffer(text, dtype=np.uint8))
             at = np.concatenate([np.arange(s["lo"], s["hi"] + 1) for s in spans])
             h1, h2 = (hashes(k, at, at + LENGTH).view(np.int64) for k in (0, 1))
-            columns = [h1, h2, np.zeros(len(at), np.int64), np.full(len(at), id_.as_py()), np.full(len(at), key.as_py()), _span(at, at, at)]
+            columns = [h1, h2, np.zeros(len(at), np.int64), np.full(len(at), id_.as_py()), np.full(len(at), key.as_py()), _span(at, at, np.ones(len(at)))]
             yield pa.RecordBatch.from_arrays([pa.array(c).cast(t) for c, t in zip(columns, TYPES)], NAMES)
 
 
@@ -263,8 +289,8 @@ def substring_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str
     Texts are UTF-8 bytes, null is empty; strings lie within one document, may overlap each other
     and are judged on the input. Result: id, ``n_bytes``, ``n_removed``, ``spans`` (removed runs,
     start and end), ``kept`` (the other bytes, which may cut a character), and ``n_shared``: the anchors whose
-    leading ``LENGTH - REACH + 1`` bytes stand elsewhere too, which tells of many a repeated
-    passage that is too short to be removed. Rows equal in id and text are one document and come back each. Other columns are not used.
+    leading ``SHORT`` bytes stand elsewhere too, which tells of repeated passages that are too short to be removed, every
+    one of ``REACH + SHORT - 1`` bytes among them. Rows equal in id and text are one document and come back each. Other columns are not used.
     """
     spark = docs.sparkSession
     spread_out(spark)
@@ -278,18 +304,19 @@ def substring_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str
         F.col(id_column).isNull().alias("none"),
     )
     texts = own.select("id", "key", "text")
-    found = written(repeated(texts.mapInArrow(_suffixes, SUFFIX), "suffixes"), "repeated-suffixes")
+    # Read from the sorted ranges each time: a copy would cost more disk than its few reads cost time.
+    found = repeated(texts.mapInArrow(_suffixes, SUFFIX), "suffixes")
     release(spark)
-    whole = found.filter("twice").select("id", "key", "lo", "hi")
-    # Where suffixes agree in the leading tokens only, their strings are compared one by one, of one
+    whole = found.filter("twice AND lo <= hi").select("id", "key", "lo", "hi")
+    # Where suffixes agree in the leading bytes only, their strings are compared one by one, of one
     # suffix of each kind; all strings of a kind that occurs twice are known to repeat, so only
-    # the leading tokens of some kind that is alone matter.
-    kinds = found.filter("several").groupBy("t0", "t1", "t2").agg(
+    # the leading bytes of some kind that is alone matter.
+    kinds = found.filter("several AND lo <= hi").groupBy("t0", "t1", "t2").agg(
         F.min(F.struct("id", "key", "lo", "hi")).alias("one"), F.min("twice").alias("twice")
     )
-    kinds = written(kinds, "kinds")
-    alone = written(kinds.filter("NOT twice").select("t0").distinct(), "alone")
-    wanted = kinds.join(alone, "t0", "left_semi").select("one.*").groupBy("id", "key").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    kinds = written(kinds.withColumn("lead", F.shiftright("t1", 32)), "kinds")
+    alone = written(kinds.filter("NOT twice").select("t0", "lead").distinct(), "alone")
+    wanted = kinds.join(alone, ["t0", "lead"], "left_semi").select("one.*").groupBy("id", "key").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
     strings = texts.join(wanted, ["id", "key"]).mapInArrow(_strings, SUFFIX)
     part = repeated(strings, "strings").filter("twice").select("id", "key", "lo", "hi")
     part = written(part, "repeated-strings")

@@ -135,6 +135,23 @@ def test_shorter_repeats_are_told(spark):
     assert sum(found[k]["n_shared"] > 0 for k in shared) >= 0.6 * len(shared)
 
 
+def test_every_repeat_of_some_50_words_is_told(spark):
+    rng = random.Random(8)
+    noise = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    size, rows = suffix_dedup.REACH + suffix_dedup.SHORT - 1, []
+    for k in range(40):
+        passage = noise(size)
+        # In the middle, at the end, at the start and alone.
+        texts = (noise(500) + passage + noise(500), noise(600) + passage, passage + noise(40), passage)
+        rows += [(10 * k + j, t) for j, t in enumerate(texts)]
+    rows += [(9100 + k, t) for k, t in enumerate([noise(suffix_dedup.SHORT)] * 2 + [noise(suffix_dedup.SHORT - 1)] * 2)]
+    clean = [(9500 + k, noise(rng.choice([100, 160, 300, 360, 500, 900]))) for k in range(40)]
+    found = {r["doc_id"]: r for r in suffix_dedup.substring_dedup(spark.createDataFrame(rows + clean, "doc_id long, text string")).collect()}
+    assert all(found[k]["n_shared"] for k in range(400) if k % 10 < 4)
+    assert found[9100]["n_shared"] == found[9101]["n_shared"] == 1 and not found[9102]["n_shared"]
+    assert not any(found[k]["n_shared"] for k, _ in clean) and not any(r["n_removed"] for r in found.values())
+
+
 def test_anchors_and_multikey_order():
     rng = np.random.default_rng(1)
     values = rng.integers(0, 9, 300).astype(np.uint32)
