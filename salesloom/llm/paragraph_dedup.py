@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from salesloom.llm.common import small_batches, spread_out, table, text_key, written
 from salesloom.llm.components import components
-from salesloom.llm.shingles import THRESHOLD, MinHash, chunks, mixed, set_id, shingle_sets, word_edges, word_hashes
+from salesloom.llm.shingles import THRESHOLD, MinHash, chunks, mixed, set_id, shingle_sets, shingles_of, word_edges, word_hashes
 from salesloom.llm.suffix_dedup import anchors
 from salesloom.llm.verify import blocked, bucket_links, link_groups, verified_links, with_sets
 
@@ -88,22 +88,28 @@ def _lines(texts: list[str | None]) -> Iterator[tuple[int, list[bytes], np.ndarr
             line, word = line + len(lines), word + n
 
 
+def _listed(values: np.ndarray, sizes: np.ndarray, kind: pa.DataType) -> pa.ListArray:
+    """Lists of the given sizes, one after another in ``values``."""
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(values, kind))
+
+
 def _banded(batches: Iterator[pa.RecordBatch], bands: int, rows: int, min_words: int) -> Iterator[pa.RecordBatch]:
     minhash = MinHash(bands * rows, seed=2)
     weights = (2 * np.arange(rows, dtype=np.uint64) + np.uint64(3)) * np.uint64(0x9E3779B97F4A7C15) | np.uint64(1)
     salts = mixed(np.arange(1, bands + 1, dtype=np.uint64))
     for batch in batches:
-        parts, places = [], []
-        for k, lines, counts, _ in _lines(batch.column("text").to_pylist()):
+        words, runs, places, n = [np.empty(0, np.uint64)], [], [], 0
+        for k, lines, counts, hashes in _lines(batch.column("text").to_pylist()):
+            ends = (n + np.cumsum(counts)).tolist()
             for at, to in _units(lines, counts.tolist(), min_words):
-                parts.append(b"\n".join(lines[at : to + 1]))
+                runs.append((ends[at - 1] if at else n, ends[to]))
                 places.append((k, at, to))
-        out: list[tuple] = []
-        for (k, at, to), shingles in zip(places, shingle_sets(parts)):
-            values = minhash(shingles).astype(np.uint64).reshape(bands, rows)
-            keys = mixed((values * weights).sum(axis=1, dtype=np.uint64) ^ salts).view(np.int64)
-            out.append((k, at, to, set_id(shingles), len(shingles), keys))
-        columns = list(zip(*out)) or [[]] * 6
+            words.append(hashes)
+            n += len(hashes)
+        sets = shingles_of(np.concatenate(words), runs)
+        values = minhash.many(sets).astype(np.uint64).reshape(len(sets), bands, rows)
+        keys = mixed((values * weights).sum(axis=2, dtype=np.uint64) ^ salts).view(np.int64)
+        columns = list(zip(*places)) or [[]] * 3
         owner = pa.array(columns[0], pa.int64())
         yield pa.RecordBatch.from_arrays(
             [
@@ -111,9 +117,9 @@ def _banded(batches: Iterator[pa.RecordBatch], bands: int, rows: int, min_words:
                 batch.column("key").take(owner),
                 pa.array(columns[1], pa.int32()),
                 pa.array(columns[2], pa.int32()),
-                pa.array(columns[3], pa.binary()),
-                pa.array(columns[4], pa.int64()),
-                pa.array(columns[5], pa.list_(pa.int64())),
+                pa.array([set_id(s) for s in sets], pa.binary()),
+                pa.array([len(s) for s in sets], pa.int64()),
+                _listed(keys.ravel(), np.full(len(sets), bands), pa.int64()),
             ],
             ["id", "key", "at", "to", "cls", "n", "bands"],
         )
@@ -155,25 +161,41 @@ def _weights(n: int, seed: int) -> np.ndarray:
 
 def anchored(hashes: np.ndarray, window: int, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First words of the windows that begin at anchors, and two hashes of each window's words."""
-    last = len(hashes) - window + 1
-    if last < 1:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+    return anchored_texts(hashes, np.array([0, len(hashes)]), window, reach)
+
+
+def anchored_texts(hashes: np.ndarray, begin: np.ndarray, window: int, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same of texts whose words stand one after another; ``begin``: their first words and the end of all."""
     gram = min(GRAM, window)
-    total = np.zeros(last, dtype=np.uint64)
+    total = np.zeros(max(0, len(hashes) - gram + 1), dtype=np.uint64)
     for k, w in enumerate(_weights(gram, 0)):
-        total += hashes[k : k + last] * w
+        total += hashes[k : k + len(total)] * w
     total = mixed(total)
-    at = np.unique(anchors(total, reach)) if last >= reach else np.array([int(total.argmin())])
+    sizes = np.diff(begin)
+    # Runs of windows that lie within one text.
+    owner = np.repeat(np.arange(len(sizes)), sizes)[: max(0, len(hashes) - reach - window + 2)]
+    at = anchors(total, reach)[np.flatnonzero(np.arange(len(owner)) + reach + window - 1 <= begin[owner + 1])]
+    at = at[np.flatnonzero(np.diff(at, prepend=-1))]
+    short = begin[:-1][(sizes >= window) & (sizes < reach + window - 1)], sizes[(sizes >= window) & (sizes < reach + window - 1)]
+    alone = np.array([a + int(total[a : a + n - window + 1].argmin()) for a, n in zip(*map(np.ndarray.tolist, short))], dtype=np.int64)
+    at = np.sort(np.concatenate([at, alone])).astype(np.int64)
     words = hashes[at[:, None] + np.arange(window)]
     return at, *(mixed((words * _weights(window, seed)).sum(axis=1, dtype=np.uint64)).view(np.int64) for seed in (1, 2))
 
 
 def _anchored(batches: Iterator[pa.RecordBatch], window: int, reach: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = []
-        for _, _, _, hashes in _lines(batch.column("text").to_pylist()):
-            found.append(anchored(hashes, window, reach))
-        arrays = [pa.array([f[k].tolist() for f in found], pa.list_(kind)) for k, kind in enumerate((pa.int32(), pa.int64(), pa.int64()))]
+        texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
+        found, sizes = [[np.empty(0, np.int64)] * 3], [np.empty(0, np.int64)]
+        for a, b in chunks(texts):
+            hashes, owner = word_hashes(texts[a:b])
+            begin = np.searchsorted(owner, np.arange(b - a + 1))
+            at, *tokens = anchored_texts(hashes, begin, window, reach)
+            own = np.searchsorted(begin, at, side="right") - 1
+            found.append([at - begin[own], *tokens])
+            sizes.append(np.bincount(own, minlength=b - a))
+        kinds = (pa.int32(), pa.int64(), pa.int64())
+        arrays = [_listed(np.concatenate(c), np.concatenate(sizes), kind) for c, kind in zip(zip(*found), kinds)]
         yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("key"), *arrays], ["id", "key", "word", "h1", "h2"])
 
 

@@ -83,19 +83,29 @@ def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     out: list[np.ndarray] = []
     for a, b in chunks(texts):
         hashes, owner = word_hashes(texts[a:b])
-        total = np.zeros(max(0, len(hashes) - SHINGLE + 1), dtype=np.uint64)
-        for k in range(SHINGLE):
-            total += hashes[k : k + len(total)] * np.uint64((_RATIO * (2 * k + 1) | 1) & (2**64 - 1))
-        total = mixed(total)
-        first = np.searchsorted(owner, np.arange(b - a + 1))
-        for lo, hi in zip(first, first[1:]):
-            if hi - lo >= SHINGLE:
-                out.append(np.unique(total[lo : hi - SHINGLE + 1]))
-            elif hi > lo:
-                weights = np.array([(_RATIO * (2 * k + 2) + 1) & (2**64 - 1) | 1 for k in range(hi - lo)], dtype=np.uint64)
-                out.append(mixed((hashes[lo:hi] * weights).sum(dtype=np.uint64, keepdims=True)))
-            else:
-                out.append(np.empty(0, dtype=np.uint64))
+        first = np.searchsorted(owner, np.arange(b - a + 1)).tolist()
+        out += shingles_of(hashes, list(zip(first, first[1:])))
+    return out
+
+
+def shingles_of(hashes: np.ndarray, runs: list[tuple[int, int]]) -> list[np.ndarray]:
+    """The same for runs of hashed words, each given by its first word and the one after its last."""
+    total = np.zeros(max(0, len(hashes) - SHINGLE + 1), dtype=np.uint64)
+    for k in range(SHINGLE):
+        total += hashes[k : k + len(total)] * np.uint64((_RATIO * (2 * k + 1) | 1) & (2**64 - 1))
+    total = mixed(total)
+    out = []
+    for lo, hi in runs:
+        if hi - lo >= SHINGLE:
+            own = np.sort(total[lo : hi - SHINGLE + 1])
+            new = np.ones(len(own), dtype=bool)
+            np.not_equal(own[1:], own[:-1], out=new[1:])
+            out.append(own[new])
+        elif hi > lo:
+            weights = np.array([(_RATIO * (2 * k + 2) + 1) & (2**64 - 1) | 1 for k in range(hi - lo)], dtype=np.uint64)
+            out.append(mixed((hashes[lo:hi] * weights).sum(dtype=np.uint64, keepdims=True)))
+        else:
+            out.append(np.empty(0, dtype=np.uint64))
     return out
 
 
@@ -114,6 +124,24 @@ class MinHash:
             np.minimum(best, (self.a * x[at : at + 4096] + self.b).min(axis=1), out=best)
         return best
 
+    def many(self, sets: list[np.ndarray]) -> np.ndarray:
+        """The values of each set, one row each; small sets are hashed together."""
+        out = np.full((len(sets), len(self.a)), 0xFFFFFFFF, dtype=np.uint32)
+        sizes = np.array([len(s) for s in sets], dtype=np.int64)
+        for k in np.flatnonzero(sizes > 4096).tolist():
+            out[k] = self(sets[k])
+        small = np.flatnonzero((sizes > 0) & (sizes <= 4096))
+        ends = np.cumsum(sizes[small])
+        first = 0
+        while first < len(small):
+            before = int(ends[first - 1]) if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, before + 4096, side="right")))
+            own = small[first:last]
+            x = (np.concatenate([sets[k] for k in own.tolist()]) >> np.uint64(32)).astype(np.uint32)
+            out[own] = np.minimum.reduceat(self.a * x + self.b, ends[first:last] - sizes[own] - before, axis=1).T
+            first = last
+        return out
+
 
 def set_id(shingles: np.ndarray) -> bytes:
     """16 bytes that stand for a set of shingles: texts with equal sets are of one class."""

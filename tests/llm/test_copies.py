@@ -6,8 +6,10 @@ import hashlib
 import random
 import re
 from collections import Counter, defaultdict
+from importlib import import_module
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from salesloom.llm import line_dedup, minhash_forest, paragraph_dedup, suffix_dedup, verify
@@ -348,6 +350,29 @@ def test_every_string_has_a_window():
     assert whole & part
 
 
+def test_texts_are_hashed_together(monkeypatch):
+    rng = np.random.default_rng(4)
+    minhash = MinHash(24, seed=2)
+    sets = [rng.integers(0, 1 << 63, n).astype(np.uint64) for n in (3, 0, 5000, 1, 4096, 4095, 2, 0)]
+    assert (minhash.many(sets) == np.array([minhash(s) for s in sets])).all() and minhash.many([]).shape == (0, 24)
+    sizes = [0, 3, 25, 49, 50, 51, 300, 0, 24, 77]
+    hashes = rng.integers(0, 9, sum(sizes)).astype(np.uint64)
+    begin = np.concatenate([[0], np.cumsum(sizes)])
+    parts = [paragraph_dedup.anchored(hashes[a:b], 25, 26) for a, b in zip(begin, begin[1:])]
+    whole = paragraph_dedup.anchored_texts(hashes, begin, 25, 26)
+    assert whole[0].tolist() == [a + k for a, p in zip(begin.tolist(), parts) for k in p[0].tolist()]
+    assert all((whole[k] == np.concatenate([p[k] for p in parts])).all() for k in (1, 2))
+    # One call hashes the words of a batch, whatever is made of them.
+    calls = []
+    for module in ("shingles", "paragraph_dedup"):
+        own = getattr(import_module(f"salesloom.llm.{module}"), "word_hashes")
+        monkeypatch.setattr(f"salesloom.llm.{module}.word_hashes", lambda texts, f=own: calls.append(len(texts)) or f(texts))
+    texts = [" ".join(f"w{k}{j % 40}" for j in range(60)) for k in range(50)]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(50)), "key": list(range(50)), "text": texts})
+    assert sum(b.num_rows for b in paragraph_dedup._banded(iter([batch]), 12, 3, 25)) == 50 and len(calls) == 1
+    assert next(paragraph_dedup._anchored(iter([batch]), 25, 26)).num_rows == 50 and len(calls) == 2
+
+
 def test_words_are_cut_from_lines():
     text = "a b c\nd é f g\n\nh i"
     assert paragraph_dedup.without(text, [], [1], 3) == "a\né f g\n\nh i"
