@@ -9,6 +9,7 @@ import numpy as np
 
 SHINGLE = 5  # words of a shingle
 THRESHOLD = (4, 5)  # near duplicates share at least 4/5 of their shingles
+FEW = 15  # sets that a shingle is in, up to which their pairs are counted one by one
 CHUNK = 1 << 20  # bytes that are hashed together; a longer text is hashed on its own
 _RATIO = 0x9E3779B97F4A7C15
 _BASE, _INVERSE = 0x100000001B3, pow(0x100000001B3, -1, 1 << 64)
@@ -151,35 +152,50 @@ def set_id(shingles: np.ndarray) -> bytes:
 def similar_pairs(sets: list[np.ndarray], split: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Which of the sets reach the threshold with which others, and how similar they are: square tables.
 
-    With ``split`` only pairs of one set before it and one from it on. Shared shingles are counted
-    exactly, by products of 0/1 tables over runs of the shingles that occur twice or more.
+    With ``split`` only pairs of one set before it and one from it on; others are left at zero. Shared shingles are
+    counted exactly: those of many sets by products of 0/1 tables over runs of them, in large groups those of few by their pairs.
     """
     n = len(sets)
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
-    owner = np.repeat(np.arange(n, dtype=np.int32), sizes)
+    owner = np.repeat(np.arange(n), sizes)
     values, where = np.unique(np.concatenate(sets) if n else np.empty(0, np.uint64), return_inverse=True)
-    often = np.bincount(where, minlength=len(values)) > 1
-    column = np.cumsum(often) - 1
-    keep = often[where]
-    owner, column = owner[keep], column[where[keep]]
-    order = np.argsort(column, kind="stable")
-    owner, column = owner[order], column[order]
-    shared = np.zeros((n, n), dtype=np.float64)
+    counts = np.bincount(where, minlength=len(values))
+    few = FEW if n > 4 * FEW else 1
+    order = np.argsort(where, kind="stable")
+    owner, where = owner[order], where[order]
+    times = counts[where]
+    left, right = (slice(0, n), slice(0, n)) if split is None else (slice(0, split), slice(split, n))
+    shape = len(range(n)[left]), len(range(n)[right])
+    shared = np.zeros(shape, dtype=np.float64)
     width = 4096
+    many = times > few
+    own, column = owner[many], (np.cumsum(counts > few) - 1)[where[many]]
     total = int(column[-1]) + 1 if len(column) else 0
     for at in range(0, total, width):
         lo, hi = np.searchsorted(column, [at, at + width])
-        table = np.zeros((n, width), dtype=np.float32)
-        table[owner[lo:hi], column[lo:hi] - at] = 1
-        shared += table @ table.T
+        table = np.zeros((n, min(width, total - at)), dtype=np.float32)
+        table[own[lo:hi], column[lo:hi] - at] = 1
+        shared += table[left] @ table[right].T
+    for k in range(2, few + 1):
+        # The sets of a shingle stand one after another, in their order.
+        own = owner[times == k].reshape(-1, k)
+        first, second = (own[:, i].ravel() for i in np.triu_indices(k, 1))
+        if split is not None:
+            across = (first < split) & (second >= split)
+            first, second = first[across], second[across] - split
+        pairs = np.bincount(first * shape[1] + second, minlength=shape[0] * shape[1]).reshape(shape)
+        shared += pairs if split is not None else pairs + pairs.T
     part, whole = THRESHOLD
-    union = sizes[:, None] + sizes[None, :] - shared
+    union = sizes[left, None] + sizes[None, right] - shared
     linked = (whole * shared >= part * union) & (union > 0)
-    np.fill_diagonal(linked, False)
-    if split is not None:
-        linked[:split, :split] = False
-        linked[split:, split:] = False
-    return linked, shared / np.maximum(union, 1)
+    similarity = shared / np.maximum(union, 1)
+    if split is None:
+        np.fill_diagonal(linked, False)
+        return linked, similarity
+    square = np.zeros((n, n), dtype=bool), np.zeros((n, n))
+    for all_pairs, cross in zip(square, (linked, similarity)):
+        all_pairs[left, right], all_pairs[right, left] = cross, cross.T
+    return square
 
 
 def component_labels(linked: np.ndarray) -> np.ndarray:

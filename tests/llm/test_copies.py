@@ -6,15 +6,17 @@ import hashlib
 import random
 import re
 from collections import Counter, defaultdict
+from functools import partial
 from importlib import import_module
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from salesloom.llm import line_dedup, minhash_forest, paragraph_dedup, suffix_dedup, verify
 from salesloom.llm.components import components
-from salesloom.llm.shingles import MinHash, shingle_sets, similar_pairs
+from salesloom.llm.shingles import MinHash, set_id, shingle_sets, similar_pairs
 from salesloom.llm.suffix_dedup import across_boundaries, anchors, multikey_order
 from tests.llm.conftest import sentence
 
@@ -408,6 +410,83 @@ def test_buckets_that_cross_ranges(spark, partitions):
     assert len(links) < len(rows) + 40 and verify.bucket_links(df.limit(0), "no-buckets").count() == 0
 
 
+def test_a_common_line_does_not_have_all_its_blocks_compared(spark, monkeypatch):
+    """Blocks around one common line meet in buckets by chains; they are not dealt out as one group of all pairs."""
+    monkeypatch.setattr(verify, "BLOCK", 8)
+    rng = random.Random(21)
+    common = sentence(rng, 18)
+    rows = [(k, common + "\n" + sentence(rng, 12)) for k in range(120)]
+    rows += [(200 + k, text.rsplit(" ", 1)[0] + " changed") for k, text in rows[:40:4]]
+    dealt, own = [], paragraph_dedup.verified_links
+
+    def counted(members, chance):
+        dealt.append(members.select("cls", "blocks").distinct().agg(F.count("*"), F.sum("blocks")).first())
+        return own(members, chance)
+
+    monkeypatch.setattr(paragraph_dedup, "verified_links", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    later = {r["id"] for r in paragraph_dedup.repeated_paragraphs(docs).collect()}
+    removed, _ = repeated_units(distinct_texts(docs))
+    assert later == {d[0] for d, lines in removed.items() if lines} == {k for k, _ in rows if k >= 200}
+    (members, calls), = dealt
+    assert 20 <= members <= 60 and calls <= 2 * members  # 130 members in 17 blocks each, where all were compared
+
+
+def test_narrowed_groups_keep_every_link(spark, monkeypatch):
+    monkeypatch.setattr(verify, "BLOCK", 4)
+    rng = np.random.default_rng(8)
+    pool = rng.integers(0, 1 << 63, 400).astype(np.uint64)
+    sets = []
+    for n in (1, 2, 5, 9, 10, 40, 75):
+        for _ in range(9):
+            base = rng.choice(pool, n, replace=False)
+            for share in (0, 0.05, 0.1, 0.1, 0.15, 0.3):
+                other = rng.choice(pool, n)
+                sets.append(np.unique(np.where(rng.random(n) < share, other, base)))
+    rows = {bytes(set_id(s)): (bytearray(set_id(s)), bytearray(bytes([k // 6 % 3]) * 16), len(s), bytearray(s.astype("<u8").tobytes())) for k, s in enumerate(sets)}
+    rows = [*rows.values(), *list(rows.values())[:20]]  # a document that came in several rows
+    groups = spark.createDataFrame(rows, "cls binary, root binary, n long, shingles binary")
+    members = verify.blocked(groups)
+    chance = partial(paragraph_dedup._chance, bands=12, rows=3)
+    found = []
+    for part in (members, verify.narrowed(members)):
+        links = verify.verified_links(part, chance)
+        found.append({(bytes(r["node"]), bytes(r["root"])) for r in verify.link_groups(links)[1].collect()})
+    assert found[0] == found[1] and len(found[0]) > 60
+    assert verify.narrowed(members).count() < members.count() and verify.narrowed(members.limit(0)).count() == 0
+
+
+def test_few_links_are_followed_in_one_task(spark):
+    rng = random.Random(13)
+    nodes = [rng.randbytes(16) for _ in range(400)]
+    pairs = [(nodes[k], nodes[k + 1]) for k in range(0, 150)] + [(rng.choice(nodes[150:]), rng.choice(nodes[150:])) for _ in range(170)]
+    links = spark.createDataFrame([(bytearray(a), bytearray(b)) for a, b in [*pairs, *pairs[:9]]], "a binary, b binary").repartition(5)
+    found = [sorted((bytes(r["node"]), bytes(r["root"])) for r in components(links, "test-links", few).collect()) for few in (0, 10, 1000)]
+    assert found[0] == found[1] == found[2] and len({root for _, root in found[0]}) > 20
+    assert components(links.limit(0), "no-links", 1000).count() == 0
+
+
+def test_buckets_that_cross_batches(spark, monkeypatch):
+    monkeypatch.setattr(verify, "STAR_ROWS", 7)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    test_buckets_that_cross_ranges(spark, "5")
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
+def test_one_scan_gives_what_three_give(monkeypatch):
+    rng = random.Random(5)
+    texts = ["\n".join(sentence(rng, rng.choice([0, 3, 9, 14, 40, 90])) for _ in range(rng.randint(1, 9))) for _ in range(40)] + [None, "", "a b"]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(len(texts))), "key": [7 * k for k in range(len(texts))], "text": texts})
+    calls, own = [], paragraph_dedup.word_hashes
+    monkeypatch.setattr(paragraph_dedup, "word_hashes", lambda x: calls.append(1) or own(x))
+    parts = list(paragraph_dedup._all(iter([batch]), 12, 3, 25, 26))
+    assert len(calls) == 1 and [p.column("kind").unique().to_pylist() for p in parts] == [[0], [1], [2]]
+    alone = paragraph_dedup._banded(iter([batch]), 12, 3, 25), paragraph_dedup._windows(iter([batch]), 25), paragraph_dedup._anchored(iter([batch]), 25, 26)
+    for part, one in zip(parts, alone):
+        one = next(one)
+        assert part.select(one.schema.names).to_pydict() == one.to_pydict() and one.num_rows > 20
+
+
 def test_blocks_of_short_lines_end_where_copies_end_too():
     lines = [f"{k} b c d e f g h".encode() for k in range(40)]
     blocks = paragraph_dedup._units(lines, [8] * 40, 25)
